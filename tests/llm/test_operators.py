@@ -1,0 +1,351 @@
+"""The operators against brute force on small fixtures with nulls, empty and long texts, ties, repeats and odd columns."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from evidentia.llm import bpe, decontaminate, language, pii, quality, shards, simhash, substrings, toxicity, warc
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, term string, fp string, kind string, label string"
+
+
+def words_of(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+@pytest.fixture(scope="module")
+def texts():
+    r = random.Random(5)
+    vocabulary = ["the", "of", "and", "Ärger", "ion", "quick", "ﬁne", "año", "x-y", "12", "brown", "fox", "jumps"] + [f"w{i}" for i in range(40)]
+    passage = [r.choice(vocabulary) for _ in range(60)]
+    out = [None, "", "   \n\t ", "one", "One two", "a\x0bb c d  e", "same text here again", "same text here again"]
+    for i in range(30):
+        w = [r.choice(vocabulary) for _ in range(r.choice([3, 20, 60, 150]))]
+        if i % 4 == 0:
+            at = r.randrange(len(w))
+            w[at:at] = passage
+        if i % 5 == 0:
+            w = w * 3
+        out.append(" ".join(w) if i % 3 else "\n".join(" ".join(w[k : k + 9]) for k in range(0, len(w), 9)))
+    out += [out[10], out[11] + " end", "ab " * 8000, "z" * 70_000]
+    return out, passage
+
+
+@pytest.fixture(scope="module")
+def docs(spark, texts):
+    rows = [(i, t, ["en", "de", None][i % 3], [f"s{i % 2}", None][i % 7 == 0], None if t is None else len(t), "r", "t", "f", "k", "l") for i, t in enumerate(texts[0])]
+    rows.append(rows[12])  # a repeated row
+    return spark.createDataFrame(rows, SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_decontaminate(spark, docs, empty, texts):
+    passage = texts[1]
+    items = [(1, " ".join(passage[:25])), (2, " ".join(passage[10:22])), (3, "one"), (10, "One, TWO!"), (4, None), (5, "?!"), (6, " ".join(passage[:25])), (7, "neverseen word")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    windows = {}
+    for i, t in items:
+        w = word.findall(lower(t))
+        for k in range(max(1, len(w) - 9) if w else 0):
+            windows.setdefault(tuple(w[k : k + 10]), set()).add(str(i))
+    got = decontaminate.decontaminate(docs, benchmark).collect()
+    assert len(got) == docs.count()
+    by_id = dict(enumerate(texts[0]))
+    for r in got:
+        w, hit, ids = word.findall(lower(by_id[r.doc_id])), set(), set()
+        for n in {len(k) for k in windows}:
+            for i in range(len(w) - n + 1):
+                if (k := tuple(w[i : i + n])) in windows:
+                    hit.update(range(i, i + n))
+                    ids |= windows[k]
+        assert (r.n_words, r.n_hit, r.n_items, r.contaminated) == (len(w), len(hit), len(ids), bool(hit))
+        assert r.items_sha256 == hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
+    assert sum(r.contaminated for r in got) > 5
+    assert decontaminate.decontaminate(empty, benchmark).count() == 0
+    assert not any(r.contaminated for r in decontaminate.decontaminate(docs, benchmark.limit(0)).collect())
+    near = decontaminate.proximity_matches(docs, benchmark.where("item_id = 1"), terms=3, span=30).collect()
+    assert {r.doc_id for r in near} >= {r.doc_id for r in got if r.n_hit >= 25}
+
+
+def test_bpe(spark, docs, empty, texts):
+    import public_tokenizers as P
+    import tiktoken
+
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    ranks = bpe.read_ranks(open(path, "rb").read())
+    reference = tiktoken.Encoding("x", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    by_id = dict(enumerate(texts[0]))
+    for r in bpe.encode_and_decode(docs, path, P.PATTERN, chunk=7).collect():
+        ids = reference.encode_ordinary(by_id[r.doc_id] or "")
+        assert np.frombuffer(r.ids, "<u4").tolist() == ids and r.n_tokens == len(ids)
+        assert r.decoded_sha256 == hashlib.sha256((by_id[r.doc_id] or "").encode()).hexdigest()
+    assert bpe.encode_and_decode(empty, path, P.PATTERN).count() == 0
+    small = bpe.Transducer(ranks, max_states=50, max_pieces=5)
+    r = random.Random(1)
+    for _ in range(3000):
+        piece = "".join(r.choice("aeinrst hcdßéü漢😀.,01") for _ in range(r.randrange(1, 14)))
+        assert small.run(piece.encode()) == [ranks[x] for x in small.merged(piece.encode())]
+    tokens = r.choices(list(ranks.values()), k=4000)
+    for a, b in zip(tokens, tokens[1:]):
+        assert small._stable(a, b) == (small.merged(small.token[a] + small.token[b]) == [small.token[a], small.token[b]])
+
+
+@pytest.mark.parametrize("data", ["aß漢😀b".encode(), b"\xf0\x9f", b"a\xff\xfeb", b"\xe2\x82", b"\xed\xa0\x80x", b"\xf4\x90\x80\x80", b"\xc0\xafz", b""])
+def test_utf8_stream(data):
+    for n in (1, 2, 3, 5):
+        s = bpe.Utf8Stream()
+        assert "".join(s.feed(data[i : i + n]) for i in range(0, len(data), n)) + s.close() == data.decode("utf-8", "replace")
+
+
+def slow_fingerprint(text):
+    from xxhash import xxh64_intdigest
+
+    w = words_of(lower(text))
+    if not w:
+        return 0
+    hashes = [xxh64_intdigest(" ".join(w[i : i + 3]).encode(), 42) for i in range(max(1, len(w) - 2))]
+    return sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
+
+
+def components(values, radius=3):
+    label = list(range(len(values)))
+    for i in range(len(values)):
+        for j in range(i):
+            if (values[i] ^ values[j]).bit_count() <= radius and label[i] != label[j]:
+                label = [label[j] if x == label[i] else x for x in label]
+    return label
+
+
+def test_simhash(docs, empty, texts):
+    got = {r.doc_id: r for r in simhash.near_duplicates(docs).collect()}
+    prints = [slow_fingerprint(t) for t in texts[0]]
+    label = components(prints)
+    for i in range(len(prints)):
+        assert got[i].fingerprint == f"{prints[i]:016x}"
+        assert got[i].component_id == min(j for j in range(len(prints)) if label[j] == label[i])
+    assert simhash.near_duplicates(docs).count() == docs.count()
+    assert simhash.near_duplicates(empty).count() == 0
+
+
+def test_simhash_chains(spark):
+    """Chains, hot words of 16 bits, and tiles cut into parts."""
+    r = random.Random(3)
+    values = [r.getrandbits(64) for _ in range(200)]
+    for _ in range(600):
+        v = r.choice(values[-300:])
+        for _ in range(r.randrange(1, 6)):
+            v ^= 1 << r.randrange(48)
+        values.append(v)
+    rows = spark.createDataFrame([(v - 2**64 if v >= 2**63 else v,) for v in values], "fp long")
+    from evidentia.llm.components import connected_components
+
+    for tile in (16_384, 40):
+        found = {x.node % 2**64: x.label for x in connected_components(simhash.near_links(rows, tile=tile)).collect()}
+        distinct = sorted(set(values))
+        label = components(distinct)
+        groups, other = {}, {}
+        for v, x in zip(distinct, label):
+            groups.setdefault(x, set()).add(v)
+        for v in distinct:
+            other.setdefault(found.get(v, ("alone", v)), set()).add(v)
+        assert sorted(map(sorted, groups.values())) == sorted(map(sorted, other.values()))
+
+
+def test_quality(docs, empty, texts):
+    by_id = dict(enumerate(texts[0]))
+    rows = quality.judge(docs).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        text = by_id[r.doc_id] or ""
+        w = words_of(text)
+        grams = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+        again = {k for i in range(len(w) - 2) if grams[tuple(w[i : i + 3])] > 1 for k in (i, i + 1, i + 2)}
+        lines = [x for x in text.split("\n") if words_of(x)]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(again))
+        assert r.base_failed == (len(w) < 50 or 100 * len(again) > 50 * len(w))
+        assert not (r.base_failed and r.kept)
+    assert quality.judge(empty).count() == 0
+
+
+def test_quality_fences(spark):
+    """In a group of clean rows one that is full of symbols goes and the clean ones stay."""
+    r = random.Random(2)
+    clean = [" ".join(f"w{r.randrange(10**6)}" for _ in range(80)) for _ in range(150)]
+    rows = [(i, t, "en", "a") for i, t in enumerate(clean)] + [(999, " ".join(x + "***" for x in clean[0].split()), "en", "a")]
+    got = {x.doc_id: x.kept for x in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert got.pop(999) is False and all(got.values())
+
+
+def test_shards(docs, empty, texts):
+    rows = shards.shard(docs, shards=7).collect()
+    by_id = dict(enumerate(texts[0]))
+    counts = Counter(r.shard for r in rows)
+    assert len(rows) == docs.count() and max(counts.values()) - min(counts.values()) <= 1 and set(counts) == set(range(7))
+    for s, n in counts.items():
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(n))
+    for r in rows:
+        data = (by_id[r.doc_id] or "").encode()
+        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(data) + 16, zlib.crc32(data), "rows", None)
+    assert shards.shard(empty).count() == 0
+
+
+def test_shards_match_the_mixture(spark):
+    rows = spark.range(4000).selectExpr("id as doc_id", "cast(id as string) as text", "case when id % 3 = 0 then 'hot' else concat('s', id % 5) end as source")
+    share = {r.source: r["count"] for r in rows.groupBy("source").count().collect()}
+    got = shards.shard(rows, shards=10).join(rows.select("doc_id", "source"), "doc_id").groupBy("shard", "source").count().collect()
+    assert all(abs(r["count"] - share[r.source] / 10) <= 2 for r in got)
+
+
+def test_substrings(docs, empty, texts):
+    for length, run in ((35, 16), (5, 3)):
+        w = {i: (t or "").encode().split() for i, t in enumerate(texts[0])}
+        rows = [w[r.doc_id] for r in docs.select("doc_id").collect()]
+        counts = Counter(tuple(x[i : i + length]) for x in rows for i in range(len(x) - length + 1))
+        for r in substrings.digest(substrings.deduplicate(docs, length=length, run=run)).collect():
+            x = w[r.doc_id]
+            gone = {k for i in range(len(x) - length + 1) if counts[tuple(x[i : i + length])] > 1 for k in range(i, i + length)}
+            assert (r.n_words, r.n_removed) == (len(x), len(gone))
+            assert r.kept_sha256 == hashlib.sha256(b" ".join(v for k, v in enumerate(x) if k not in gone)).hexdigest()
+    assert substrings.deduplicate(empty).count() == 0
+
+
+PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def luhn(digits):
+    values = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
+    return sum(v - 9 * (v > 9) for v in values) % 10 == 0
+
+
+def plain_spans(text):
+    out = []
+    for k, (kind, pattern) in enumerate(PLAIN.items()):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            if not (kind == "ip" and any(int(p) > 255 for p in m[0].split(".")) or kind == "card" and not (12 <= len(digits) <= 19 and luhn(digits)) or kind == "phone" and not 9 <= len(digits) <= 15):
+                out.append((m.start(), k, kind, m.end()))
+    return sorted(out)
+
+
+def test_pii(spark, empty):
+    r = random.Random(4)
+    parts = ["a.b@c.de", "é x@y.z", "a@b@c.d", "a@b.c.d_e@x.yy", "1.2.3.4.5.6.7.8", "256.1.1.1", "01.002.0255.1", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (555) 123-4567", "+49 1", "+1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6", " ", "\n", "漢😀", "0", "12 34", ".", "@", "+", "word", "4012888888881881"]
+    texts = ["".join(r.choice(parts) + r.choice(["", " ", "x"]) for _ in range(r.randrange(1, 12))) for _ in range(400)] + [None, "", "9" * 30_000, "a" * 30_000 + "@", "1 " * 20_000]
+    docs = spark.createDataFrame([(i, t, "r", "k") for i, t in enumerate(texts)] + [(3, texts[3], "r", "k")], "doc_id long, text string, row string, kind string")
+    rows = pii.detect(docs).collect()
+    assert len(rows) == len(texts) + 1
+    for x in rows:
+        want = plain_spans(texts[x.doc_id])
+        assert [x.n_email, x.n_ip, x.n_card, x.n_phone] == [sum(s[2] == k for s in want) for k in PLAIN], texts[x.doc_id]
+        listed = ",".join(f"{s[2]}:{s[0]}:{s[3]}" for s in want)
+        assert x.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+        assert set(filter(None, listed.split(","))) <= set(x.spans.split(","))
+    assert pii.detect(empty).count() == 0
+
+
+def test_revealing_terms(spark):
+    """A rare name that always stands beside one address is a span; common words are not, and other texts stay."""
+    r = random.Random(6)
+    filler = lambda: " ".join(r.choice(["the", "of", "and", "new", "old"]) for _ in range(12))
+    texts = [f"{filler()} Quentin <q@mail.org> the {filler()} {i}" for i in range(6)] + [f"{filler()} {i}" for i in range(200)] + [f"{filler()} once{i}@mail.org {filler()}" for i in range(5)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {x.doc_id: x for x in pii.detect(docs).collect()}
+    for i, t in enumerate(texts):
+        at = t.find("Quentin")
+        assert rows[i].n_term == (at >= 0) and (at < 0 or f"term:{at}:{at + 7}" in rows[i].spans)
+    clean = {x.doc_id: x.text for x in pii.sanitise(docs).collect()}
+    assert all((clean[i] == t) == (i >= 6 and i < 206) for i, t in enumerate(texts))
+    assert not any("Quentin" in t or "@" in t for t in clean.values()) and all("[EMAIL]" in clean[i] for i in range(6))
+
+
+def corpus(n, seed):
+    r = random.Random(seed)
+    syllables = {"en": ["th", "er", "on", "an", "re", "ing"], "de": ["sch", "ein", "ung", "ü", "ver", "keit"], "fr": ["eau", "é", "tion", "ou", "qui", "le"]}
+    out = []
+    for i in range(n):
+        lang = list(syllables)[i % 3]
+        w = ["".join(r.choices(syllables[lang], k=r.randrange(1, 4))) for _ in range(40)]
+        toxic = i % 5 == 0
+        if toxic:
+            w[r.randrange(40)] = r.choice(["idiot", "moron", "Scum!"])
+        out.append((i, " ".join(w), lang, int(toxic)))
+    return out
+
+
+def test_toxicity(spark, empty):
+    rows = corpus(600, 1)
+    odd = [(1000, "you 1d10t and m0r0n", "en", None), (1001, "an i d i o t here", "en", None), (1002, None, None, None), (1003, "", None, None), (1004, "idiooooot", None, None), (1005, "s.c.u.m", None, None), (1006, "x" * 50_000, None, None)]
+    docs = spark.createDataFrame([r[:2] for r in rows + odd], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows] + [(None, 1), (5, None)], "doc_id long, toxic int")
+    got = {x.doc_id: x for x in toxicity.report(docs, labels).collect()}
+    assert len(got) == len(rows) + len(odd)
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 == 0]
+    assert all(got[r[0]].held_out for r in held) and sum(x.held_out for x in got.values() if x.doc_id < 1000) == len(held)
+    assert np.mean([got[r[0]].predicted == r[3] for r in held]) > 0.97
+    assert all(0 <= x.score <= 1 and x.predicted == (x.score >= 0.5) for x in got.values())
+    assert [got[i].predicted for i in (1001, 1002, 1003, 1004, 1005, 1006)] == [1, 0, 0, 1, 1, 0]
+    assert toxicity.report(empty, labels).count() == 0
+    assert all(x.score == 0 for x in toxicity.report(docs, labels.limit(0)).collect())
+
+
+def test_language(spark, empty):
+    rows = corpus(600, 2)
+    odd = [(1000, None, "en"), (1001, "123 !? ", "en"), (1002, "", None), (1003, "eau qui le", None)]
+    got = {x.doc_id: x for x in language.identify(spark.createDataFrame([r[:3] for r in rows] + odd, "doc_id long, text string, lang string")).collect()}
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 == 0]
+    assert np.mean([got[r[0]].lang_pred == r[2] for r in held]) > 0.99
+    assert [got[i].lang_pred for i in range(1000, 1004)] == ["und", "und", "und", "fr"]
+    assert all(0 <= x.score <= 1 for x in got.values())
+    assert language.identify(empty).count() == 0
+
+
+def page_rows():
+    big = "<p>" + "y" * 1200 + "é</p>"
+    return [(1, "http://a/1", big), (2, "http://a/2 x\r\nY: z", big), (9, None, big), (3, "u", "small"), (4, "u", "small"), (5, "u", None), (6, "u", ""), (7, "u", big + "!"), (7, "u", big + "!"), (None, "u", big)]
+
+
+def test_warc(spark):
+    pages = spark.createDataFrame(page_rows(), "page_id long, url string, html string").repartition(3)
+    got = warc.report(pages).collect()
+    assert len(got) == 10
+    for r in got:
+        assert r.payload_bytes == max(len((h or "").encode()) for p, _, h in page_rows() if p == r.page_id)
+        assert r.payload_digest == next(hashlib.sha1((h or "").encode()).hexdigest() for p, _, h in page_rows() if p == r.page_id)
+        assert (r.record_type, r.refers_to) == (("revisit", 9) if r.page_id in (1, 2, None) else ("response", None))
+    assert warc.report(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_salvage(packed):
+    """Records after damage are recovered and the gap's bytes are reported."""
+    import gzip
+
+    r = random.Random(7)
+    payloads = [bytes(r.randrange(256) for _ in range(400)) for _ in range(12)]
+    records = [warc.record(i, f"u{i}", p, hashlib.sha1(p).hexdigest()) for i, p in enumerate(payloads)]
+    members = [gzip.compress(x) for x in records] if packed else records
+    data = bytearray(b"".join(members))
+    starts = np.cumsum([0] + [len(x) for x in members])
+    for k in (2, 3, 7):
+        at = starts[k] + len(members[k]) // 2
+        data[at : at + 8] = bytes(8)
+    data = bytes(data[: starts[11] + len(members[11]) - 5])
+    found = list(warc.salvage(lambda at, n: data[at : at + n], len(data)))
+    assert [x[3]["page_id"] for x in found if x[3]] == [0, 1, 4, 5, 6, 8, 9, 10]
+    assert all(x[3]["payload"] == payloads[x[3]["page_id"]] for x in found if x[3])
+    assert [(a, b) for a, b, problem, x in found if problem] == [(starts[2], starts[4]), (starts[7], starts[8]), (starts[11], len(data))]
+    assert found[0][0] == 0 and all(a[1] == b[0] for a, b in zip(found, found[1:])) and found[-1][1] == len(data)
