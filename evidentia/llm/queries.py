@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import bpe, decontaminate, language, pii, quality, shards, simhash, substrings, toxicity, warc
 from .common import table
+from .sql import ORACLE_SQL
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -60,4 +61,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_bpe, op3_simhash, op4_quality, op5_toxicity, op6_warc, op7_shards, op8_substrings, op9_pii, op10_language, pipeline)}
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
