@@ -31,12 +31,13 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
 class Transducer:
     """Encodes pieces of bytes; states are compiled from the ranks as they are met."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 250_000, max_pieces: int = 200_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 250_000, max_pieces: int = 400_000):
         self.ranks = ranks
         self.prefixes = {t[:n] for t in ranks for n in range(1, len(t))}
         self.token = {i: t for t, i in ranks.items()}
         self.max_states, self.max_pieces = max_states, max_pieces
         self.pairs: dict[tuple[int, int], bool] = {}
+        self.edges: dict[tuple[int, bool], list[tuple[bytes, int]] | None] = {}
         self.pieces: dict[str, bytes] = {}
         self._reset()
 
@@ -56,20 +57,62 @@ class Transducer:
     def stable(self, left: int, right: int) -> bool:
         """Whether the merges turn the two tokens' bytes into just these two tokens."""
         if (known := self.pairs.get((left, right))) is None:
-            if len(self.pairs) > self.max_states:
+            if len(self.pairs) > 2 * self.max_states:
                 self.pairs.clear()
-            a, b = self.token[left], self.token[right]
-            known = self.pairs[left, right] = self.merged(a + b) == [a, b]
+            known = self.pairs[left, right] = self._stable(left, right)
         return known
 
-    def merged(self, data: bytes) -> list[bytes]:
-        """Parts after all merges, lowest rank first and leftmost among equals."""
+    def _edge(self, token: int, last: bool) -> list[tuple[bytes, int]] | None:
+        """The parts at a token's last (or first) edge as its bytes merge, each with the rank of the merge that ends it.
+
+        None if the merges don't make the token, or not in the order of their ranks.
+        """
+        if (token, last) not in self.edges:
+            data, edge = self.token[token], []
+            steps = list(self.merging(data))
+            in_order = steps[-1] == [data] and all(a[0] < b[0] for a, b in zip(self.taken, self.taken[1:]) if a[0] != b[0])
+            for parts, (rank, _) in zip(steps, [*self.taken, (1 << 60, 0)]):
+                part = parts[-1 if last else 0]
+                if edge and edge[-1][0] == part:
+                    edge[-1] = part, rank
+                else:
+                    edge.append((part, rank))
+            self.edges[token, last] = edge if in_order else None
+        return self.edges[token, last]
+
+    def _stable(self, left: int, right: int) -> bool:
+        a, b = self._edge(left, True), self._edge(right, False)
+        if a is None or b is None:
+            return self.merged(self.token[left] + self.token[right]) == [self.token[left], self.token[right]]
+        i = j = 0
+        while True:
+            (x, x_ends), (y, y_ends) = a[i], b[j]
+            across = self.ranks.get(x + y, 1 << 60)
+            if across < x_ends and across <= y_ends and across < 1 << 60:
+                return False
+            if x_ends == y_ends == 1 << 60:
+                return True
+            if x_ends <= y_ends:
+                i += 1
+            else:
+                j += 1
+
+    def merging(self, data: bytes):
+        """The parts before and after each merge, lowest rank first and leftmost among equals; `taken` lists rank and place."""
+        self.taken: list[tuple[int, int]] = []
         parts = [data[i : i + 1] for i in range(len(data))]
+        yield list(parts)
         while len(parts) > 1:
             rank, at = min((self.ranks.get(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
             if rank == 1 << 60:
-                break
+                return
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            self.taken.append((rank, at))
+            yield list(parts)
+
+    def merged(self, data: bytes) -> list[bytes]:
+        """The parts after all merges."""
+        *_, parts = self.merging(data)
         return parts
 
     def _move(self, n: int, byte: int) -> tuple[int, tuple[int, ...]]:
