@@ -3,10 +3,12 @@
 Every window of `length` words has a Rabin-Karp hash. Two equal windows hold the same least hash among their runs of
 `run` words, at the same place; so only windows whose least run occurs more than once in the corpus can repeat. Those
 runs are counted first and the windows that hold one are then counted in Spark; no window that repeats is passed over,
-and most others never enter a shuffle. Overlapping and adjoining repeated windows of a row merge to maximal intervals.
+and most others never enter a shuffle. Overlapping and adjoining repeated windows of a text merge to maximal intervals.
+Texts that occur more than once repeat all their windows; they are counted first and only one of each goes on, for the
+sake of what it shares with others, so a large group of copies adds no windows.
 
-Null and empty texts, and texts shorter than a window, lose nothing. Repeated rows repeat each other's windows. Rows are
-told apart by id and text; further columns are not read.
+Null and empty texts, and texts shorter than a window, lose nothing. Rows of equal texts have equal results, whatever
+their ids; ids may be null or repeat. Further columns are not read. Texts, runs and windows are known by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_hash, saved, small_or_shuffled, text_batches
+from .common import saved, small_or_shuffled, text_batches
 
 
 def _least(values, width: int):
@@ -55,8 +57,20 @@ def _windows(column, length: int, run: int):
     return mixed(rolling.spans(at, at + length)), runs[found], found, at - before[row], row
 
 
-def repeated_runs(docs: DataFrame, length: int, run: int) -> DataFrame:
-    """(row, runs): for each row the runs, least of some window, that are so more than once in all rows."""
+def copied_texts(docs: DataFrame) -> DataFrame:
+    """(row, first): texts that occur more than once, by hash, and the least id that has them; a written table."""
+    groups = docs.select(F.xxhash64("text").alias("row"), "doc_id").groupBy("row").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
+    return saved(groups.where("n > 1").select("row", "first"), "copies")
+
+
+def distinct_texts(docs: DataFrame, copies: DataFrame) -> DataFrame:
+    """(text, row): all texts that occur once, and those rows of the others that have the least id."""
+    rows = docs.select("text", F.xxhash64("text").alias("row"), "doc_id").join(small_or_shuffled(copies.withColumn("copied", F.lit(True))), "row", "left")
+    return rows.where(F.col("copied").isNull() | F.col("doc_id").eqNullSafe(F.col("first"))).select("text", "row")
+
+
+def repeated_runs(texts: DataFrame, length: int, run: int) -> DataFrame:
+    """(row, runs): for each text the runs, least of some window, that are so more than once in all texts."""
 
     def emit(batches):
         import numpy as np
@@ -68,15 +82,16 @@ def repeated_runs(docs: DataFrame, length: int, run: int) -> DataFrame:
             new = np.flatnonzero(np.diff(found, prepend=-1))  # each place once
             yield pa.RecordBatch.from_arrays([pa.array(key[row[new]]), pa.array(least[new].view(np.int64))], names=["row", "run"])
 
-    each = saved(docs.select("text", row_hash("doc_id", "text").alias("row")).mapInArrow(emit, "row long, run long"), "runs")
+    each = saved(texts.mapInArrow(emit, "row long, run long"), "runs")
     often = saved(each.groupBy("run").agg(F.count("*").alias("n")).where("n > 1").select("run"), "repeated-runs")
     # A run that is often repeated meets the side of distinct runs, so only a join of one row with many.
-    return saved(each.join(small_or_shuffled(often, 200_000), "run").groupBy("row").agg(F.collect_set("run").alias("runs")), "runs-by-row")
+    return saved(each.join(small_or_shuffled(often, 20_000), "run").groupBy("row").agg(F.collect_set("run").alias("runs")), "runs-by-row")
 
 
-def removal_intervals(docs: DataFrame, *, length: int = 35, run: int = 16) -> DataFrame:
-    """(row, cuts): maximal intervals array<struct<start, end>> of word positions to remove, by start."""
-    runs = repeated_runs(docs, length, run)
+def removal_intervals(docs: DataFrame, copies: DataFrame, *, length: int = 35, run: int = 16) -> DataFrame:
+    """(row, cuts): maximal intervals array<struct<start, end>> of word positions to remove, by start, of the distinct texts."""
+    distinct = distinct_texts(docs, copies)
+    runs = repeated_runs(distinct, length, run)
 
     def emit(batches):
         import numpy as np
@@ -91,7 +106,7 @@ def removal_intervals(docs: DataFrame, *, length: int = 35, run: int = 16) -> Da
             value, at, row = value[keep], at[keep], row[keep]
             yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(key[row]), pa.array(at.astype(np.int32))], names=["window", "row", "at"])
 
-    texts = docs.select("text", row_hash("doc_id", "text").alias("row")).join(small_or_shuffled(runs, 100_000), "row").select("text", "row", "runs")
+    texts = distinct.join(small_or_shuffled(runs, 100_000), "row").select("text", "row", "runs")
     each = saved(texts.mapInArrow(emit, "window long, row long, at int"), "windows")
     often = each.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
     places = each.join(often, "window").groupBy("row").agg(F.array_sort(F.collect_set("at")).alias("at"))
@@ -116,24 +131,30 @@ def removal_intervals(docs: DataFrame, *, length: int = 35, run: int = 16) -> Da
 
 def deduplicate(docs: DataFrame, *, length: int = 35, run: int = 16) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, and kept, the kept words joined by one space, in UTF-8."""
-    cuts = removal_intervals(docs, length=length, run=run)
+    copies = copied_texts(docs)
+    cuts = removal_intervals(docs, copies, length=length, run=run)
+    whole = copies.select("row", F.lit(True).alias("copied"))
+    cuts = saved(cuts.join(small_or_shuffled(whole), "row", "left_anti").withColumn("copied", F.lit(False)).unionByName(whole, allowMissingColumns=True), "cuts-and-copies")
 
     def apply(batches):
         import pyarrow as pa
 
         for batch in text_batches(batches, "text"):
             n_words, n_removed, kept = [], [], []
-            for text, spans in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+            for text, spans, copied in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 words = (text or "").encode().split()
                 n_words.append(len(words))
+                if copied and len(words) >= length:
+                    words = []
+                    spans = None
                 for span in reversed(spans or []):
                     del words[span["start"] : span["end"]]
                 n_removed.append(n_words[-1] - len(words))
                 kept.append(b" ".join(words))
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary())], names=["doc_id", "n_words", "n_removed", "kept"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_hash("doc_id", "text").alias("row")).join(small_or_shuffled(cuts, 200_000), "row", "left")
-    return texts.select("text", "doc_id", "cuts").mapInArrow(apply, "doc_id long, n_words long, n_removed long, kept binary")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("row")).join(small_or_shuffled(cuts, 200_000), "row", "left")
+    return texts.select("text", "doc_id", "cuts", "copied").mapInArrow(apply, "doc_id long, n_words long, n_removed long, kept binary")
 
 
 def digest(kept: DataFrame) -> DataFrame:
