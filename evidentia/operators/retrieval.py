@@ -9,32 +9,49 @@ from ..functions import text as T
 from ..functions.domain import in_window
 
 
-def postings(docs: DataFrame, id_col: str, text: Column, terms=T.terms) -> DataFrame:
-    """(id, term, tf, length) of each document; documents without terms have no rows."""
-    each = docs.select(F.col(id_col).alias("id"), F.explode(terms(text)).alias("term"))
-    counts = each.groupBy("id", "term").agg(F.count("*").alias("tf"))
-    return counts.withColumn("length", F.sum("tf").over(Window.partitionBy("id")))
+def postings(docs: DataFrame, id_col: str, text: Column, terms=T.terms, wanted: DataFrame | None = None) -> DataFrame:
+    """(id, term, tf, length) of each document; documents without terms have no rows.
+
+    A document's length is taken before its terms are exploded, so no window over documents is needed. With `wanted`
+    (term), only postings of those terms are kept; lengths still count all terms.
+    """
+    listed = docs.select(F.col(id_col).alias("id"), terms(text).alias("terms"))
+    each = listed.select("id", F.size("terms").alias("length"), F.explode("terms").alias("term"))
+    if wanted is not None:
+        each = each.join(wanted, "term", "left_semi")
+    return each.groupBy("id", "length", "term").agg(F.count("*").alias("tf")).select("id", "term", "tf", "length")
 
 
-def weights(index: DataFrame, n_docs: int) -> DataFrame:
+def weights(index: DataFrame, n_docs: int, mean_length: float) -> DataFrame:
     """(id, term, weight): each posting's BM25 share, k1 = 1.5, b = 0.75; the mean length is at least 1.
 
-    n_docs counts documents without terms too. The mean is a scalar, so lengths need no join.
+    n_docs counts documents without terms too, and mean_length is over all of them.
     """
-    total = index.agg(F.sum("tf")).first()[0] or 0
-    mean = max(1.0, total / max(1, n_docs))
+    mean = max(1.0, mean_length)
     df = index.groupBy("term").agg(F.count("*").alias("df"))
     idf = F.ln(1 + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = idf * F.col("tf") * 2.5 / (F.col("tf") + 1.5 * (0.25 + 0.75 * F.col("length") / mean))
     return index.join(df, "term").select("id", "term", weight.alias("weight"))
 
 
-def scores(queries: DataFrame, id_col: str, text: Column, index: DataFrame, terms=T.terms) -> DataFrame:
-    """(query_id, id, score) of all documents that share a term with a query; a query's terms count once each."""
-    asked = queries.select(F.col(id_col).alias("query_id"), F.explode(F.array_distinct(terms(text))).alias("term"))
+def query_terms(queries: DataFrame, id_col: str, text: Column, terms=T.terms) -> DataFrame:
+    """(query_id, term): a query's terms count once each."""
+    return queries.select(F.col(id_col).alias("query_id"), F.explode(F.array_distinct(terms(text))).alias("term"))
+
+
+def scores(asked: DataFrame, index: DataFrame) -> DataFrame:
+    """(query_id, id, score) of all documents that share a term with a query, from query_terms and weights."""
     return asked.join(index, "term").groupBy("query_id", "id").agg(F.round(F.sum("weight"), 6).alias("score")).where("score > 0")
 
 
+def rank(queries: DataFrame, query_id: str, docs: DataFrame, doc_id: str, text: str = "text", terms=T.terms) -> DataFrame:
+    """(query_id, id, score) of queries against documents; only postings of terms that some query has are made."""
+    asked = query_terms(queries, query_id, F.col(text), terms)
+    counted = docs.agg(F.count("*").alias("n"), F.sum(F.size(terms(F.col(text)))).alias("length")).first()
+    index = postings(docs, doc_id, F.col(text), terms, asked.select("term").distinct())
+    return scores(asked, weights(index, counted.n, (counted.length or 0) / max(1, counted.n)))
+
+
 def top(ranked: DataFrame, k: int, *by: str) -> DataFrame:
     """The k best of each group by score, then id, with their rank from 1."""
     rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("score"), "id"))

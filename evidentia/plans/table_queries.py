@@ -209,10 +209,8 @@ def stemmed_bm25(spark, sf_dir):
     """TXT-02 with stems: the six best documents of each passage."""
     from ..functions.python_text import stems
 
-    docs = load(spark, sf_dir, "documents")
-    stemmed = lambda c: stems(T.terms(c))
-    index = R.weights(R.postings(docs, "doc_id", F.col("text"), stemmed), docs.count())
-    return R.top(R.scores(load(spark, sf_dir, "benchmark"), "item_id", F.col("text"), index, stemmed), 6, "query_id")
+    ranked = R.rank(load(spark, sf_dir, "benchmark"), "item_id", load(spark, sf_dir, "documents"), "doc_id", terms=lambda c: stems(T.terms(c)))
+    return R.top(ranked, 6, "query_id")
 
 
 @query()

@@ -26,9 +26,7 @@ BM25 = f"""WITH d AS (SELECT doc_id AS id, unnest({DOC_TERMS}) AS term FROM docu
 
 
 def _scores(spark, sf_dir, terms=T.terms):
-    docs = load(spark, sf_dir, "documents")
-    index = R.weights(R.postings(docs, "doc_id", F.col("text"), terms), docs.count())
-    return R.scores(load(spark, sf_dir, "benchmark"), "item_id", F.col("text"), index, terms)
+    return R.rank(load(spark, sf_dir, "benchmark"), "item_id", load(spark, sf_dir, "documents"), "doc_id", terms=terms)
 
 
 @query(BM25 + " SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM s QUALIFY rank <= 6")
@@ -86,8 +84,7 @@ SELF = BM25.replace("FROM documents)", "FROM benchmark)").replace("doc_id AS id"
 def jaccard_pairs(spark, sf_dir):
     """AGG-15, JOIN-06, FIL-16: pairs of passages among each other's neighbours, equal in numbers, by term overlap."""
     items = load(spark, sf_dir, "benchmark")
-    index = R.weights(R.postings(items, "item_id", F.col("text")), items.count())
-    return R.equal_pairs(items, "item_id", F.col("text"), [], R.scores(items, "item_id", F.col("text"), index), share=0.02)
+    return R.equal_pairs(items, "item_id", F.col("text"), [], R.rank(items, "item_id", items, "item_id"), share=0.02)
 
 
 @query()

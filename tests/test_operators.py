@@ -12,11 +12,10 @@ def rows(df, *order):
 
 def test_rank_rules(spark):
     docs = spark.createDataFrame([("a", "mindestlohn mindestlohn klima"), ("b", "klima"), ("c", ""), ("d", None)], "id string, text string")
-    index = retrieval.weights(retrieval.postings(docs, "id", F.col("text")), docs.count())
     asked = spark.createDataFrame([("q", "klima klima unbekannt"), ("p", "mindestlohn"), ("n", None)], "q string, text string")
-    got = retrieval.top(retrieval.scores(asked, "q", F.col("text"), index), 1, "query_id")
+    got = retrieval.top(retrieval.rank(asked, "q", docs, "id"), 1, "query_id")
     assert [(r.query_id, r.id) for r in got.orderBy("query_id").collect()] == [("p", "a"), ("q", "b")]
-    assert retrieval.weights(retrieval.postings(docs.limit(0), "id", F.col("text")), 0).count() == 0
+    assert retrieval.rank(asked, "q", docs.limit(0), "id").count() == 0
 
 
 def test_complete_link(spark):
@@ -28,8 +27,7 @@ def test_complete_link(spark):
 
 def test_equal_pairs_respect_numbers(spark):
     items = spark.createDataFrame([(1, "mindestlohn auf 15 euro erhöhen", "x"), (2, "den mindestlohn auf 15 euro erhöhen", "x"), (3, "mindestlohn auf 14 euro erhöhen", "x"), (4, "mindestlohn auf 15 euro erhöhen", "y")], "id long, text string, program string")
-    index = retrieval.weights(retrieval.postings(items, "id", F.col("text")), 4)
-    pairs = retrieval.equal_pairs(items, "id", F.col("text"), ["program"], retrieval.scores(items, "id", F.col("text"), index))
+    pairs = retrieval.equal_pairs(items, "id", F.col("text"), ["program"], retrieval.rank(items, "id", items, "id"))
     assert [r[:2] for r in rows(pairs)] == [(1, 2)]
 
 
