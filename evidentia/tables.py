@@ -83,4 +83,6 @@ def model(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def with_model(sql: str, *names: str) -> str:
     """SQL after the model's tables that it needs."""
-    return f"WITH {', '.join(f'{n} AS ({MODEL[n]})' for n in needed(list(names)))} {sql}"
+    own = sql.lstrip()
+    rest = f", {own[5:]}" if own.startswith("WITH ") else f" {sql}"
+    return f"WITH {', '.join(f'{n} AS ({MODEL[n]})' for n in needed(list(names)))}{rest}"
