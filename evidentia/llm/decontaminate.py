@@ -1,7 +1,7 @@
 """Benchmark decontamination with a positional inverted index, in DataFrame operations only.
 
 The index holds a posting (term, row, position) for each training word that occurs in the test set; other words can
-never be part of a match. For each test window the two rarest of its words, by their counts in the index, look up their
+never be part of a match. A row's end has a posting too, whose position is the row's number of words. For each test window the two rarest of its words, by their counts in the index, look up their
 postings; positions less the word's offset in the window give starts, and starts on both lists are candidates. A
 candidate is confirmed by comparing the whole window with the row's words.
 
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .common import row_hash, saved, small_or_shuffled
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+END = "\x00"  # the term of a row's end; no word has this character
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -37,19 +38,21 @@ def test_windows(benchmark: DataFrame, length: int) -> tuple[DataFrame, DataFram
 
 def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """Postings (term, doc_id, row, pos) of the given terms, written to the shared folder; pos counts from 0."""
-    each = docs.select("doc_id", row_hash("doc_id", "text").alias("row"), F.posexplode(words(F.col("text"))).alias("pos", "term"))
+    ended = F.concat(words(F.col("text")), F.array(F.lit(END)))
+    each = docs.select("doc_id", row_hash("doc_id", "text").alias("row"), F.posexplode(ended).alias("pos", "term"))
     return saved(each.join(small_or_shuffled(terms), "term").select("term_id", "doc_id", "row", "pos"), "postings")
 
 
 def _terms_of(windows: DataFrame) -> DataFrame:
-    distinct = windows.select(F.explode("terms").alias("term")).distinct()
+    distinct = windows.select(F.explode(F.array_append("terms", F.lit(END))).alias("term")).distinct()
+    if windows.isEmpty():
+        distinct = windows.sparkSession.createDataFrame([(END,)], "term string")
     return saved(distinct.select("term", F.xxhash64("term").alias("term_id")), "terms")
 
 
-def phrase_matches(docs: DataFrame, windows: DataFrame, *, anchors: int = 2) -> DataFrame:
+def phrase_matches(docs: DataFrame, windows: DataFrame, index: DataFrame | None = None, *, anchors: int = 2) -> DataFrame:
     """(doc_id, row, found): found is array<struct<start, end, window_id>> of confirmed occurrences, by start."""
-    windows = saved(windows, "distinct-windows")
-    index = build_index(docs, _terms_of(windows))
+    index = build_index(docs, _terms_of(windows)) if index is None else index
     counts = index.groupBy("term_id").agg(F.count("*").alias("n"))
     places = windows.select("window_id", F.posexplode("terms").alias("offset", "term"))
     places = places.select("window_id", "offset", F.xxhash64("term").alias("term_id")).join(counts, "term_id")
@@ -89,7 +92,9 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, *, terms: int = 4,
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, length: int = 10) -> DataFrame:
     """Per row: doc_id, n_words, n_hit (words inside an occurrence of a window), n_items, items_sha256, contaminated."""
     windows, owners = test_windows(benchmark, length)
-    found = saved(phrase_matches(docs, windows), "found")
+    windows = saved(windows, "distinct-windows")
+    index = build_index(docs, _terms_of(windows))
+    found = saved(phrase_matches(docs, windows, index), "found")
     step = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end"))
     covered = F.aggregate("found", step, lambda a, m: F.struct((a["n"] + F.greatest(F.lit(0), m["end"] - F.greatest(a["end"], m["start"]))).alias("n"), F.greatest(a["end"], m["end"]).alias("end")))["n"]
     hits = found.select("row", covered.alias("n_hit")).dropDuplicates(["row"])
@@ -97,6 +102,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, length: int = 10) ->
     items = pairs.join(saved(owners, "owners"), "window_id").select("row", F.col("item_id").cast("string").alias("item")).distinct()
     items = items.groupBy("row").agg(F.count("*").alias("n_items"), F.array_join(F.array_sort(F.collect_list("item")), ",").alias("items"))
     verdict = saved(hits.join(items, "row", "left"), "hits")
-    rows = docs.select("doc_id", row_hash("doc_id", "text").alias("row"), F.coalesce(F.regexp_count(F.col("text"), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")), F.lit(0)).cast("long").alias("n_words"))
+    rows = index.where(F.col("term_id") == F.xxhash64(F.lit(END))).select("doc_id", "row", F.col("pos").cast("long").alias("n_words"))
     out = rows.join(small_or_shuffled(verdict), "row", "left")
     return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), F.sha2(F.coalesce("items", F.lit("")), 256).alias("items_sha256"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
