@@ -28,6 +28,7 @@ KINDS = {
 ORDER = [*KINDS, "term"]
 WORD = r"[^\x20\x09-\x0D]+"
 EDGES = r"^[\p{P}\p{S}]+|[\p{P}\p{S}]+$"
+NAME = r"^[^@\p{N}]*\p{L}[^@\p{N}]*$"  # a term may be a word, not a number or an entity of its own
 
 
 def _luhn(digits: Column) -> Column:
@@ -90,7 +91,7 @@ def revealing_terms(docs: DataFrame, spans: DataFrame, *, near: int, share: floa
     words_at = lambda part: F.regexp_extract_all(part, F.lit(WORD), F.lit(0))
     before = F.slice(F.reverse(words_at(F.expr(f"substring(text, cast(greatest(start - {reach}, 0) as int) + 1, cast(least(start, {reach}) as int))"))), 1, near)
     after = F.slice(words_at(F.expr(f"substring(text, cast(end as int) + 1, {reach})")), 1, near)
-    around = F.array_distinct(F.filter(F.transform(F.concat(before, after), lambda w: F.regexp_replace(w, EDGES, "")), lambda w: F.length(w) > 2))
+    around = F.array_distinct(F.filter(F.transform(F.concat(before, after), lambda w: F.regexp_replace(w, EDGES, "")), lambda w: (F.length(w) > 2) & w.rlike(NAME)))
     pairs = saved(texts.select("row", "content", "entity", "n_e", F.explode(around).alias("term")), "terms-near")
     both = pairs.select("entity", "n_e", "term", "content").distinct().groupBy("entity", "n_e", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= support)
     both = saved(both, "pairs")
