@@ -58,21 +58,33 @@ def top(ranked: DataFrame, k: int, *by: str) -> DataFrame:
     return ranked.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def eligible(laws: DataFrame, criteria: DataFrame, programs: DataFrame) -> DataFrame:
-    """(law_id, criterion_id): neither is rejected nor is the programme, and the law falls into the programme's window.
+def eligible_only(pairs: DataFrame, laws: DataFrame, criteria: DataFrame, programs: DataFrame) -> DataFrame:
+    """Those rows of pairs (law_id, criterion_id, ...) whose law falls into the window of the criterion's programme.
 
-    The window is a range condition over the programmes, whose number is bounded by parties times elections; they are
-    matched with laws first, and criteria follow by programme.
+    Neither law, criterion nor programme may be rejected. Pairs that exist are looked up, so the product of laws and
+    criteria is never made; programmes are few (parties times elections) and are broadcast.
     """
     p = programs.where("review <> 'rejected'").select("program_id", "period_start", "period_end")
-    active = laws.where("review <> 'rejected'").select("law_id", "published_at").join(p, in_window(F.col("published_at"), F.col("period_start"), F.col("period_end")))
-    return active.select("law_id", "program_id").join(criteria.where("review <> 'rejected'").select("criterion_id", "program_id"), "program_id").select("law_id", "criterion_id")
+    c = criteria.where("review <> 'rejected'").select("criterion_id", "program_id").join(F.broadcast(p), "program_id")
+    v = laws.where("review <> 'rejected'").select("law_id", F.col("published_at").alias("__day"))
+    rows = pairs.join(v, "law_id").join(c, "criterion_id").where(in_window(F.col("__day"), F.col("period_start"), F.col("period_end")))
+    return rows.select(*pairs.columns)
 
 
-def candidates(whole: DataFrame, windows: DataFrame, reverse: DataFrame, eligible_pairs: DataFrame | None = None) -> DataFrame:
-    """Union of (query_id, id) from three rankings; what is eligible is looked up after ranking, not before."""
-    pairs = whole.select("query_id", "id").union(windows.select("query_id", "id")).union(reverse.select("query_id", "id")).distinct()
-    return pairs if eligible_pairs is None else pairs.join(eligible_pairs, ["query_id", "id"], "left_semi")
+def candidates(laws: DataFrame, criteria: DataFrame, *, whole: int = 12, per_window: int = 2, reverse: int = 3, width: int = 8000, stride: int = 6000) -> DataFrame:
+    """(law_id, criterion_id): the union of three rankings, each cut to its best; what is eligible is looked up afterwards.
+
+    A law's text (law_id, title, text) asks the index of criteria (criterion_id, text), and so does each window of it with
+    the title before; each criterion asks the index of laws.
+    """
+    titled = laws.select("law_id", F.concat_ws(" ", "title", "text").alias("text"), "title", F.col("text").alias("body"))
+    parts = titled.select("law_id", "title", F.explode(T.text_windows(F.col("body"), width, stride)).alias("w"))
+    parts = parts.select("law_id", F.col("w.offset").alias("offset"), F.concat_ws(" ", "title", "w.part").alias("text"))
+    by_law = top(rank(titled, "law_id", criteria, "criterion_id"), whole, "query_id").select(F.col("query_id").alias("law_id"), F.col("id").alias("criterion_id"))
+    keyed = parts.select(F.struct("law_id", "offset").alias("window"), "text")
+    by_window = top(rank(keyed, "window", criteria, "criterion_id"), per_window, "query_id").select(F.col("query_id.law_id").alias("law_id"), F.col("id").alias("criterion_id"))
+    by_criterion = top(rank(criteria, "criterion_id", titled, "law_id"), reverse, "query_id").select(F.col("id").alias("law_id"), F.col("query_id").alias("criterion_id"))
+    return by_law.union(by_window).union(by_criterion).distinct()
 
 
 def numbers(text: Column) -> Column:

@@ -41,9 +41,7 @@ def eligibility_window(spark, sf_dir):
 def eligible_impacts(spark, sf_dir):
     """FIL-03, JOIN-01: impacts whose pair of law and criterion is eligible."""
     impacts, laws, criteria, programs = m(spark, sf_dir, "impact", "law", "criterion", "program")
-    p = programs.where("review <> 'rejected'").select("program_id", "period_start", "period_end")
-    rows = impacts.select("impact_id", "law_id", "criterion_id").join(laws.where("review <> 'rejected'").select("law_id", "published_at"), "law_id").join(criteria.where("review <> 'rejected'").select("criterion_id", "program_id"), "criterion_id").join(F.broadcast(p), "program_id")
-    return rows.where(D.in_window(F.col("published_at"), F.col("period_start"), F.col("period_end"))).select("impact_id", "law_id", "criterion_id")
+    return R.eligible_only(impacts.select("impact_id", "law_id", "criterion_id"), laws, criteria, programs)
 
 
 OUT = f"""good AS (SELECT * FROM impact WHERE {OK}),

@@ -15,14 +15,16 @@ Q_WORDS = r"regexp_extract_all(replace(lower({c}), 'ß', 'ss'), '[\p{{L}}\p{{N}}
 Q_TERMS = f"list_filter({Q_WORDS}, lambda w: length(w) > 2 AND NOT list_contains({STOP}, w))"
 DOC_TERMS, ITEM_TERMS = Q_TERMS.format(c="text"), Q_TERMS.format(c="text")
 
-BM25 = f"""WITH d AS (SELECT doc_id AS id, unnest({DOC_TERMS}) AS term FROM documents),
-  tf AS (SELECT id, term, count(*) AS tf FROM d GROUP BY ALL), len AS (SELECT id, sum(tf) AS length FROM tf GROUP BY id),
-  n AS (SELECT count(*) AS n FROM documents), mean AS (SELECT greatest(1, sum(tf) * 1.0 / (SELECT n FROM n)) AS mean FROM tf),
-  df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
-  w AS (SELECT id, term, ln(1 + ((SELECT n FROM n) - df + 0.5) / (df + 0.5)) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * length / (SELECT mean FROM mean))) AS weight
-    FROM tf JOIN len USING (id) JOIN df USING (term)),
-  q AS (SELECT DISTINCT item_id AS query_id, unnest({ITEM_TERMS}) AS term FROM benchmark),
-  s AS (SELECT query_id, id, round(sum(weight), 6) AS score FROM q JOIN w USING (term) GROUP BY ALL HAVING round(sum(weight), 6) > 0)"""
+def bm25_sql(docs: str, queries: str, p: str = "") -> str:
+    """CTEs up to {p}s (query_id, id, score) for docs (id, text) and queries (query_id, text)."""
+    return f"""{p}d AS (SELECT id, unnest({DOC_TERMS}) AS term FROM ({docs})), {p}tf AS (SELECT id, term, count(*) AS tf FROM {p}d GROUP BY ALL), {p}len AS (SELECT id, sum(tf) AS length FROM {p}tf GROUP BY id),
+  {p}n AS (SELECT count(*) AS n FROM ({docs})), {p}mean AS (SELECT greatest(1, sum(tf) * 1.0 / (SELECT n FROM {p}n)) AS mean FROM {p}tf), {p}df AS (SELECT term, count(*) AS df FROM {p}tf GROUP BY term),
+  {p}w AS (SELECT id, term, ln(1 + ((SELECT n FROM {p}n) - df + 0.5) / (df + 0.5)) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * length / (SELECT mean FROM {p}mean))) AS weight FROM {p}tf JOIN {p}len USING (id) JOIN {p}df USING (term)),
+  {p}q AS (SELECT DISTINCT query_id, unnest({DOC_TERMS}) AS term FROM ({queries})), {p}s AS (SELECT query_id, id, round(sum(weight), 6) AS score FROM {p}q JOIN {p}w USING (term) GROUP BY ALL HAVING round(sum(weight), 6) > 0)"""
+
+
+DOCS, ITEMS = "SELECT doc_id AS id, text FROM documents", "SELECT item_id AS id, text FROM benchmark"
+BM25 = "WITH " + bm25_sql(DOCS, "SELECT item_id AS query_id, text FROM benchmark")
 
 
 def _scores(spark, sf_dir, terms=T.terms):
@@ -42,18 +44,21 @@ def bm25_per_group_quota(spark, sf_dir):
     return R.top(_scores(spark, sf_dir).join(docs, "id"), 2, "query_id", "lang").select("query_id", "lang", "id", "score", "rank")
 
 
-@query(BM25 + """, w AS (SELECT query_id, id FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) <= 12),
-  r AS (SELECT query_id, id FROM s QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, query_id) <= 3),
-  e AS (SELECT item_id AS query_id, doc_id AS id FROM benchmark JOIN documents ON (item_id % 2 = 0) = (lang = 'en'))
-  SELECT query_id, id FROM (SELECT * FROM w UNION SELECT * FROM r) JOIN e USING (query_id, id)""".replace(", w AS (SELECT query_id", ", best AS (SELECT query_id").replace("SELECT * FROM w UNION", "SELECT * FROM best UNION"))
+TITLED = "SELECT doc_id, source || ' ' || text AS text FROM documents"
+WINDOWS = "SELECT doc_id || ':' || o AS query_id, source || ' ' || substr(text, CAST(o AS INT) + 1, 8000) AS text FROM (SELECT doc_id, source, text, unnest(range(0, length(text), 6000)) AS o FROM documents)"
+
+
+@query(f"""WITH {bm25_sql(ITEMS, TITLED.replace('doc_id,', 'doc_id AS query_id,'), 'a')}, {bm25_sql(ITEMS, WINDOWS, 'b')}, {bm25_sql(TITLED.replace('doc_id,', 'doc_id AS id,'), 'SELECT item_id AS query_id, text FROM benchmark', 'c')},
+  u AS (SELECT query_id AS law_id, id AS criterion_id FROM (SELECT * FROM as_ QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) <= 12)
+    UNION SELECT split_part(query_id, ':', 1)::BIGINT, id FROM (SELECT * FROM bs QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) <= 2)
+    UNION SELECT id, query_id FROM (SELECT * FROM cs QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) <= 3))
+  SELECT law_id, criterion_id FROM u JOIN documents ON law_id = doc_id WHERE (criterion_id % 2 = 0) = (lang = 'en')""".replace("as AS (", "as_ AS (").replace("FROM as_", "FROM as_"))
 def candidate_union(spark, sf_dir):
-    """WIN-02, SET-01, SET-02: best documents of each passage and best passages of each document, ranked first, then eligible."""
-    s = _scores(spark, sf_dir)
-    reverse = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("score"), "query_id"))
-    both = R.candidates(R.top(s, 12, "query_id"), s.where("false"), s.withColumn("r", reverse).where("r <= 3"))
-    items, docs = load(spark, sf_dir, "benchmark"), load(spark, sf_dir, "documents")
-    kinds = both.join(items.select(F.col("item_id").alias("query_id"), (F.col("item_id") % 2 == 0).alias("even")).distinct(), "query_id").join(docs.select(F.col("doc_id").alias("id"), "lang").distinct(), "id")
-    return kinds.where(F.col("even") == (F.col("lang") == "en")).select("query_id", "id")
+    """WIN-02, TXT-26, SET-01, SET-02: passages for documents and their windows, and documents for passages, ranked first, then eligible."""
+    docs, items = load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark")
+    laws, criteria = docs.select(F.col("doc_id").alias("law_id"), F.col("source").alias("title"), "text"), items.select(F.col("item_id").alias("criterion_id"), "text")
+    found = R.candidates(laws, criteria).join(docs.select(F.col("doc_id").alias("law_id"), "lang"), "law_id")
+    return found.where((F.col("criterion_id") % 2 == 0) == (F.col("lang") == "en")).select("law_id", "criterion_id")
 
 
 @query("""SELECT doc_id, o AS "offset", length(substr(text, CAST(o AS INT) + 1, 8000)) AS n, sha256(substr(text, CAST(o AS INT) + 1, 8000)) AS part_sha256
@@ -72,7 +77,7 @@ def token_stats(spark, sf_dir):
     return docs.select("doc_id", "n_words", F.size(t).cast("long").alias("n_terms"), F.size(F.array_distinct(t)).cast("long").alias("n_distinct"))
 
 
-SELF = BM25.replace("FROM documents)", "FROM benchmark)").replace("doc_id AS id", "item_id AS id").replace("count(*) AS n FROM documents", "count(*) AS n FROM benchmark")
+SELF = "WITH " + bm25_sql(ITEMS, "SELECT item_id AS query_id, text FROM benchmark")
 
 
 @query(SELF + f""", near AS (SELECT query_id, id FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) <= 7),

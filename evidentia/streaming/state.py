@@ -45,6 +45,30 @@ def validated(tasks: DataFrame, answers: DataFrame) -> tuple[DataFrame, DataFram
     return answers.join(bad, F.col("key").cast("string") == F.col("__bad"), "left_anti"), found
 
 
+def splitting(judge: Judge, sound: Callable[[pd.DataFrame, pd.DataFrame], bool]) -> Judge:
+    """A judge that halves a batch whose answers are not sound, or that fails, and asks again; single rows may stay unanswered."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        try:
+            answers = judge(frame)
+            if sound(frame, answers):
+                return answers
+        except (ValueError, KeyError):
+            answers = None
+        if len(frame) <= 1:
+            return answers.iloc[:0] if answers is not None else pd.DataFrame({"key": frame["key"].iloc[:0]})
+        half = len(frame) // 2
+        parts = [p for p in (run(frame.iloc[:half]), run(frame.iloc[half:])) if len(p)]
+        return pd.concat(parts) if parts else run(frame.iloc[:1]).iloc[:0]
+
+    return run
+
+
+def answers_all(frame: pd.DataFrame, answers: pd.DataFrame) -> bool:
+    """Whether each key of a batch is answered exactly once and nothing else is."""
+    return sorted(frame["key"]) == sorted(answers["key"])
+
+
 def overlap_judge(left: str, right: str, least: float = 0.2) -> Judge:
     """A deterministic judge that needs no service: supported if enough words of one text are in the other."""
 

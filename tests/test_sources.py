@@ -191,3 +191,32 @@ def test_streams(spark, tmp_path):
     query = state.event_windows(live).writeStream.outputMode("complete").format("memory").queryName("w").trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted(map(repr, spark.table("w").collect())) == sorted(map(repr, state.event_windows(events).collect()))
+
+
+def test_splitting(spark):
+    """A failing batch is halved until its sound rows are answered."""
+    tasks = spark.createDataFrame([(i, 0) for i in range(9)], "key long, law long")
+
+    def weak(frame):
+        if 5 in set(frame["key"]):
+            raise ValueError("refused")
+        return pd.DataFrame({"key": frame["key"], "supported": True})
+
+    answers = state.judged(tasks, state.splitting(weak, state.answers_all), "key long, supported boolean", batch=9, by="law")
+    good, bad = state.validated(tasks, answers)
+    assert sorted(r.key for r in good.collect()) == [0, 1, 2, 3, 4, 6, 7, 8] and rows(bad) == [("unanswered", "5")]
+
+
+SECOND = "Der Ausschuss empfiehlt, den Gesetzentwurf auf Drucksache 20/7 anzunehmen. Zweite und dritte Beratung. Ich bitte diejenigen, die dem zustimmen, um das Handzeichen. Der Gesetzentwurf ist in zweiter Beratung angenommen. "
+THIRD = "Wir kommen zur Schlussabstimmung. Ich bitte diejenigen, die zustimmen wollen, sich zu erheben. Der Gesetzentwurf ist angenommen."
+
+
+def test_decision_passage(spark):
+    text = SECOND + THIRD
+    at = transcripts.decision_passage(text, {"20/7"}, "final_passage")
+    assert at and text[slice(*at)].startswith("Schlussabstimmung") and transcripts.decision_passage(text, {"20/7"}, "second_reading")
+    assert transcripts.decision_passage(text, {"20/8"}, "final_passage") is None and transcripts.decision_passage(text, set(), "final_passage") is None
+    other = SECOND + "Tagesordnungspunkt 9. " + THIRD
+    assert transcripts.decision_passage(other, {"20/7"}, "final_passage") is None
+    df = spark.createDataFrame([(1, text, ["20/7"], "final_passage"), (2, None, None, "x")], "block_id long, text string, numbers array<string>, stage string")
+    assert [r.quote for r in transcripts.decision_passages(df).collect()] == [text[slice(*at)]]
