@@ -1,6 +1,7 @@
 """Text functions that the JVM has no expression for, vectorised over Arrow batches."""
 
 import hashlib
+import html
 import re
 import unicodedata
 
@@ -78,3 +79,33 @@ def anchored(quote: Column, source: Column) -> Column:
         return pd.Series([anchor(q, s) for q, s in zip(quotes, sources)], dtype=object)
 
     return run(quote, source)
+
+
+_LINK = re.compile(r"\[([^\]]+)\]\((https?://[^\s)]+)\)")
+
+
+def safe_html(markdown: str) -> str:
+    """Headings, lists, emphasis and http links of Markdown as HTML; raw HTML is escaped and images are left out."""
+
+    def inline(text: str) -> str:
+        text = html.escape(re.sub(r"!\[[^\]]*\]\([^)]*\)", "", text), quote=True)
+        text = _LINK.sub(r'<a href="\2" rel="noopener">\1</a>', text)
+        return re.sub(r"\*([^*]+)\*", r"<em>\1</em>", re.sub(r"\*\*([^*]+)\*\*", r"<strong>\1</strong>", text))
+
+    out = []
+    for block in re.split(r"\n\s*\n", markdown.strip()):
+        lines = [x.strip() for x in block.splitlines() if x.strip()]
+        if not lines:
+            continue
+        if head := re.match(r"#{1,6}\s+(.+)$", lines[0]):
+            out.append(f"<h6>{inline(head[1])}</h6>")
+            lines = lines[1:]
+        if lines and all(re.match(r"[-*]\s+", x) for x in lines):
+            out.append("<ul>" + "".join(f"<li>{inline(re.sub(r'^[-*]\s+', '', x))}</li>" for x in lines) + "</ul>")
+        elif lines:
+            out.append(f"<p>{inline(' '.join(lines))}</p>")
+    return "".join(out)
+
+
+def rendered(c: Column) -> Column:
+    return _mapped(safe_html, "string")(c)

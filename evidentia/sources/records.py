@@ -92,6 +92,37 @@ def schemas_json() -> dict[str, str]:
     return {name: T._parse_datatype_string(ddl).json() for name, ddl in SCHEMAS.items()}
 
 
+def strict_json_schema(kind: T.DataType) -> dict:
+    """A closed JSON schema of a Spark type: all fields required, none beside them."""
+    if isinstance(kind, T.StructType):
+        return {"type": "object", "properties": {f.name: strict_json_schema(f.dataType) for f in kind}, "required": kind.fieldNames(), "additionalProperties": False}
+    if isinstance(kind, T.ArrayType):
+        return {"type": "array", "items": strict_json_schema(kind.elementType)}
+    names = {T.BooleanType: "boolean", T.IntegerType: "integer", T.LongType: "integer", T.DoubleType: "number"}
+    return {"type": names.get(type(kind), "string")}
+
+
+def schema_faults(value, kind: T.DataType, at: str = "$") -> list[str]:
+    """Where a value doesn't fit a type, by path only, so that no content is shown."""
+    if value is None:
+        return []
+    if isinstance(kind, T.StructType):
+        if not isinstance(value, dict):
+            return [f"{at}: not an object"]
+        extra = [f"{at}: unknown field" for k in value if k not in kind.fieldNames()]
+        return extra + [x for f in kind for x in ([f"{at}.{f.name}: missing"] if f.name not in value else schema_faults(value[f.name], f.dataType, f"{at}.{f.name}"))]
+    if isinstance(kind, T.ArrayType):
+        return [f"{at}: not a list"] if not isinstance(value, list) else [x for i, v in enumerate(value) for x in schema_faults(v, kind.elementType, f"{at}[{i}]")]
+    wanted = {T.BooleanType: bool, T.IntegerType: int, T.LongType: int, T.DoubleType: (int, float)}.get(type(kind), str)
+    sound = isinstance(value, wanted) and (wanted is bool or not isinstance(value, bool))
+    return [] if sound else [f"{at}: wrong type"]
+
+
+def api_description(products: dict[str, DataFrame]) -> dict:
+    """Paths and schemas of the products that are published."""
+    return {"openapi": "3.1.0", "info": {"title": "evidence products", "version": "1"}, "paths": {f"/{n}.json": {"get": {"responses": {"200": {"content": {"application/json": {"schema": {"type": "array", "items": strict_json_schema(df.schema)}}}}}}} for n, df in products.items()}}
+
+
 def later_wins(*reports: DataFrame, key: str) -> DataFrame:
     """Rows of several collections; for a key in more than one, that of the last."""
     rows = None

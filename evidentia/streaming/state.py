@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 import pandas as pd
@@ -122,3 +123,23 @@ def event_windows(events: DataFrame, *, window: str = "1 day", late: str = "2 ho
 def verified_as_of(inventory_until: Column, requested: Column) -> Column:
     """The day up to which a state is verified: never beyond the inventory, however new the latest entries are."""
     return F.least(inventory_until, requested)
+
+
+def run_slice(steps: list[tuple[str, Callable[[], int]]], *, seconds: float, clock: Callable[[], float] = time.monotonic, report: Callable[[str, int, float], None] = lambda *_: None) -> dict[str, int]:
+    """Run the steps in turn, again and again, until none has work or the time is up; returns what each did.
+
+    A step handles one bounded batch and returns its size; state is in its tables, so a later slice goes on from there.
+    """
+    began, done = clock(), dict.fromkeys((name for name, _ in steps), 0)
+    while clock() - began < seconds:
+        idle = True
+        for name, step in steps:
+            n = step()
+            done[name] += n
+            idle &= n == 0
+            report(name, n, clock() - began)
+            if clock() - began >= seconds:
+                return done
+        if idle:
+            return done
+    return done

@@ -8,7 +8,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from evidentia.sources import cursor, feeds, records, transcripts, workbook
+from evidentia.functions import python_text
+from evidentia.sources import cursor, download, feeds, records, transcripts, workbook
 from evidentia.streaming import state
 
 
@@ -220,3 +221,60 @@ def test_decision_passage(spark):
     assert transcripts.decision_passage(other, {"20/7"}, "final_passage") is None
     df = spark.createDataFrame([(1, text, ["20/7"], "final_passage"), (2, None, None, "x")], "block_id long, text string, numbers array<string>, stage string")
     assert [r.quote for r in transcripts.decision_passages(df).collect()] == [text[slice(*at)]]
+
+
+class Answer(io.BytesIO):
+    def __init__(self, content, url):
+        super().__init__(content)
+        self.url = url
+
+    def geturl(self):
+        return self.url
+
+
+def test_download():
+    import urllib.error
+
+    hosts, waits, tries = {"x.de"}, [], []
+
+    def fetch(url):
+        tries.append(url)
+        if len(tries) < 3:
+            raise urllib.error.HTTPError(url, 503, "", {}, None)
+        return Answer(b"abc", url)
+
+    assert download.download("https://x.de/a#b", hosts, fetch=fetch, sleep=waits.append) == b"abc" and waits == [1.0, 2.0] and tries[0] == "https://x.de/a"
+    for url in ("http://x.de/", "https://y.de/", "https://u@x.de/", "https://x.de:8443/", "https://x.de/?token=1"):
+        with pytest.raises(download.Refused):
+            download.download(url, hosts, fetch=fetch)
+    with pytest.raises(download.Refused):
+        download.download("https://x.de/", hosts, fetch=lambda u: Answer(b"", "https://evil.de/"))
+    with pytest.raises(download.Refused):
+        download.download("https://x.de/", hosts, limit=2, fetch=lambda u: Answer(b"abc", u))
+
+
+def test_slice():
+    now, work = [0.0], {"a": [3, 2, 0, 0], "b": [1, 0, 0, 0]}
+
+    def step(name):
+        now[0] += 1
+        return work[name].pop(0)
+
+    steps = [(n, lambda n=n: step(n)) for n in work]
+    assert state.run_slice(steps, seconds=100, clock=lambda: now[0]) == {"a": 5, "b": 1}
+    now[0], work["a"], work["b"] = 0, [1] * 9, [1] * 9
+    assert state.run_slice(steps, seconds=3, clock=lambda: now[0]) == {"a": 2, "b": 1}
+
+
+def test_html(spark):
+    got = python_text.safe_html("# T\n\n- a\n- **b**\n\n<script>x</script> [l](https://x.de) [j](javascript:1) ![i](http://i)")
+    assert got == '<h6>T</h6><ul><li>a</li><li><strong>b</strong></li></ul><p>&lt;script&gt;x&lt;/script&gt; <a href="https://x.de" rel="noopener">l</a> [j](javascript:1) </p>'
+
+
+def test_schemas(spark):
+    from pyspark.sql import types as T
+
+    kind = T._parse_datatype_string("a int, b array<struct<c:boolean>>")
+    assert records.strict_json_schema(kind)["additionalProperties"] is False
+    assert records.schema_faults({"a": 1, "b": [{"c": True}]}, kind) == [] and records.schema_faults({"a": True, "b": [{"c": 1, "d": 2}]}, kind) == ["$.a: wrong type", "$.b[0]: unknown field", "$.b[0].c: wrong type"]
+    assert list(records.api_description({"x": spark.range(1)})["paths"]) == ["/x.json"]
