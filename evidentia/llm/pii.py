@@ -98,8 +98,14 @@ def revealing_terms(docs: DataFrame, spans: DataFrame, *, near: int, share: floa
     wanted = saved(both.select("term").distinct(), "terms")
     if wanted.isEmpty():
         return pairs.select("row", "term", F.lit(0.0).alias("share")).limit(0)
-    occurring = rows.select("content", F.explode(F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), lambda w: F.regexp_replace(w, EDGES, "")))).alias("term"))
-    n_t = occurring.join(small_or_shuffled(wanted), "term").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
+    # One row of each text counts, and all its words are summed up before any meets the wanted ones, so that a word
+    # which stands in most texts costs no more than one row of each task.
+    same = rows.groupBy("content", "row").agg(F.count("*").alias("same"))
+    first = same.groupBy("content").agg(F.sum("same").alias("n"), F.min("row").alias("first"), F.min_by("same", "row").alias("same"))
+    first = saved(first.where("n > 1").select("content", "first", "same"), "copies")
+    once = rows.join(small_or_shuffled(first), "content", "left").where("first is null or row = first")
+    occurring = once.select((1.0 / F.coalesce("same", F.lit(1))).alias("weight"), F.explode(F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), lambda w: F.regexp_replace(w, EDGES, "")))).alias("term"))
+    n_t = occurring.groupBy("term").agg(F.sum("weight").alias("n_t")).join(small_or_shuffled(wanted), "term")
     total = rows.agg(F.approx_count_distinct("content", 0.01)).first()[0]
     measured = both.join(n_t, "term").withColumn("n", F.lit(float(total)))
     pmi = F.log2(F.col("n") * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
@@ -161,7 +167,7 @@ def sanitise(docs: DataFrame, *, wholly: float = 0.95, **settings) -> DataFrame:
     merged = marked.groupBy("row", "group").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min_by(instead, F.struct("start", "place", "end")).alias("instead"))
     before = F.coalesce(F.lag("end").over(Window.partitionBy("row").orderBy("start")), F.lit(0))
     cuts = saved(merged.withColumn("from", before).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "from", "instead"))).alias("cuts")), "cuts")
-    rows = docs.withColumn("__row", row_hash("doc_id", "text")).join(small_or_shuffled(cuts.withColumnsRenamed({"row": "__row", "cuts": "__cuts"}), 50_000), "__row", "left")
+    rows = docs.withColumn("__row", row_hash("doc_id", "text")).join(small_or_shuffled(cuts.withColumnsRenamed({"row": "__row", "cuts": "__cuts"}), 100_000), "__row", "left")
     part = lambda c: F.concat(F.substring(F.col("text"), (c["from"] + 1).cast("int"), (c["start"] - c["from"]).cast("int")), c["instead"])
     rest = F.substring(F.col("text"), (F.element_at("__cuts", -1)["end"] + 1).cast("int"), F.length("text"))
     clean = F.when(F.col("__cuts").isNull(), F.col("text")).otherwise(F.concat(F.array_join(F.transform("__cuts", part), ""), rest))
