@@ -76,7 +76,7 @@ def repeated_runs(texts: DataFrame, length: int, run: int) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        for batch in text_batches(batches, "text"):
+        for batch in text_batches(batches, "text", limit=1 << 20):
             key = batch.column(1).to_numpy()
             _, least, found, _, row = _windows(batch.column(0), length, run)
             new = np.flatnonzero(np.diff(found, prepend=-1))  # each place once
@@ -97,7 +97,7 @@ def removal_intervals(docs: DataFrame, copies: DataFrame, *, length: int = 35, r
         import numpy as np
         import pyarrow as pa
 
-        for batch in text_batches(batches, "text", limit=2 << 20):
+        for batch in text_batches(batches, "text", limit=1 << 20):
             key, wanted = batch.column(1).to_numpy(), batch.column(2)
             value, least, _, at, row = _windows(batch.column(0), length, run)
             sets = [np.sort(np.array(x, np.int64).view(np.uint64)) for x in wanted.to_pylist()]
@@ -108,7 +108,8 @@ def removal_intervals(docs: DataFrame, copies: DataFrame, *, length: int = 35, r
 
     texts = distinct.join(small_or_shuffled(runs, 100_000), "row").select("text", "row", "runs")
     each = saved(texts.mapInArrow(emit, "window long, row long, at int"), "windows")
-    often = each.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
+    # As a table of its own, the distinct side meets the others in a join whose large partitions Spark can split.
+    often = saved(each.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window"), "repeated-windows")
     places = each.join(often, "window").groupBy("row").agg(F.array_sort(F.collect_set("at")).alias("at"))
 
     def merge(batches):
