@@ -67,7 +67,7 @@ def phrase_matches(docs: DataFrame, windows: DataFrame, index: DataFrame | None
     starts = starts.where("n >= need").join(small_or_shuffled(windows), "window_id")
     per_row = starts.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", (F.col("start") + F.size("terms")).alias("end"), "window_id", "terms"))).alias("candidates"))
     per_row = saved(per_row, "candidates")
-    texts = docs.select("doc_id", "text", row_hash("doc_id", "text").alias("row")).join(small_or_shuffled(per_row, 50_000), "row")
+    texts = docs.select("doc_id", "text", row_hash("doc_id", "text").alias("row")).join(small_or_shuffled(per_row, 10_000), "row")
     # The words are bound as a lambda's variable, so that they are made once for each row and not once for each candidate.
     confirmed = F.transform(F.array(words(F.col("text"))), lambda w: F.filter("candidates", lambda c: F.slice(w, c["start"] + 1, F.size(c["terms"])) == c["terms"]))[0]
     return texts.select("doc_id", "row", F.transform(confirmed, lambda c: F.struct(c["start"], c["end"], c["window_id"])).alias("found")).where(F.size("found") > 0)
