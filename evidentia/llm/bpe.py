@@ -13,12 +13,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import marshal
 from struct import pack
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches
+from .common import CACHES, text_batches
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary"
 
@@ -31,35 +32,43 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
 class Transducer:
     """Encodes pieces of bytes; states are compiled from the ranks as they are met."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 250_000, max_pieces: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 120_000, max_pieces: int = 120_000):
         self.ranks = ranks
         self.prefixes = {t[:n] for t in ranks for n in range(1, len(t))}
         self.token = {i: t for t, i in ranks.items()}
         self.max_states, self.max_pieces = max_states, max_pieces
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.edges: dict[tuple[int, bool], list[tuple[bytes, int]] | None] = {}
         self.pieces: dict[str, bytes] = {}
         self._reset()
 
     def _reset(self) -> None:
-        self.number, self.states, self.moves, self.ends = {}, [], [], []
-        self._state((b"", ((0, -1, ()),)))
-
-    def _state(self, state: tuple) -> int:
-        """The number of a state: the bytes that a token may still span, and (bytes since, last token, pending tokens) by boundary."""
-        if (n := self.number.get(state)) is None:
-            n = self.number[state] = len(self.states)
-            self.states.append(state)
-            self.moves.append({})
-            self.ends.append(state[1][-1][2])
+        self.number: dict[bytes, int] = {}
+        self.states: list[bytes] = []
+        self.moves: dict[int, int | tuple[int, tuple[int, ...]]] = {}
+        self.ends: list[tuple[int, ...]] = []
+        self.same: dict[tuple[int, ...], tuple[int, ...]] = {}
+        self._state(b"", ((0, -1, ()),))
+
+    def _state(self, tail: bytes, boundaries: tuple) -> int:
+        """The number of a state: the bytes that a token may still span, and (bytes since, last token, pending tokens) by boundary.
+
+        States are kept packed, and equal token tuples once, as a table holds some 10^5 of them.
+        """
+        packed = marshal.dumps((tail, boundaries), 2)  # without references, so that equal states have equal bytes
+        if (n := self.number.get(packed)) is None:
+            n = self.number[packed] = len(self.states)
+            self.states.append(packed)
+            pending = boundaries[-1][2]
+            self.ends.append(self.same.setdefault(pending, pending))
         return n
 
     def stable(self, left: int, right: int) -> bool:
         """Whether the merges turn the two tokens' bytes into just these two tokens."""
-        if (known := self.pairs.get((left, right))) is None:
-            if len(self.pairs) > 2 * self.max_states:
+        if (known := self.pairs.get(left << 32 | right)) is None:
+            if len(self.pairs) > self.max_states:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self._stable(left, right)
+            known = self.pairs[left << 32 | right] = self._stable(left, right)
         return known
 
     def _edge(self, token: int, last: bool) -> list[tuple[bytes, int]] | None:
@@ -115,8 +124,9 @@ class Transducer:
         *_, parts = self.merging(data)
         return parts
 
-    def _move(self, n: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        tail, boundaries = self.states[n]
+    def _move(self, n: int, byte: int) -> int | tuple[int, tuple[int, ...]]:
+        """Where a byte leads, and the tokens that it makes final, if any."""
+        tail, boundaries = marshal.loads(self.states[n])
         tail += bytes((byte,))
         size, here, still = len(tail), None, []
         for since, last, pending in boundaries:
@@ -135,8 +145,8 @@ class Transducer:
                 k += 1
             shared = k
         out = here[2][:shared]
-        state = tail[size - still[0][0] :] if still[0][0] else b"", tuple((s, last, p[shared:]) for s, last, p in still)
-        move = self.moves[n][byte] = self._state(state), out
+        to = self._state(tail[size - still[0][0] :] if still[0][0] else b"", tuple((s, last, p[shared:]) for s, last, p in still))
+        move = self.moves[n << 8 | byte] = (to, self.same.setdefault(out, out)) if out else to
         return move
 
     def run(self, piece: bytes) -> list[int]:
@@ -145,8 +155,13 @@ class Transducer:
             self._reset()
         n, out, moves = 0, [], self.moves
         for byte in piece:
-            n, emitted = moves[n].get(byte) or self._move(n, byte)
-            if emitted:
+            move = moves.get(n << 8 | byte)
+            if move is None:
+                move = self._move(n, byte)
+            if type(move) is int:
+                n = move
+            else:
+                n, emitted = move
                 out += emitted
         out += self.ends[n]
         return out
@@ -208,7 +223,7 @@ class Decoder:
         return data, self.stream.feed(data)
 
 
-_COMPILED: dict[bytes, Transducer] = {}
+_COMPILED: dict[bytes, Transducer] = CACHES.setdefault("bpe", {})
 
 
 def _compiled(vocabulary: bytes) -> Transducer:
@@ -234,7 +249,7 @@ def encode_and_decode(docs: DataFrame, vocabulary_path: str, pattern: str, *, ch
 
         machine, find = _compiled(shared.value), regex.compile(pattern).findall
         encode, known = machine.encode, machine.pieces.get
-        for batch in text_batches(batches, "text"):
+        for batch in text_batches(batches, "text", keep="bpe"):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = b"".join([known(p) or encode(p) for p in find(text or "")])

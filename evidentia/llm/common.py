@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -13,6 +14,9 @@ BROADCAST_ROWS = 400_000
 
 _OWN_FOLDERS: dict[str, str] = {}
 
+#: What operators keep in a Python worker between tasks, by operator; workers are shared, so the next operator drops it.
+CACHES: dict[str, dict] = {}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -51,8 +55,23 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def text_batches(batches, text: str, limit: int = 4 << 20):
-    """Cut record batches into slices of about `limit` bytes of text (always whole rows)."""
+def _give_back() -> None:
+    """Return memory that earlier tasks of this worker have freed to the system."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def text_batches(batches, text: str, limit: int = 2 << 20, keep: str = ""):
+    """Cut record batches into slices of about `limit` bytes of text (always whole rows); drops others' caches first."""
+    for name, cache in CACHES.items():
+        if name != keep:
+            cache.clear()
+    _give_back()
     for batch in batches:
         sizes = batch.column(batch.schema.get_field_index(text))
         if batch.num_rows == 0:
