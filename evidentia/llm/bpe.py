@@ -32,7 +32,7 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
 class Transducer:
     """Encodes pieces of bytes; states are compiled from the ranks as they are met."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 120_000, max_pieces: int = 120_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 250_000, max_pieces: int = 300_000):
         self.ranks = ranks
         self.prefixes = {t[:n] for t in ranks for n in range(1, len(t))}
         self.token = {i: t for t, i in ranks.items()}
@@ -226,18 +226,21 @@ class Decoder:
 _COMPILED: dict[bytes, Transducer] = CACHES.setdefault("bpe", {})
 
 
-def _compiled(vocabulary: bytes) -> Transducer:
+def _compiled(vocabulary: bytes, max_states: int, max_pieces: int) -> Transducer:
     """One transducer for each vocabulary and Python worker."""
     key = hashlib.sha256(vocabulary).digest()
     if key not in _COMPILED:
-        _COMPILED[key] = Transducer(read_ranks(vocabulary))
-    return _COMPILED[key]
+        _COMPILED[key] = Transducer(read_ranks(vocabulary), max_states, max_pieces)
+    machine = _COMPILED[key]
+    machine.max_states, machine.max_pieces = max_states, max_pieces
+    return machine
 
 
-def encode_and_decode(docs: DataFrame, vocabulary_path: str, pattern: str, *, chunk: int = 8192) -> DataFrame:
+def encode_and_decode(docs: DataFrame, vocabulary_path: str, pattern: str, *, chunk: int = 8192, max_states: int = 250_000, max_pieces: int = 300_000) -> DataFrame:
     """Per row: doc_id, n_tokens, ids_sha256, decoded_sha256 and ids, the ids as little-endian 32-bit integers.
 
     The ids are decoded again in chunks by the streaming decoder; decoded_sha256 is of the bytes that come back.
+    max_states and max_pieces bound a Python worker's tables (about 600 and 200 bytes an entry) and change no result.
     """
     with open(vocabulary_path, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
@@ -247,7 +250,7 @@ def encode_and_decode(docs: DataFrame, vocabulary_path: str, pattern: str, *, ch
         import pyarrow as pa
         import regex
 
-        machine, find = _compiled(shared.value), regex.compile(pattern).findall
+        machine, find = _compiled(shared.value, max_states, max_pieces), regex.compile(pattern).findall
         encode, known = machine.encode, machine.pieces.get
         for batch in text_batches(batches, "text", keep="bpe"):
             rows = []
