@@ -51,8 +51,7 @@ def words(c: Column) -> Column:
 
 def terms(c: Column) -> Column:
     """Index terms before stemming: folded words of three characters or more that are no function words; null has none."""
-    stop = F.array(*[F.lit(w) for w in STOPWORDS])
-    found = F.filter(words(folded(c)), lambda w: (F.char_length(w) > 2) & ~F.array_contains(stop, w))
+    found = F.filter(words(folded(c)), lambda w: (F.char_length(w) > 2) & ~w.isin(STOPWORDS))  # a hash lookup for each word
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
