@@ -19,7 +19,7 @@ from struct import pack
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CACHES, text_batches
+from .common import CACHES, small_batches, text_batches
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary"
 
@@ -263,4 +263,4 @@ def encode_and_decode(docs: DataFrame, vocabulary_path: str, pattern: str, *, ch
             columns = list(zip(*rows))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary()))], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)

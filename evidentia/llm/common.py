@@ -14,6 +14,9 @@ BROADCAST_ROWS = 400_000
 
 _OWN_FOLDERS: dict[str, str] = {}
 
+#: Bytes of a batch that goes to Python at once. Spark's own bound is 10,000 rows, whatever their texts' lengths.
+BATCH_BYTES, _BATCH_KEY = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+
 #: What operators keep in a Python worker between tasks, by operator; workers are shared, so the next operator drops it.
 CACHES: dict[str, dict] = {}
 
@@ -55,6 +58,14 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, in a session whose batches for Python are bounded by bytes; a lower bound that is set already stays."""
+    conf = df.sparkSession.conf
+    if int(conf.get(_BATCH_KEY, str(BATCH_BYTES + 1))) > BATCH_BYTES:
+        conf.set(_BATCH_KEY, str(BATCH_BYTES))
+    return df
+
+
 def _give_back() -> None:
     """Return memory that earlier tasks of this worker have freed to the system."""
     import ctypes

@@ -15,7 +15,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, text_batches
+from .common import held_out, small_batches, text_batches
 
 BUCKET_BITS = 15
 LETTER = re.compile(r"[^\W\d_]")
@@ -74,7 +74,7 @@ def train(docs: DataFrame, *, max_train: int = 20_000) -> tuple[list[str], objec
 
 def identify(docs: DataFrame, **settings) -> DataFrame:
     """Per row: doc_id, held_out, lang_pred and score, the posterior probability of lang_pred."""
-    langs, matrix = train(docs, **settings)
+    langs, matrix = train(small_batches(docs), **settings)
     shared = docs.sparkSession.sparkContext.broadcast(matrix)  # languages x 2^15 floats
 
     def run(batches):

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, small_or_shuffled, text_batches
+from .common import saved, small_batches, small_or_shuffled, text_batches
 from .components import connected_components
 
 BITS, WORD_BITS, SEED = 64, 16, 42
@@ -55,7 +55,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             values = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
 def spanning_links(values, radius: int, block: int = 256):

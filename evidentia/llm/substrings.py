@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, small_or_shuffled, text_batches
+from .common import saved, small_batches, small_or_shuffled, text_batches
 
 
 def _least(values, width: int):
@@ -132,7 +132,7 @@ def removal_intervals(docs: DataFrame, copies: DataFrame, *, length: int = 35, r
 
 def deduplicate(docs: DataFrame, *, length: int = 35, run: int = 16) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, and kept, the kept words joined by one space, in UTF-8."""
-    copies = copied_texts(docs)
+    copies = copied_texts(small_batches(docs))
     cuts = removal_intervals(docs, copies, length=length, run=run)
     whole = copies.select("row", F.lit(True).alias("copied"))
     cuts = saved(cuts.join(small_or_shuffled(whole), "row", "left_anti").withColumn("copied", F.lit(False)).unionByName(whole, allowMissingColumns=True), "cuts-and-copies")

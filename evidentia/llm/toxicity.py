@@ -19,7 +19,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, saved, text_batches
+from .common import held_out, saved, small_batches, text_batches
 
 #: What characters may stand for, beside themselves.
 LOOKALIKES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e"}
@@ -61,7 +61,7 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["code", "n"])
 
-    return docs.select("text").mapInArrow(count, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    return small_batches(docs).select("text").mapInArrow(count, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
 def log_model(counts: dict[int, int]):
@@ -300,7 +300,7 @@ def score(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
                 p = 1 / (1 + np.exp(-np.clip(lexicon.summary(_restored_texts(batch.column(0), restorer)) @ logistic, -30, 30)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p), pa.array((p >= 0.5).astype(np.int32))], names=[*batch.schema.names, "__score", "__predicted"])
 
-    return docs.select("text", *rest).mapInArrow(run, schema)
+    return small_batches(docs).select("text", *rest).mapInArrow(run, schema)
 
 
 def report(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:

@@ -21,7 +21,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, small_or_shuffled, text_batches, work_dir
+from .common import saved, small_batches, small_or_shuffled, text_batches, work_dir
 
 VERSION, MAGIC = b"WARC/1.1\r\n", b"\x1f\x8b\x08"
 DATE = "2024-01-01T00:00:00Z"
@@ -199,7 +199,7 @@ def write_archives(rows: DataFrame, folder: str, *, roll: int = 64 << 20) -> Dat
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(counts, pa.int64()), pa.array(sizes, pa.int64())], names=["archive", "records", "bytes"])
 
     rows = rows.select("html", "page_id", "url", "digest", "revisit", "refers_to")
-    return saved(rows.mapInArrow(run, "archive string, records long, bytes long"), "archives")
+    return saved(small_batches(rows).mapInArrow(run, "archive string, records long, bytes long"), "archives")
 
 
 def read_archives(archives: DataFrame) -> DataFrame:
