@@ -35,6 +35,17 @@ def test_near_duplicates_keep_one(spark):
     assert len(kept) == len({r.doc_id for r in kept}) and {r.doc_id for r in kept} == groups
 
 
+def test_rows_without_own_id_stay(spark):
+    """Null ids and repeated ids with different texts are rows of their own; of each group one row stays."""
+    words = lambda k: " ".join(f"{k}w{i}" for i in range(60))
+    rows = [(None, words("a")), (None, words("b")), (1, words("b")), (None, words("c")), (2, words("d")), (3, words("d")), (3, words("e")), (3, words("f")), (3, words("f")), (None, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    stage = dict(corpus_pipeline.STAGES)["near duplicates"]
+    kept = [(r.doc_id, r.text) for r in stage(spark, docs, SF).collect()]
+    want = [(None, words("a")), (1, words("b")), (None, words("c")), (2, words("d")), (3, words("e")), (3, words("f")), (None, None)]
+    assert sorted(kept, key=repr) == sorted(want, key=repr)
+
+
 def test_stages_take_effect(spark):
     docs = table(spark, SF, "documents")
     columns = docs.columns
