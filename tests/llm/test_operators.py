@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from evidentia.llm import bpe, decontaminate, language, pii, quality, shards, simhash, substrings, toxicity, warc
+from evidentia.llm import bpe, decontaminate, language, near_copies, pii, quality, shards, simhash, substrings, toxicity, warc
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, term string, fp string, kind string, label string"
 
@@ -165,6 +165,40 @@ def test_simhash_chains(spark):
         assert sorted(map(sorted, groups.values())) == sorted(map(sorted, other.values()))
 
 
+@pytest.mark.parametrize("few", [32, 4])
+def test_near_copies(spark, texts, few):
+    """Components by brute force: copies with 1 to 3 changed words, chains, a common passage, null and short texts."""
+    r = random.Random(8)
+    word = lambda: f"w{r.randrange(10**6)}"
+    out, common = list(texts[0]), [word() for _ in range(60)]
+    for n in (40, 112, 248):
+        for changed in (1, 2, 3):
+            w = [word() for _ in range(n)]
+            out.append(" ".join(w))
+            for at in r.sample(range(n), changed):
+                w[at] = word()
+            out.append(" ".join(w).upper())
+    for _ in range(40):
+        out.append(" ".join(common + [word() for _ in range(r.choice([5, 15, 40]))]))
+    w = [word() for _ in range(100)]
+    for _ in range(30):  # a chain: each copy differs from the one before in one word
+        w[r.randrange(100)] = word()
+        out.append("  ".join(w))
+    sets = []
+    for t in out:
+        x = (t or "").encode().lower().split()
+        sets.append({tuple(x[i : i + 5]) for i in range(max(1, len(x) - 4))})
+    want = list(range(len(out)))
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if len(x & sets[j]) >= 0.8 * len(x | sets[j]) and want[i] != want[j]:
+                low, high = sorted((want[i], want[j]))
+                want = [low if k == high else k for k in want]
+    rows = near_copies.near_copies(spark.createDataFrame(list(enumerate(out)), "row long, text string").repartition(3), few=few).collect()
+    got, first = {x.row: x.component for x in rows}, {}
+    assert len(rows) == len(out) and [first.setdefault(got[i], i) for i in range(len(out))] == want
+
+
 def test_quality(docs, empty, texts):
     by_id = dict(enumerate(texts[0]))
     rows = quality.judge(docs).collect()

@@ -35,6 +35,14 @@ def test_near_duplicates_keep_one(spark):
     assert len(kept) == len({r.doc_id for r in kept}) and {r.doc_id for r in kept} == groups
 
 
+def test_near_copies_go(spark):
+    """Of a text and its copies with 1 to 3 of 248 words changed the first stays."""
+    words = [f"w{i}" for i in range(248)]
+    copies = [" ".join("other" if i in changed else w for i, w in enumerate(words)) for changed in ((), (50,), (20, 80), (10, 60, 200))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(copies)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert [r.doc_id for r in dict(corpus_pipeline.STAGES)["near duplicates"](spark, docs, SF).collect()] == [0]
+
+
 def test_rows_without_own_id_stay(spark):
     """Null ids and repeated ids with different texts are rows of their own; of each group one row stays."""
     words = lambda k: " ".join(f"{k}w{i}" for i in range(60))
