@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
+import shutil
 import tempfile
 import uuid
 
@@ -26,13 +28,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is configured."""
+    """The folder that driver and executors share; a temporary one only in local mode, where none is configured."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if base:
         return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_FOLDERS:
         _OWN_FOLDERS[app] = tempfile.mkdtemp(prefix="work-")
+        atexit.register(shutil.rmtree, _OWN_FOLDERS[app], ignore_errors=True)
     return _OWN_FOLDERS[app]
 
 
@@ -53,6 +58,20 @@ def row_hash(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col).isNull(), F.col(id_col), F.col(text_col).isNull(), F.col(text_col))
 
 
+def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(row, doc): each row's identity, and its columns as a struct, where no name of theirs can clash with another."""
+    return docs.select(row_hash(id_col, text_col).alias("row"), F.struct(*[F.col(_quoted(c)) for c in docs.columns]).alias("doc"))
+
+
+def unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of docs from packed rows, in their order."""
+    return rows.select(*[F.col(f"doc.{_quoted(c)}") for c in docs.columns])
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo 5, is 0. A null id is held out: nothing is learned from it."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(True))

@@ -165,8 +165,8 @@ def test_simhash_chains(spark):
         assert sorted(map(sorted, groups.values())) == sorted(map(sorted, other.values()))
 
 
-@pytest.mark.parametrize("few", [32, 4])
-def test_near_copies(spark, texts, few):
+@pytest.mark.parametrize("tile", [4096, 8])
+def test_near_copies(spark, texts, tile):
     """Components by brute force: copies with 1 to 3 changed words, chains, a common passage, null and short texts."""
     r = random.Random(8)
     word = lambda: f"w{r.randrange(10**6)}"
@@ -194,7 +194,7 @@ def test_near_copies(spark, texts, few):
             if len(x & sets[j]) >= 0.8 * len(x | sets[j]) and want[i] != want[j]:
                 low, high = sorted((want[i], want[j]))
                 want = [low if k == high else k for k in want]
-    rows = near_copies.near_copies(spark.createDataFrame(list(enumerate(out)), "row long, text string").repartition(3), few=few).collect()
+    rows = near_copies.near_copies(spark.createDataFrame(list(enumerate(out)), "row long, text string").repartition(3), tile=tile).collect()
     got, first = {x.row: x.component for x in rows}, {}
     assert len(rows) == len(out) and [first.setdefault(got[i], i) for i in range(len(out))] == want
 

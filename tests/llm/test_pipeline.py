@@ -4,7 +4,6 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-from evidentia.llm import simhash
 from evidentia.llm.common import table
 from evidentia.llm.queries import ORACLE_SQL, QUERIES
 
@@ -27,14 +26,6 @@ def test_rows(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
 
 
-def test_near_duplicates_keep_one(spark):
-    docs = table(spark, SF, "documents")
-    docs = docs.unionByName(docs.limit(3)).unionByName(docs.limit(2).withColumn("text", docs["source"]))
-    kept = corpus_pipeline.one_of_near_duplicates(spark, docs, SF).collect()
-    groups = {r.component_id for r in simhash.near_duplicates(docs).collect()}
-    assert len(kept) == len({r.doc_id for r in kept}) and {r.doc_id for r in kept} == groups
-
-
 def test_near_copies_go(spark):
     """Of a text and its copies with 1 to 3 of 248 words changed the first stays."""
     words = [f"w{i}" for i in range(248)]
