@@ -1,13 +1,15 @@
 """Quality rules with thresholds that adapt to each language and source, in DataFrame operations only.
 
-Beside the fixed base rule, five measures of a row are held against fences of its (lang, source) group. The fences come
-from a mergeable quantile sketch: a measure falls into the bucket of its logarithm, and buckets are counted; counts of
-parts add up, so partial sketches merge exactly, in any order, and quantiles err by at most `error` of their value. A
-fence is the upper quartile, raised by `spread` times the interquartile range, and never under a floor; small groups
-borrow the fences of all rows. Rows beyond a fence are not kept.
+Beside the fixed base rule, five measures of a row are held against fences of its (lang, source) group; no cutoff of
+theirs is fixed. The fences come from a mergeable quantile sketch: a measure falls into the bucket of its logarithm, and
+buckets are counted; counts of parts add up, so partial sketches merge exactly, in any order, and quantiles err by at
+most `error` of their value. Fences lie `spread` interquartile ranges beyond the quartiles, for lengths on both sides.
+The fences of a group and of its language are averaged by their rows, the language's counting as `prior` rows, so that
+small groups lean on their language. Shares are taken at the lower bound of a count's confidence interval, so that a
+single occurrence in a group that has none does not count as beyond. Rows beyond a fence go.
 
 A null text has no words and fails the base rule. Null lang and null source are groups of their own. Equal rows have
-equal results. Further columns are not read.
+equal results. An empty table gives no rows. Further columns are not read.
 """
 
 from __future__ import annotations
@@ -15,19 +17,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import saved, small_or_shuffled
 
 WORD, GAP = r"[^\x20\x09-\x0D]+", r"[\x20\x09-\x0D]+"
 
-#: Measures with a fence: one count over another, and the floor under which no fence may fall.
+#: Measures with a fence: one count over another. A share's count n is taken as (sqrt(n) - z)^2, which bounds the expected
+#: count from below by 2 z standard deviations; lengths have no z. Occurrences that come in runs, as words of
+#: a repeated line do, have a larger z.
 MEASURES = {
-    "symbol_share": ("n_symbols", "word_chars", 0.10),
-    "dup_line_share": ("n_dup_lines", "n_lines", 0.50),
-    "repeat_share": ("n_repeat_words", "n_words", 0.40),
-    "word_length": ("word_chars", "n_words", 12.0),
-    "line_length": ("n_words", "n_lines", 400.0),
+    "symbol_share": ("n_symbols", "word_chars", 3.0),
+    "dup_line_share": ("n_dup_lines", "n_lines", 2.0),
+    "repeat_share": ("n_repeat_words", "n_words", 10.0),
+    "word_length": ("word_chars", "n_words", None),
+    "line_length": ("n_words", "n_lines", None),
 }
 
+#: The interquartile range is taken to be at least this share of the upper quartile, as the sketch rounds values.
+LEAST_WIDTH = 0.05
+
 
 def _repeated_words(words: Column) -> Column:
     """Words in 3-word windows that are found twice or more, first included."""
@@ -60,38 +67,48 @@ def measured(docs: DataFrame) -> DataFrame:
     )
 
 
-def _sketch(values: DataFrame, by: list[str], error: float) -> DataFrame:
-    """Counts by measure and bucket: bucket k holds values up to gamma^k; k is null for zero."""
-    gamma = F.lit((1 + error) / (1 - error))
-    bucket = F.when(F.col("value") > 0, F.ceil(F.log("value") / F.log(gamma)).cast("int"))
-    return values.groupBy(*by, "measure", bucket.alias("bucket")).agg(F.count("*").alias("n"))
+def _value(a: str, b: str, z: float | None) -> Column:
+    n = F.col(a).cast("double")
+    if z is not None:
+        above = F.greatest(F.sqrt(n) - z, F.lit(0.0))
+        n = above * above
+    return F.try_divide(n, F.col(b).cast("double"))
 
 
 def _fences(sketch: DataFrame, by: list[str], error: float, spread: float) -> DataFrame:
-    """(by, measure, rows, fence) from a sketch."""
+    """(by, measure, rows, low, high) from counts n by bucket: bucket k holds values up to gamma^k, and is null for zero."""
     gamma = (1 + error) / (1 - error)
     value = F.when(F.col("bucket").isNull(), 0.0).otherwise(F.pow(F.lit(gamma), F.col("bucket")) * (2 / (gamma + 1)))
     upto = F.sum("n").over(Window.partitionBy(*by, "measure").orderBy(F.col("bucket").asc_nulls_first()))
     whole = F.sum("n").over(Window.partitionBy(*by, "measure"))
     ranked = sketch.withColumn("value", value).withColumn("upto", upto).withColumn("rows", whole)
-    quantile = lambda q: F.min(F.when(F.col("upto") >= F.ceil(F.col("rows") * q), F.col("value")))
-    low, high = quantile(0.25), quantile(0.75)
-    return ranked.groupBy(*by, "measure").agg(F.max("rows").alias("rows"), (high + spread * (high - low)).alias("fence"))
+    quartile = lambda q: F.min(F.when(F.col("upto") >= F.ceil(F.col("rows") * q), F.col("value")))
+    q = ranked.groupBy(*by, "measure").agg(F.max("rows").cast("double").alias("rows"), quartile(0.25).alias("q1"), quartile(0.75).alias("q3"))
+    width = spread * F.greatest(F.col("q3") - F.col("q1"), LEAST_WIDTH * F.col("q3"))
+    return q.select(*by, "measure", "rows", (F.col("q1") - width).alias("low"), (F.col("q3") + width).alias("high"))
+
+
+def fences(values: DataFrame, *, error: float, spread: float, prior: float) -> DataFrame:
+    """(lang, source, measure, low, high) from values (lang, source, measure, value)."""
+    bucket = F.when(F.col("value") > 0, F.ceil(F.log("value") / F.log(F.lit((1 + error) / (1 - error)))).cast("int"))
+    values = values.where(F.col("value").isNotNull()).withColumn("bucket", bucket)
+    own = saved(values.groupBy("lang", "source", "measure", "bucket").agg(F.count("*").alias("n")), "sketch")
+    common = _fences(own.groupBy("lang", "measure", "bucket").agg(F.sum("n").alias("n")), ["lang"], error, spread)
+    common = common.select(F.col("lang").alias("lang_"), F.col("measure").alias("measure_"), F.col("low").alias("low_"), F.col("high").alias("high_"))
+    both = _fences(own, ["lang", "source"], error, spread).join(common, F.col("lang").eqNullSafe(F.col("lang_")) & (F.col("measure") == F.col("measure_")))
+    mean = lambda side: (F.col("rows") * F.col(side) + prior * F.col(f"{side}_")) / (F.col("rows") + prior)
+    return both.select("lang", "source", "measure", mean("low").alias("low"), mean("high").alias("high"))
 
 
-def judge(docs: DataFrame, *, error: float = 0.01, spread: float = 6.0, least_rows: int = 100) -> DataFrame:
+def judge(docs: DataFrame, *, error: float = 0.01, spread: float = 6.0, prior: float = 100.0) -> DataFrame:
     """Per row: doc_id, the counts, base_failed, kept, and failed, the measures beyond their fences."""
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     rows = saved(measured(docs).withColumn("base_failed", base), "measured")
-    pairs = F.array(*[F.struct(F.lit(k).alias("measure"), F.try_divide(F.col(a), F.col(b)).cast("double").alias("value")) for k, (a, b, _) in MEASURES.items()])
-    values = rows.where(~F.col("base_failed")).select("lang", "source", F.explode(pairs).alias("p")).select("lang", "source", "p.measure", "p.value").where(F.col("value").isNotNull())
-    own = saved(_sketch(values, ["lang", "source"], error), "sketch")
-    everywhere = _fences(own.groupBy("measure", "bucket").agg(F.sum("n").alias("n")), [], error, spread).select("measure", F.col("fence").alias("common"))
-    fences = _fences(own, ["lang", "source"], error, spread).join(everywhere, "measure")
-    fence = F.when(F.col("rows") >= least_rows, F.col("fence")).otherwise(F.col("common"))
-    fences = fences.groupBy("lang", "source").pivot("measure", list(MEASURES)).agg(F.first(fence))
-    fences = saved(fences.withColumnsRenamed({"lang": "lang_", "source": "source_"}), "fences")
-    held = rows.join(fences, F.col("lang").eqNullSafe(F.col("lang_")) & F.col("source").eqNullSafe(F.col("source_")), "left")
-    beyond = F.array_compact(F.array(*[F.when(F.try_divide(F.col(a), F.col(b)) > F.greatest(F.col(k), F.lit(floor)), F.lit(k)) for k, (a, b, floor) in MEASURES.items()]))
+    pairs = F.array(*[F.struct(F.lit(k).alias("measure"), _value(a, b, z).alias("value")) for k, (a, b, z) in MEASURES.items()])
+    values = rows.where(~F.col("base_failed")).select("lang", "source", F.explode(pairs).alias("p")).select("lang", "source", "p.*")
+    limits = fences(values, error=error, spread=spread, prior=prior).groupBy(F.col("lang").alias("lang_"), F.col("source").alias("source_"))
+    limits = saved(limits.pivot("measure", list(MEASURES)).agg(F.first(F.struct("low", "high"))), "fences")
+    held = rows.join(small_or_shuffled(limits), F.col("lang").eqNullSafe(F.col("lang_")) & F.col("source").eqNullSafe(F.col("source_")), "left")
+    beyond = F.array_compact(F.array(*[F.when((_value(a, b, z) > F.col(f"{k}.high")) | (_value(a, b, z) < F.col(f"{k}.low")), F.lit(k)) for k, (a, b, z) in MEASURES.items()]))
     held = held.withColumn("failed", F.when(F.col("base_failed"), F.array().cast("array<string>")).otherwise(beyond))
     return held.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & (F.size("failed") == 0)).alias("kept"), F.array_join("failed", ",").alias("failed"))

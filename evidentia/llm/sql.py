@@ -7,7 +7,7 @@ hold their queries against brute force instead.
 from __future__ import annotations
 
 from .decontaminate import LOWER, UPPER
-from .quality import MEASURES
+from .quality import LEAST_WIDTH, MEASURES
 
 GAPS = r"[^\x20\x09-\x0D]+"
 ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -25,17 +25,21 @@ DECONTAMINATE = f"""WITH item AS (SELECT item_id, {_words('text')} AS w FROM ben
   ids AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
   SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)"""
 
-ERROR, SPREAD, LEAST = 0.01, 6.0, 100
+ERROR, SPREAD, PRIOR = 0.01, 6.0, 100.0
 GAMMA = (1 + ERROR) / (1 - ERROR)
-_values = " UNION ALL ".join(f"SELECT lang, source, '{k}' AS measure, {a}::DOUBLE / nullif({b}, 0) AS value FROM base WHERE NOT base_failed" for k, (a, b, _) in MEASURES.items())
-_beyond = ", ".join(f"CASE WHEN {a}::DOUBLE / nullif({b}, 0) > greatest((SELECT fence FROM fence f WHERE f.measure = '{k}' AND f.lang IS NOT DISTINCT FROM base.lang AND f.source IS NOT DISTINCT FROM base.source), {floor}) THEN '{k}' END" for k, (a, b, floor) in MEASURES.items())
+_count = {k: f"{a}::DOUBLE" if z is None else f"greatest(sqrt({a}::DOUBLE) - {z}, 0) * greatest(sqrt({a}::DOUBLE) - {z}, 0)" for k, (a, _, z) in MEASURES.items()}
+_value = {k: f"({_count[k]}) / nullif({b}, 0)::DOUBLE" for k, (_, b, _) in MEASURES.items()}
+_values = " UNION ALL ".join(f"SELECT lang, source, '{k}' AS measure, {value} AS value FROM base WHERE NOT base_failed" for k, value in _value.items())
+_own = lambda k, side: f"(SELECT {side} FROM fence f WHERE f.measure = '{k}' AND f.lang IS NOT DISTINCT FROM base.lang AND f.source IS NOT DISTINCT FROM base.source)"
+_beyond = ", ".join(f"CASE WHEN {value} > {_own(k, 'high')} OR {value} < {_own(k, 'low')} THEN '{k}' END" for k, value in _value.items())
 
 
 def _fences(by: str) -> str:
-    parts = f"{by}, measure" if by else "measure"
-    return f"""SELECT {parts}, max(whole) AS n_rows, min(value) FILTER (upto >= ceil(whole * 0.75)) * {1 + SPREAD} - {SPREAD} * min(value) FILTER (upto >= ceil(whole * 0.25)) AS fence FROM
-      (SELECT {parts}, CASE WHEN bucket IS NULL THEN 0.0::DOUBLE ELSE pow({GAMMA}::DOUBLE, bucket) * {2 / (GAMMA + 1)}::DOUBLE END AS value, sum(n) OVER (PARTITION BY {parts} ORDER BY bucket ASC NULLS FIRST) AS upto, sum(n) OVER (PARTITION BY {parts}) AS whole
-        FROM (SELECT {parts}, bucket, sum(n) AS n FROM sketch GROUP BY ALL)) GROUP BY {parts}"""
+    width = f"{SPREAD}::DOUBLE * greatest(q3 - q1, {LEAST_WIDTH}::DOUBLE * q3)"
+    return f"""SELECT {by}, measure, n_rows, q1 - {width} AS low, q3 + {width} AS high FROM
+      (SELECT {by}, measure, max(whole)::DOUBLE AS n_rows, min(value) FILTER (upto >= ceil(whole * 0.25)) AS q1, min(value) FILTER (upto >= ceil(whole * 0.75)) AS q3 FROM
+        (SELECT {by}, measure, CASE WHEN bucket IS NULL THEN 0.0::DOUBLE ELSE pow({GAMMA}::DOUBLE, bucket) * {2 / (GAMMA + 1)}::DOUBLE END AS value, sum(n) OVER (PARTITION BY {by}, measure ORDER BY bucket ASC NULLS FIRST) AS upto, sum(n) OVER (PARTITION BY {by}, measure) AS whole
+          FROM (SELECT {by}, measure, bucket, sum(n) AS n FROM sketch GROUP BY ALL)) GROUP BY {by}, measure)"""
 
 
 QUALITY = f"""WITH t AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{GAPS}') AS w, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM documents),
@@ -43,9 +47,10 @@ QUALITY = f"""WITH t AS (SELECT doc_id, lang, source, coalesce(text, '') AS text
   r AS (SELECT doc_id, count(DISTINCT at_) AS n FROM (SELECT doc_id, unnest(range(i, i + 3)) AS at_ FROM (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, key) > 1)) GROUP BY doc_id),
   m AS (SELECT doc_id, lang, source, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines FROM t LEFT JOIN r USING (doc_id)),
   base AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
-  v AS ({_values}), sketch AS (SELECT lang, source, measure, CASE WHEN value > 0 THEN ceil(ln(value) / ln({GAMMA}::DOUBLE))::INT END AS bucket, count(*) AS n FROM v WHERE value IS NOT NULL GROUP BY ALL),
-  own AS ({_fences('lang, source')}), everywhere AS ({_fences('')}),
-  fence AS (SELECT lang, source, measure, CASE WHEN own.n_rows >= {LEAST} THEN own.fence ELSE everywhere.fence END AS fence FROM own JOIN everywhere USING (measure)),
+  sketch AS (SELECT lang, source, measure, CASE WHEN value > 0 THEN ceil(ln(value) / ln({GAMMA}::DOUBLE))::INT END AS bucket, count(*) AS n FROM ({_values}) WHERE value IS NOT NULL GROUP BY ALL),
+  own AS ({_fences('lang, source')}), common AS ({_fences('lang')}),
+  fence AS (SELECT own.lang, own.source, own.measure, (own.n_rows * own.low + {PRIOR}::DOUBLE * common.low) / (own.n_rows + {PRIOR}::DOUBLE) AS low, (own.n_rows * own.high + {PRIOR}::DOUBLE * common.high) / (own.n_rows + {PRIOR}::DOUBLE) AS high
+    FROM own JOIN common ON own.measure = common.measure AND own.lang IS NOT DISTINCT FROM common.lang),
   judged AS (SELECT *, CASE WHEN base_failed THEN '' ELSE array_to_string(list_filter([{_beyond}], lambda x: x IS NOT NULL), ',') END AS failed FROM base)
   SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND failed = '' AS kept, failed FROM judged"""
 
