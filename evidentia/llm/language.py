@@ -1,24 +1,22 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 Counts of hashed 1- to 3-grams by language are learned from rows with text and lang that are not held out, of which
-about `max_train` are taken by the hash of their id. The matrix of log probabilities (buckets x languages) goes to all
+about `max_train` of each language are taken by the hash of their id: all rows of a language that has fewer. The matrix of log probabilities (buckets x languages) goes to all
 workers; a batch's n-grams look up their rows there and sum up by text, as a sparse matrix times that matrix.
 
-A text that is null or has no letter is `und` with score 0. Without training rows every text is `und`. Rows of one id
+A text that is null or has no letter (Unicode category L) is `und` with score 0. Without training rows every text is `und`. Rows of one id
 are judged apart. lang, source and doc_id never enter a prediction. Further columns are not read.
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, small_batches, text_batches
+from .common import held_out, saved, small_batches, text_batches
 
 BUCKET_BITS = 15
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = r"\p{L}"
 
 
 def _grams(texts: list[str]):
@@ -38,13 +36,14 @@ def _grams(texts: list[str]):
     return hashed, bounds
 
 
-def train(docs: DataFrame, *, max_train: int = 20_000) -> tuple[list[str], object]:
+def train(docs: DataFrame, *, max_train: int = 5_000) -> tuple[list[str], object]:
     """The languages, sorted, and the matrix of log probabilities with the log priors as last row."""
     import numpy as np
 
     rows = docs.select("text", "lang", "doc_id").where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out())
-    share = min(1.0, max_train / max(1, docs.count()))
-    rows = rows.where(F.pmod(F.xxhash64("doc_id"), 1_000_000) < int(1_000_000 * share + 1)).select("text", "lang")
+    # One row a language, as has the matrix that goes to all workers.
+    share = saved(rows.groupBy("lang").agg((max_train / F.count("*")).alias("share")), "languages")
+    rows = rows.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < F.col("share") * (1 << 40)).select("text", "lang")
 
     def count(batches):
         import pyarrow as pa
@@ -80,10 +79,11 @@ def identify(docs: DataFrame, **settings) -> DataFrame:
     def run(batches):
         import numpy as np
         import pyarrow as pa
+        import regex
 
-        log = shared.value
+        log, letter = shared.value, regex.compile(LETTER)
         for batch in text_batches(batches, "text", limit=1 << 20):
-            texts = [t if t and LETTER.search(t) else None for t in batch.column(1).to_pylist()]
+            texts = [t if t and letter.search(t) else None for t in batch.column(1).to_pylist()]
             hashed, bounds = _grams([t or "" for t in texts])
             sums = np.zeros((len(texts), len(langs)))
             for part in hashed:
