@@ -179,15 +179,34 @@ class Transducer:
         return known
 
 
-#: Of each UTF-8 lead byte class: how many bytes follow, and the least and greatest first of them.
+#: Of each class of UTF-8 lead bytes: how many bytes follow, and the least and greatest first of them.
 FOLLOW = [((0xC2, 0xDF), 1, 0x80, 0xBF), ((0xE0, 0xE0), 2, 0xA0, 0xBF), ((0xE1, 0xEC), 2, 0x80, 0xBF), ((0xED, 0xED), 2, 0x80, 0x9F), ((0xEE, 0xEF), 2, 0x80, 0xBF), ((0xF0, 0xF0), 3, 0x90, 0xBF), ((0xF1, 0xF3), 3, 0x80, 0xBF), ((0xF4, 0xF4), 3, 0x80, 0x8F)]
+WHOLE, BROKEN = (0, 0, 0), None
+
+
+def _steps() -> dict:
+    """The machine: what each byte makes of each state (bytes still to come, and the range of the next one)."""
+    states = {WHOLE} | {(n, low, high) for _, n, low, high in FOLLOW} | {(n, 0x80, 0xBF) for n in (1, 2)}
+    step = {}
+    for n, low, high in states:
+        for byte in range(256):
+            if n:
+                step[(n, low, high), byte] = ((n - 1, 0x80, 0xBF) if n > 1 else WHOLE) if low <= byte <= high else BROKEN
+            else:
+                lead = [(k, a, b) for (first, last), k, a, b in FOLLOW if first <= byte <= last]
+                step[WHOLE, byte] = WHOLE if byte < 0x80 else lead[0] if lead else BROKEN
+    return step
+
+
+STEPS = _steps()
 
 
 class Utf8Stream:
     """An incremental UTF-8 machine: text of the bytes so far, while an unfinished character waits for its rest.
 
-    The machine steps over the last bytes of a chunk to find where an unfinished character starts; what lies before is
-    complete and is decoded at once. Bytes that can't be part of a character become U+FFFD.
+    The machine's state after a chunk tells how many bytes are still to come. As every state but WHOLE is reached from a
+    lead byte at most three bytes back, it is found by stepping over the last bytes from the last lead byte on; what lies
+    before the unfinished character is decoded at once. Bytes that can't be part of a character become U+FFFD.
     """
 
     def __init__(self):
@@ -196,14 +215,16 @@ class Utf8Stream:
     def feed(self, chunk: bytes) -> str:
         data = self.waiting + chunk
         cut = len(data)
-        for back in range(1, min(3, len(data)) + 1):
-            lead = data[-back]
-            if 0x80 <= lead <= 0xBF:
-                continue
-            for (low, high), follow, least, most in FOLLOW:
-                if low <= lead <= high and follow >= back and (back == 1 or least <= data[1 - back] <= most):
-                    cut = len(data) - back
-            break
+        for lead in range(len(data) - 1, max(-1, len(data) - 4), -1):
+            if not 0x80 <= data[lead] <= 0xBF:
+                state = WHOLE
+                for byte in data[lead:]:
+                    state = STEPS[state, byte]
+                    if state is BROKEN:
+                        break
+                if state not in (WHOLE, BROKEN):
+                    cut = lead
+                break
         self.waiting = data[cut:]
         return data[:cut].decode("utf-8", "replace")
 
@@ -213,14 +234,16 @@ class Utf8Stream:
 
 
 class Decoder:
-    """Streaming decoding: ids in chunks of any size to bytes and text."""
+    """Streaming decoding: ids in chunks of any size to text; an unfinished character waits for the next chunk."""
 
     def __init__(self, token: dict[int, bytes]):
         self.token, self.stream = token, Utf8Stream()
 
-    def feed(self, ids) -> tuple[bytes, str]:
-        data = b"".join(map(self.token.__getitem__, ids))
-        return data, self.stream.feed(data)
+    def feed(self, ids) -> str:
+        return self.stream.feed(b"".join(map(self.token.__getitem__, ids)))
+
+    def close(self) -> str:
+        return self.stream.close()
 
 
 _COMPILED: dict[bytes, Transducer] = CACHES.setdefault("bpe", {})
@@ -239,7 +262,7 @@ def _compiled(vocabulary: bytes, max_states: int, max_pieces: int) -> Transducer
 def encode_and_decode(docs: DataFrame, vocabulary_path: str, pattern: str, *, chunk: int = 8192, max_states: int = 250_000, max_pieces: int = 300_000) -> DataFrame:
     """Per row: doc_id, n_tokens, ids_sha256, decoded_sha256 and ids, the ids as little-endian 32-bit integers.
 
-    The ids are decoded again in chunks by the streaming decoder; decoded_sha256 is of the bytes that come back.
+    The ids are decoded again in chunks by the streaming decoder; decoded_sha256 is of the text that comes back, in UTF-8.
     max_states and max_pieces bound a Python worker's tables (about 600 and 200 bytes an entry) and change no result.
     """
     with open(vocabulary_path, "rb") as f:
@@ -258,7 +281,8 @@ def encode_and_decode(docs: DataFrame, vocabulary_path: str, pattern: str, *, ch
                 ids = b"".join([known(p) or encode(p) for p in find(text or "")])
                 numbers, decoder, back = np.frombuffer(ids, "<u4").tolist(), Decoder(machine.token), hashlib.sha256()
                 for i in range(0, len(numbers), chunk):
-                    back.update(decoder.feed(numbers[i : i + chunk])[0])
+                    back.update(decoder.feed(numbers[i : i + chunk]).encode())
+                back.update(decoder.close().encode())
                 rows.append((doc_id, len(numbers), hashlib.sha256(ids).hexdigest(), back.hexdigest(), ids))
             columns = list(zip(*rows))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary()))], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"])
