@@ -224,6 +224,60 @@ def test_quality_fences(spark):
     assert got.pop(999) is False and all(got.values())
 
 
+def test_quality_fences_adapt(spark):
+    """The same row goes where its group has no such symbols, and stays where all rows have them; small groups lean on their language."""
+    r = random.Random(2)
+    word = lambda: f"w{r.randrange(10**6)}"
+    plain = [" ".join(word() for _ in range(r.randrange(60, 140))) for _ in range(400)]
+    table = [" ".join(word() + " |" * (r.random() < 0.3) for _ in range(r.randrange(60, 140))) for _ in range(400)]
+    odd = " ".join(word() + " |" * (k % 3 == 0) for k in range(90))
+    rows = [(i, t, "en", "prose") for i, t in enumerate(plain)] + [(1000 + i, t, "de", "tables") for i, t in enumerate(table)] + [(2000, odd, "en", "prose"), (2001, odd, "de", "tables"), (2002, odd, "en", "one row"), (2003, odd, "de", None)]
+    got = {x.doc_id: x for x in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert [(got[k].kept, got[k].failed) for k in range(2000, 2004)] == [(False, "symbol_share"), (True, ""), (False, "symbol_share"), (True, "")]
+    assert sum(not got[k].kept for k in got if k < 2000) <= 4
+
+
+def placed_by_sorting(rows, shards, cell_rows, seed=7):
+    """Shard and slot of rows (doc_id, text, source) by one sort of all."""
+    from struct import pack
+
+    from xxhash import xxh64_intdigest
+
+    signed = lambda h: h - 2**64 if h >= 2**63 else h
+    start, cells = xxh64_intdigest(pack("<i", seed), 42), max(64, -(-len(rows) // cell_rows))
+
+    def shuffle(doc_id, text):
+        data = (text or "").encode()
+        h = start
+        for v in (doc_id, zlib.crc32(data), len(data) + 16):
+            h = h if v is None else xxh64_intdigest(pack("<q", v), h)
+        return signed(h)
+
+    sources = {}
+    for doc_id, text, source in rows:
+        h = shuffle(doc_id, text)
+        sources.setdefault(source, []).append(((h >> 20) % cells, h, doc_id))
+    ranked = []
+    for source, own in sources.items():
+        offset = signed(xxh64_intdigest(pack("<i", source is None), xxh64_intdigest((source or "").encode(), start))) % 2**30 / 2**30
+        ranked += [((k + offset) / len(own), source or "", source is None, *x) for k, x in enumerate(sorted(own))]
+    place = {x[-1]: k for k, x in enumerate(sorted(ranked))}
+    shard = {i: k * shards // len(rows) for i, k in place.items()}
+    first = {s: min(k for i, k in place.items() if shard[i] == s) for s in shard.values()}
+    return {i: (shard[i], k - first[shard[i]]) for i, k in place.items()}
+
+
+def test_shards_by_sorting(spark, monkeypatch):
+    """Every place by brute force; sources of one row are spread over all shards."""
+    monkeypatch.setattr(shards, "CELL_ROWS", 5)
+    monkeypatch.setattr(shards, "BLOCK", 7)
+    rows = [(i, f"t{i % 50}" if i % 9 else None, ["hot", "hot", "b", None, f"only{i}"][i % 5]) for i in range(1200)]
+    got = shards.shard(spark.createDataFrame(rows, "doc_id long, text string, source string"), shards=8).collect()
+    assert {r.doc_id: (r.shard, r.slot) for r in got} == placed_by_sorting(rows, 8, 5)
+    alone = Counter(r.shard for r in got if rows[r.doc_id][2] not in ("hot", "b", None))
+    assert len(alone) == 8 and max(alone.values()) < 2 * min(alone.values())
+
+
 def test_shards(docs, empty, texts):
     rows = shards.shard(docs, shards=7).collect()
     by_id = dict(enumerate(texts[0]))
@@ -338,15 +392,46 @@ def test_toxicity(spark, empty):
 
 def test_language(spark, empty):
     rows = corpus(600, 2)
-    odd = [(1000, None, "en"), (1001, "123 !? ", "en"), (1002, "", None), (1003, "eau qui le", None)]
+    odd = [(1000, None, "en"), (1001, "123 !? ½ ² Ⅷ ①", "en"), (1002, "", None), (1003, "eau qui le", None), (1004, "漢", None), (1005, "keit " * 60_000, None)]
     got = {x.doc_id: x for x in language.identify(spark.createDataFrame([r[:3] for r in rows] + odd, "doc_id long, text string, lang string")).collect()}
     held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 == 0]
     assert np.mean([got[r[0]].lang_pred == r[2] for r in held]) > 0.99
-    assert [got[i].lang_pred for i in range(1000, 1004)] == ["und", "und", "und", "fr"]
+    assert [got[i].lang_pred for i in range(1000, 1004)] == ["und", "und", "und", "fr"] and got[1004].lang_pred != "und" and got[1005].lang_pred == "de"
     assert all(0 <= x.score <= 1 for x in got.values())
     assert language.identify(empty).count() == 0
 
 
+def test_language_by_hand(spark):
+    """Posteriors by a plain dictionary of grams, and a rare language that a sample of all rows would lose."""
+    rows = [r[:3] for r in corpus(300, 2)] + [(1000 + i, "zzyx qqy", "xx") for i in range(4)]
+    docs = spark.createDataFrame([(*r, "s", "n") for r in rows], "doc_id long, text string, lang string, score string, bucket string")
+    got = {x.doc_id: x for x in language.identify(docs, max_train=1000).collect()}
+
+    def grams(text):
+        c = [ord(x) if ord(x) >= 65 else 32 for x in f" {text.lower()} "]
+        c += [0, 0, 0]
+        for i in range(len(c) - 3):
+            key = 0
+            for n in range(3):
+                key = (key * 0x01000193 + c[i + n]) % 2**32
+                yield ((key + n) * 2654435761 % 2**32) >> 17
+
+    learned = [(t, x) for i, t, x in rows if zlib.crc32(str(i).encode()) % 5]
+    # grams at the end of a text run into the next one of its batch, so a few counts may differ from those here
+    langs = sorted({x for _, x in learned})
+    counts = {x: Counter(g for t, y in learned if y == x for g in grams(t)) for x in langs}
+    for i, t, _ in rows[::17] + rows[-1:]:
+        log = {x: np.log(sum(y == x for _, y in learned) / len(learned)) for x in langs}
+        for g in grams(t):
+            for x in langs:
+                log[x] += np.log((counts[x][g] + 0.5) / (sum(counts[x].values()) + 0.5 * 2**15))
+        best = max(log, key=log.get)
+        assert got[i].lang_pred == best and got[i].score == pytest.approx(1 / sum(np.exp(v - log[best]) for v in log.values()), abs=0.01)
+    assert all(got[1000 + i].lang_pred == "xx" for i in range(4))
+    few = {x.lang_pred for x in language.identify(docs, max_train=20).collect()}
+    assert "xx" in few
+
+
 def page_rows():
     big = "<p>" + "y" * 1200 + "é</p>"
     return [(1, "http://a/1", big), (2, "http://a/2 x\r\nY: z", big), (9, None, big), (3, "u", "small"), (4, "u", "small"), (5, "u", None), (6, "u", ""), (7, "u", big + "!"), (7, "u", big + "!"), (None, "u", big)]
