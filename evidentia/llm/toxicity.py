@@ -1,19 +1,24 @@
 """Toxicity by noisy-channel restoration: disguised words are decoded first, then the restored text is scored.
 
 Channel: a letter may be written as a look-alike, repeated, or set apart by spaces or marks. Each suspicious stretch is
-a lattice of what its characters may stand for; Viterbi decoding takes the likeliest path under a character trigram
-model, counted over all documents. Stretches without such signs are read as they stand.
+a lattice of what its characters may stand for: a letter, the end of a word, or nothing. Viterbi decoding takes the
+path with the greatest log odds of a character trigram model, counted over all documents, against letters drawn evenly,
+less the channel's costs; by odds, a path of more letters is not worse for being longer. Stretches of any length are
+decoded whole. Stretches without such signs are read as they stand, and a word that is cut into parts of two and more
+letters is not put together.
 
 Score: words and word beginnings (4 to 6 bytes) that labelled toxic rows hold much more often than others form a
 lexicon; a logistic model weighs a row's lexicon hits. Lexicon and model are fitted on at most `max_labelled` labelled
 rows, those with the least hash of their id, none of them held out. Character counts need no labels and cover all rows.
 
 Null and empty texts have no hits and the model's base score. Rows of one id are scored apart; labels count by id, and
-rows with a null label or id are not learned from. Without toxic labels every score is 0. Further columns are not read.
+rows with a null label or id are not learned from. Without toxic labels every score is 0. An empty table gives no rows.
+Further columns are not read; `score` keeps them beside its own, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import DataFrame
@@ -22,12 +27,20 @@ from pyspark.sql import functions as F
 from .common import held_out, saved, small_batches, text_batches
 
 #: What characters may stand for, beside themselves.
-LOOKALIKES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e"}
-SUBSTITUTE, MARK, DROP = 1.0, 0.4, 3.0  # costs in nats: a look-alike, a mark or space in between, a look-alike that is nothing
+LOOKALIKES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l"}
+LOOKALIKES |= dict(zip("аеіорсухѕ", "aeiopcyxs"))  # Cyrillic letters
+SUBSTITUTE, MARK, DROP = 1.0, 0.4, 7.0  # costs in nats: a look-alike, a mark or space as nothing, a look-alike as nothing
+BREAK = {" ": 1.0}  # a space as a word's end; any other mark costs 3 there
 REPEAT, TWICE = 0.4, 3.0  # a letter said again in a run of three or more, or of two
 CLASSES = 28  # boundary, a to z, other letters
 
-STRETCH = re.compile(r"(?<!\w)(?:[A-Za-z](?:[ ._*-][A-Za-z]){2,}(?!\w)|[A-Za-z0-9@$!|+€_*.-]*(?:[0-9@$!|+€_*.-][A-Za-z]|[A-Za-z][0-9]|([A-Za-z])\1\1)[A-Za-z0-9@$!|+€_*-]*)")
+_SIGN = "0-9@$!|+€£аеіорсухѕ"
+_UNIT, _APART, _INSIDE = f"[A-Za-z{_SIGN}]", r"[ ._*\-/~:]{1,2}", r"_*.\-/~:"
+#: Single letters or look-alikes set apart, or a run of letters, look-alikes and marks that shows a sign of disguise.
+STRETCH = re.compile(
+    rf"(?<![\w@$€£])(?:{_UNIT}(?:{_APART}{_UNIT}(?![A-Za-z{_SIGN}]))" + r"{2,}"
+    rf"|[A-Za-z{_SIGN}{_INSIDE}]*(?:[{_SIGN}{_INSIDE}][A-Za-z]|[A-Za-z][{_SIGN}]|([A-Za-z])\1\1)[A-Za-z{_SIGN}{_INSIDE}]*)"
+)
 
 
 def _classes():
@@ -43,7 +56,7 @@ def _classes():
 
 
 def trigram_counts(docs: DataFrame) -> DataFrame:
-    """(code, n): counts of class trigrams over all texts; at most 28^3 rows."""
+    """(code, n): counts of class trigrams over all texts, runs of a letter cut to two; at most 28^3 rows."""
 
     def count(batches):
         import numpy as np
@@ -57,6 +70,9 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
             marked = np.insert(of[data], bounds, 0)
             c = marked[marked != 255].astype(np.int32)
             c = c[np.r_[True, (c[1:] != 0) | (c[:-1] != 0)]]  # one boundary between words
+            once = np.ones(len(c), bool)
+            once[2:] = (c[2:] != c[1:-1]) | (c[1:-1] != c[:-2])  # a letter said three times and more is a disguise, not a language's
+            c = c[once]
             total += np.bincount((c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:], minlength=CLASSES**3)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["code", "n"])
@@ -88,45 +104,57 @@ class Restorer:
         if (found := self.known.get(stretch)) is None:
             if len(self.known) >= self.limit:
                 self.known.clear()
-            found = self.known[stretch] = self._viterbi(stretch.lower())
+            found = self._viterbi(stretch.lower())
+            if len(stretch) <= 64:
+                self.known[stretch] = found
+        return found
+
+    @staticmethod
+    def options(stretch: str, at: int) -> list[tuple[int, str, float]]:
+        """(class, character, cost) of what a character may stand for; without a character it is nothing."""
+        ch = stretch[at]
+        if "a" <= ch <= "z":
+            found = [(ord(ch) - 96, ch, 0.0)]
+            if at and ch == stretch[at - 1]:
+                found.append((0, "", REPEAT if ch * 3 in stretch[max(0, at - 2) : at + 3] else TWICE))
+        elif ch in LOOKALIKES:
+            found = [(ord(x) - 96, x, SUBSTITUTE) for x in LOOKALIKES[ch]] + [(0, "", DROP)]
+        elif ch.isalpha():
+            found = [(CLASSES - 1, ch, 0.0)]
+        else:
+            found = [(0, "", MARK), (0, " ", BREAK.get(ch, 3.0))]
         return found
 
     def _viterbi(self, stretch: str) -> str:
-        paths = {(0, 0): (0.0, ())}  # by the last two classes: log probability less costs, and what was emitted
-        for at, ch in enumerate(stretch):
-            options = []
-            if "a" <= ch <= "z":
-                options.append((ord(ch) - 96, 0.0))
-                if at and ch == stretch[at - 1]:
-                    options.append((0, REPEAT if ch * 3 in stretch[max(0, at - 2) : at + 3] else TWICE))
-            else:
-                options += [(ord(x) - 96, SUBSTITUTE) for x in LOOKALIKES.get(ch, "")] + [(0, DROP if ch in LOOKALIKES else MARK)]
+        even = math.log(CLASSES - 1)
+        paths = {(0, 0): (0.0, None)}  # by the last two classes: log odds less costs, and what was emitted
+        for at in range(len(stretch)):
+            choices = self.options(stretch, at)
             ahead: dict = {}
             for (a, b), (score, out) in paths.items():
                 row = self.log[a][b]
-                for c, cost in options:
-                    key, value = ((b, c), score + row[c] - cost) if c else ((a, b), score - cost)
+                for c, ch, cost in choices:
+                    if ch and not (c == b == 0):
+                        key, value, more = (b, c), score + row[c] + even - cost, (out, ch)
+                    else:
+                        key, value, more = (a, b), score - cost, out
                     if key not in ahead or ahead[key][0] < value:
-                        ahead[key] = value, ((out, c) if c else out)
+                        ahead[key] = value, more
             paths = ahead
         (_, out) = max(((score + self.log[a][b][0], out) for (a, b), (score, out) in paths.items()), key=lambda x: x[0])
         letters = []
         while out:
             out, c = out
-            letters.append(chr(96 + c))
+            letters.append(c)
         return "".join(reversed(letters))
 
     def restored(self, text: str) -> list[str]:
-        """The restored words of a text's suspicious stretches; very long stretches are decoded in parts."""
-        found = []
-        for m in STRETCH.finditer(text):
-            word = m[0].strip("._*-|+")
-            found += [self.restore(word[i : i + 64]) for i in range(0, len(word), 64)]
-        return found
+        """The restored words of a text's suspicious stretches."""
+        return [self.restore(word) for m in STRETCH.finditer(text) if (word := m[0].strip("._*-/~:"))]
 
 
 def _suspicious(data, bounds):
-    """Which texts may hold a disguised stretch."""
+    """Which texts may hold a disguised stretch; a text without a sign here has no match of STRETCH."""
     import numpy as np
 
     if len(data) < 3:
@@ -134,14 +162,18 @@ def _suspicious(data, bounds):
     kind = np.zeros(256, np.uint8)  # 1 letter, 2 digit, 3 mark that may stand for a letter or between letters
     kind[[*range(65, 91), *range(97, 123)]] = 1
     kind[48:58] = 2
-    kind[[ord(c) for c in "@$!|+_*.-"]] = 3
-    kind[0x80:] = 4
-    k = kind[data]
+    kind[[ord(c) for c in "@$!|+"]] = 2
+    kind[[ord(c) for c in "_*.-/~: "]] = 3
+    sign_bytes = np.zeros(256, bool)
+    sign_bytes[sorted({b for c in LOOKALIKES if not c.isascii() for b in (c.encode()[0], c.encode()[-1])})] = True
+    k = np.where(sign_bytes[data], 2, kind[data])
+    inside = (k == 3) & (data != 32)
     sign = np.zeros(len(data), bool)
-    sign[1:] |= (k[:-1] >= 2) & (k[:-1] <= 3) & (k[1:] == 1) | (k[:-1] == 1) & (k[1:] == 2)
+    sign[1:] |= ((k[:-1] == 2) | inside[:-1]) & (k[1:] == 1) | (k[:-1] == 1) & (k[1:] == 2)
     sign[2:] |= (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2]) & (k[2:] == 1)
-    single = (k == 1) & np.r_[True, k[:-1] != 1] & np.r_[k[1:] != 1, True]
-    sign[2:] |= single[2:] & single[:-2]
+    unit = (k == 1) | (k == 2)  # between two units that are apart lie one or two separators
+    sign[2:] |= unit[2:] & unit[:-2] & (k[1:-1] == 3)
+    sign[3:] |= unit[3:] & unit[:-3] & (k[1:-2] == 3) & (k[2:-1] == 3)
     return np.add.reduceat(np.r_[sign, False], bounds[:-1]) * (np.diff(bounds) > 0) > 0
 
 
@@ -204,16 +236,16 @@ class Lexicon:
         return pair // len(self.hashes), pair % len(self.hashes)
 
     def summary(self, texts: list[bytes]):
-        """Per text: 1, highest weight, sum of weights (at most 40) and number of hits (at most 20)."""
+        """Per text: 1, the highest weight, and the logarithms of the sum of weights and of the number of hits."""
         import numpy as np
 
         out = np.zeros((len(texts), 4))
         out[:, 0] = 1
         row, entry = self.hits(*_features(texts))
         np.maximum.at(out[:, 1], row, self.weights[entry])
-        out[:, 2] = np.minimum(np.bincount(row, self.weights[entry], len(texts)), 40)
-        out[:, 3] = np.minimum(np.bincount(row, minlength=len(texts)), 20)
-        return out / (1, 10, 40, 20)
+        out[:, 2] = np.log1p(np.bincount(row, self.weights[entry], len(texts)))
+        out[:, 3] = np.log1p(np.bincount(row, minlength=len(texts)))
+        return out / (1, 10, 4, 3)
 
 
 def _logistic(x, y, ridge: float = 0.1, rounds: int = 50):
@@ -262,9 +294,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 20_000, suppo
     n_toxic, n_clean = train.where("label = 1").count(), train.where("label = 0").count()
     if not n_toxic:
         return model, {}, None
-    least = max(support, n_toxic // 1000)
-    toxic = train.where("label = 1").select("text").mapInArrow(count(None), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    toxic = {r.h % 2**64: r.n for r in toxic.collect()}  # of at most max_labelled texts, and at most 1000 entries for each word of a mean text
+    toxic = train.where("label = 1").select("text").mapInArrow(count(None), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= support)
+    toxic = {r.h % 2**64: r.n for r in toxic.collect()}  # features of at least `support` of at most max_labelled texts
     clean = train.where("label = 0").select("text").mapInArrow(count(toxic), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     clean = {r.h % 2**64: r.n for r in clean.collect()}
     weights = {h: float(np.log((n + 0.5) / (n_toxic + 1)) - np.log((clean.get(h, 0) + 0.5) / (n_clean + 1))) for h, n in toxic.items()}
@@ -283,10 +314,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 20_000, suppo
 
 
 def score(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
-    """The rows with score (0 to 1) and predicted (1 if score >= 0.5) added as __score and __predicted."""
+    """(doc, score, predicted): each row as a struct of its columns, its score (0 to 1), and 1 if that is 0.5 or more."""
     model, weights, logistic = fit(docs, labels, **settings)
-    rest = [c for c in docs.columns if c != "text"]
-    schema = docs.select("text", *rest).withColumn("__score", F.lit(0.0)).withColumn("__predicted", F.lit(0)).schema
+    rows = small_batches(docs).select(F.col("text"), F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).alias("doc"))
+    schema = rows.select("doc", F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema
 
     def run(batches):
         import numpy as np
@@ -298,11 +329,11 @@ def score(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
                 p = np.zeros(batch.num_rows)
             else:
                 p = 1 / (1 + np.exp(-np.clip(lexicon.summary(_restored_texts(batch.column(0), restorer)) @ logistic, -30, 30)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p), pa.array((p >= 0.5).astype(np.int32))], names=[*batch.schema.names, "__score", "__predicted"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], names=["doc", "score", "predicted"])
 
-    return small_batches(docs).select("text", *rest).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def report(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
-    scored = score(docs.select("doc_id", "text"), labels, **settings)
-    return scored.select("doc_id", held_out().alias("held_out"), F.col("__score").alias("score"), F.col("__predicted").alias("predicted"))
+    scored = score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labels, **settings)
+    return scored.select("doc.doc_id", held_out("doc.doc_id").alias("held_out"), "score", "predicted")

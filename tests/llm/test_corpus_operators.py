@@ -385,11 +385,76 @@ def test_toxicity(spark, empty):
     assert all(got[r[0]].held_out for r in held) and sum(x.held_out for x in got.values() if x.doc_id < 1000) == len(held)
     assert np.mean([got[r[0]].predicted == r[3] for r in held]) > 0.97
     assert all(0 <= x.score <= 1 and x.predicted == (x.score >= 0.5) for x in got.values())
-    assert [got[i].predicted for i in (1001, 1002, 1003, 1004, 1005, 1006)] == [1, 0, 0, 1, 1, 0]
+    assert [got[i].predicted for i in (1000, 1001, 1002, 1003, 1004, 1005, 1006)] == [1, 1, 0, 0, 1, 1, 0]
     assert toxicity.report(empty, labels).count() == 0
     assert all(x.score == 0 for x in toxicity.report(docs, labels.limit(0)).collect())
 
 
+LEET = {"a": "4", "e": "3", "i": "1", "o": "0", "s": "$", "t": "7"}
+DISGUISES = {
+    "look-alikes": lambda w: "".join(LEET.get(c, c) for c in w),
+    "spaces": " ".join,
+    "marks": ".".join,
+    "repeats": lambda w: "".join(c * (4 if k % 2 else 1) for k, c in enumerate(w)),
+    "spaced look-alikes": lambda w: " ".join(LEET.get(c, c) for c in w),
+}
+
+
+@pytest.mark.parametrize("disguise", sorted(DISGUISES))
+def test_disguised_words(spark, monkeypatch, disguise):
+    """Held-out rows whose only toxic word is disguised are caught, by the decoder alone."""
+    r = random.Random(9)
+    bad = ["idiot", "moron", "loser", "stupid", "trash"]
+    prose = lambda k: " ".join(r.choice(["the", "others", "said", "that", "it", "is", "a", "lost", "stone", "road", "and", "rest", "idol", "more", "on", "so"]) for _ in range(k))
+    hidden = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 5 == 0][:60]
+    rows = []
+    for i in range(900):
+        word = bad[i % 5]
+        if i in hidden:
+            rows.append((i, f"{prose(20)} {DISGUISES[disguise](word)} {prose(20)}"))
+        else:
+            rows.append((i, f"{prose(20)} {word if i % 3 == 0 else ''} {prose(20)}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(900) if i not in hidden], "doc_id long, toxic int")
+    got = {x.doc_id: x.predicted for x in toxicity.report(docs, labels).collect()}
+    known = [i for i in hidden if i < 900]
+    assert np.mean([got[i] for i in known]) >= 0.9
+    assert np.mean([got[i] == (i % 3 == 0) for i in got if i not in hidden]) > 0.99
+
+
+def test_viterbi_by_all_paths(spark):
+    """The decoder's path is the best of all paths through the lattice."""
+    from itertools import product
+
+    r = random.Random(3)
+    model = toxicity.log_model({int(k): r.randrange(1, 200) for k in r.sample(range(toxicity.CLASSES**3), 4000)})
+    restorer = toxicity.Restorer(model)
+
+    def value(choice):
+        a = b = 0
+        total = 0.0
+        for c, ch, cost in choice:
+            total -= cost
+            if ch and not (c == b == 0):
+                total += model[a, b, c] + np.log(toxicity.CLASSES - 1)
+                a, b = b, c
+        return total + model[a, b, 0]
+
+    for _ in range(150):
+        stretch = "".join(r.choice("aabst01$!. éо") for _ in range(r.randrange(1, 7)))
+        paths = list(product(*[restorer.options(stretch, i) for i in range(len(stretch))]))
+        best = max(map(value, paths))
+        texts = set()
+        for p in paths:
+            if value(p) > best - 1e-9:
+                last, out = 0, ""
+                for c, ch, _ in p:
+                    if ch and not (c == last == 0):
+                        out, last = out + ch, c
+                texts.add(out)
+        assert restorer.restore(stretch) in texts
+
+
 def test_language(spark, empty):
     rows = corpus(600, 2)
     odd = [(1000, None, "en"), (1001, "123 !? ½ ² Ⅷ ①", "en"), (1002, "", None), (1003, "eau qui le", None), (1004, "漢", None), (1005, "keit " * 60_000, None)]
