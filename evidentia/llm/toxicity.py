@@ -30,7 +30,7 @@ from .common import held_out, saved, small_batches, text_batches
 LOOKALIKES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l"}
 LOOKALIKES |= dict(zip("аеіорсухѕ", "aeiopcyxs"))  # Cyrillic letters
 SUBSTITUTE, MARK, DROP = 1.0, 0.4, 7.0  # costs in nats: a look-alike, a mark or space as nothing, a look-alike as nothing
-BREAK = {" ": 1.0}  # a space as a word's end; any other mark costs 3 there
+BREAK = {" ": 2.5}  # a space as a word's end; any other mark costs 3 there
 REPEAT, TWICE = 0.4, 3.0  # a letter said again in a run of three or more, or of two
 CLASSES = 28  # boundary, a to z, other letters
 
@@ -56,7 +56,7 @@ def _classes():
 
 
 def trigram_counts(docs: DataFrame) -> DataFrame:
-    """(code, n): counts of class trigrams over all texts, runs of a letter cut to two; at most 28^3 rows."""
+    """(code, n): counts of class trigrams over all texts, runs of three and more cut to one; at most 28^3 rows."""
 
     def count(batches):
         import numpy as np
@@ -70,9 +70,8 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
             marked = np.insert(of[data], bounds, 0)
             c = marked[marked != 255].astype(np.int32)
             c = c[np.r_[True, (c[1:] != 0) | (c[:-1] != 0)]]  # one boundary between words
-            once = np.ones(len(c), bool)
-            once[2:] = (c[2:] != c[1:-1]) | (c[1:-1] != c[:-2])  # a letter said three times and more is a disguise, not a language's
-            c = c[once]
+            same = np.r_[False, c[1:] == c[:-1], False]
+            c = c[~(same[:-1] & (np.r_[False, same[:-2]] | same[1:]))]  # a letter said three times and more is a disguise, not a language's
             total += np.bincount((c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:], minlength=CLASSES**3)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["code", "n"])
