@@ -360,6 +360,42 @@ def test_revealing_terms(spark):
     assert not any("Quentin" in t or "@" in t for t in clean.values()) and all("[EMAIL]" in clean[i] for i in range(6))
 
 
+def test_terms_by_hand(spark):
+    """Shares of kinds and entities by counting: a word of texts with addresses is a span wherever it stands."""
+    r = random.Random(12)
+    common = ["the", "of", "and", "new", "old", "small"]
+    filler = lambda k: " ".join(r.choice(common) for _ in range(k))
+    texts = []
+    for i in range(600):
+        t = f"{filler(30)} w{i}x"
+        if i % 10 == 0:
+            t = f"{t} inbox {filler(70)} someone{i}@mail{i}.org {filler(3)}"
+        if i % 20 == 5:
+            t += f" Kontakt {filler(2)} +49 30 12345{i:03d}"
+        if i == 7:
+            t += " (inbox) alone"
+        texts.append(t)
+    texts += [texts[0]] * 50 + [None, ""]
+    docs = spark.createDataFrame([(i, t, "x", 1.0) for i, t in enumerate(texts)], "doc_id long, text string, row string, share double")
+    got = {x.doc_id: x for x in pii.detect(docs).collect()}
+    distinct = list(dict.fromkeys(texts))
+    words = {t: {w for x in (t or "").split() if len(w := x.strip("()+")) > 2 and w.isalpha()} for t in distinct}
+    share = {}
+    for sign in (r"@", r"\+49", r"@|\+49"):
+        holds = [t for t in distinct if re.search(sign, t or "")]
+        for w in set().union(*words.values()):
+            n_t, n_te = sum(w in words[t] for t in distinct), sum(w in words[t] for t in holds)
+            low = n_te - 2 * n_te**0.5
+            if n_te >= 3 and low > 0:
+                share[w] = max(share.get(w, 0), np.log2(len(distinct) * low / (n_t * len(holds))) / np.log2(len(distinct) / len(holds)))
+    assert {w for w, v in share.items() if v >= 0.8} == {"inbox", "Kontakt"}
+    for i, t in enumerate(texts):
+        want = sorted(m.start() for m in re.finditer(r"\b(?:inbox|Kontakt)\b", t or ""))
+        assert sorted(int(x.split(":")[1]) for x in got[i].spans.split(",") if x.startswith("term")) == want
+    clean = pii.sanitise(docs)
+    assert clean.columns == docs.columns and not any("inbox" in (x.text or "") for x in clean.collect())
+
+
 def corpus(n, seed):
     r = random.Random(seed)
     syllables = {"en": ["th", "er", "on", "an", "re", "ing"], "de": ["sch", "ein", "ung", "ü", "ver", "keit"], "fr": ["eau", "é", "tion", "ou", "qui", "le"]}
