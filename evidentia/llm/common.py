@@ -11,8 +11,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A side of at most this many rows (a few dozen bytes each) may be broadcast; a larger one is shuffled.
-BROADCAST_ROWS = 400_000
+#: A written side of at most this many rows and bytes of its files may be broadcast; a larger one is shuffled.
+BROADCAST_ROWS, BROADCAST_BYTES = 400_000, 4 << 20
 
 _OWN_FOLDERS: dict[str, str] = {}
 
@@ -49,8 +49,9 @@ def saved(df: DataFrame, label: str) -> DataFrame:
 
 
 def small_or_shuffled(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Marks a saved table for broadcast if its counted rows stay within the bound, else leaves it to a shuffle join."""
-    return F.broadcast(df) if df.count() <= rows else df
+    """Marks a saved table for broadcast if its counted rows and its bytes stay within bounds, else leaves it to a shuffle join."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return F.broadcast(df) if size <= BROADCAST_BYTES and df.count() <= rows else df
 
 
 def row_hash(id_col: str, text_col: str) -> Column:

@@ -53,7 +53,8 @@ def _terms_of(windows: DataFrame) -> DataFrame:
 def phrase_matches(docs: DataFrame, windows: DataFrame, index: DataFrame | None = None, *, anchors: int = 2) -> DataFrame:
     """(doc_id, row, found): found is array<struct<start, end, window_id>> of confirmed occurrences, by start."""
     index = build_index(docs, _terms_of(windows)) if index is None else index
-    counts = index.groupBy("term_id").agg(F.count("*").alias("n"))
+    # One row a term of the test set; a common one, which most windows hold, is in no task's way if these are broadcast.
+    counts = small_or_shuffled(saved(index.groupBy("term_id").agg(F.count("*").alias("n")), "counts"))
     places = windows.select("window_id", F.posexplode("terms").alias("offset", "term"))
     places = places.select("window_id", "offset", F.xxhash64("term").alias("term_id")).join(counts, "term_id")
     complete = places.groupBy("window_id").agg(F.count("*").alias("known"), F.min("n").alias("least"))
@@ -76,12 +77,13 @@ def phrase_matches(docs: DataFrame, windows: DataFrame, index: DataFrame | None
 def proximity_matches(docs: DataFrame, benchmark: DataFrame, *, terms: int = 4, span: int = 20) -> DataFrame:
     """(doc_id, item_id, n): places where the item's rarest distinct terms all start within `span` words of each other.
 
-    Items with fewer distinct terms need all of those they have; an item with a term that the documents lack has none.
+    Terms that the documents lack don't count. Items with fewer distinct terms need all of those they have; an item
+    whose terms the documents lack altogether has no match.
     """
     items = saved(benchmark.select("item_id", F.explode(F.array_distinct(words(F.col("text")))).alias("term")), "item-terms")
     index = build_index(docs, _terms_of(items.select(F.array("term").alias("terms"))))
-    counts = index.groupBy("term_id").agg(F.count("*").alias("n"))
-    ranked = items.withColumn("term_id", F.xxhash64("term")).join(counts, "term_id", "left").fillna(0, ["n"])
+    counts = small_or_shuffled(saved(index.groupBy("term_id").agg(F.count("*").alias("n")), "counts"))
+    ranked = items.withColumn("term_id", F.xxhash64("term")).join(counts, "term_id")
     ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("item_id").orderBy("n", "term_id"))).where(F.col("rank") <= terms)
     ranked = saved(ranked.withColumn("need", F.count("*").over(Window.partitionBy("item_id"))).select("item_id", "term_id", "need"), "rare-terms")
     near = Window.partitionBy("doc_id", "row", "item_id").orderBy("pos").rangeBetween(0, span - 1)
