@@ -50,7 +50,7 @@ def saved(df: DataFrame, label: str) -> DataFrame:
 
 def small_or_shuffled(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Marks a saved table for broadcast if its counted rows and its bytes stay within bounds, else leaves it to a shuffle join."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return F.broadcast(df) if size <= BROADCAST_BYTES and df.count() <= rows else df
 
 
