@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .vote_wordings import SIDES
+
 
 def accepted(review: Column, evaluation: Column) -> Column:
     """Evidence counts if it is not rejected, and either reviewed or accepted by the final evaluation; null counts as no."""
@@ -57,8 +59,8 @@ def decision_scope(tenor: Column, remark: Column) -> Column:
 
 
 def prompt_position(prompt: Column) -> Column:
-    """Which side a chair's question asks for."""
-    return F.when(prompt.rlike("(?iu)enthalt|enthält"), "abstain").when(prompt.rlike(r"(?iu)dagegen|gegen\b|Gegenstimmen|Neinstimmen|Gegenprobe"), "no").when(prompt.rlike(r"(?iuU)zustimmen|dafür|für\b|\bzu\?"), "yes")
+    """Which side a chair's question asks for: the first whose wording fits."""
+    return F.coalesce(*[F.when(prompt.rlike(f"(?iuU){wording}"), side) for side, wording in SIDES.items()])
 
 
 def crosscheck_status(compared: Column, matched: Column, total: Column) -> Column:

@@ -137,11 +137,14 @@ def publishable(sources: DataFrame) -> DataFrame:
 
 
 def poll_matches(polls: DataFrame, term: Column, day: Column, numbers: Column, adopted: Column, host: str) -> DataFrame:
-    """polls (poll_id, date, adopted, legislature, url, intro) of one vote: same day, result and term, and its first official link names one of the numbers."""
-    first = F.regexp_extract("intro", r"(?is)<p[^>]*>.*?href=\"(https://dserver\.bundestag\.de/[^\"]*)\"[^>]*>([^<]*)", 1)
-    label = F.regexp_extract("intro", r"(?is)<p[^>]*>.*?href=\"(https://dserver\.bundestag\.de/[^\"]*)\"[^>]*>([^<]*)", 2)
-    number = F.regexp_extract(first, r"/btd/(\d{2})/\d{3}/\1(\d{5})\.pdf$", 2)
-    cited = F.concat(F.regexp_extract(first, r"/btd/(\d{2})/\d{3}/\1(\d{5})\.pdf$", 1).try_cast("int"), F.lit("/"), number.try_cast("int"))
+    """polls (poll_id, date, adopted, legislature, url, intro) of one vote: same day, result and term, and the first official link of its first paragraph is to one of the numbers."""
+    lead = F.regexp_extract("intro", r"(?is)<p\b[^>]*>(.*?)(?:</p\s*>|$)", 1)
+    official = F.filter(F.regexp_extract_all(lead, F.lit(r"(?is)<a\b[^>]*\bhref[^>]*>.*?</a\s*>"), F.lit(0)), lambda a: a.rlike(r"""(?is)^<a\b[^>]*\bhref\s*=\s*["']https://dserver\.bundestag\.de(?:/|["'])"""))
+    link = F.get(official, F.lit(0))
+    paper = r"""^/btd/(\d{2})/\d{3}/\1(\d{5})\.pdf$"""
+    target = F.try_parse_url(F.regexp_extract(link, r"""(?is)\bhref\s*=\s*["']([^"']*)["']""", 1), F.lit("PATH"))
+    cited = F.concat_ws("/", F.regexp_extract(target, paper, 1).try_cast("int"), F.nullif(F.regexp_extract(target, paper, 2), F.lit("")).try_cast("int"))
+    label = F.regexp_replace(link, r"<[^>]*>", "")
     path = F.concat(F.lit("/bundestag/"), term, F.lit("/abstimmungen/"))
     rule = (F.col("date") == day) & (F.col("adopted") == adopted) & F.startswith("legislature", F.lit("Bundestag ")) & (F.try_parse_url("url", F.lit("HOST")) == host) & F.startswith(F.try_parse_url("url", F.lit("PATH")), path)
     return polls.where(rule & F.array_contains(numbers, cited) & F.lower(label).contains("gesetzentwurf"))

@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import html.parser
-import re
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -54,57 +50,57 @@ def pdf_links(pages: DataFrame) -> DataFrame:
     return each.where(own).groupBy("page_id", "href").agg(F.count("*").alias("n"))
 
 
-class _Archive(html.parser.HTMLParser):
-    """Collects search results (heading, link), the stated total and the next page's link."""
-
-    def __init__(self):
-        super().__init__()
-        self.results, self.next, self.total = [], None, None
-        self._in_result = self._in_head = False
-        self._text, self._link, self._seen = [], None, []
-
-    def handle_starttag(self, tag, attrs):
-        a = dict(attrs)
-        classes = (a.get("class") or "").split()
-        if tag == "section" and "searchresult" in classes:
-            self._in_result, self._text, self._link = True, [], None
-        elif tag == "h3" and self._in_result:
-            self._in_head = True
-        elif tag == "a":
-            if self._in_result and self._link is None:
-                self._link = a.get("href")
-            if "next" in (a.get("rel") or "").split() or "forward" in classes or "nextpage" in classes:
-                self.next = a.get("href")
-
-    def handle_endtag(self, tag):
-        if tag == "h3":
-            self._in_head = False
-        elif tag == "section" and self._in_result:
-            self._in_result = False
-            self.results.append((" ".join("".join(self._text).split()), self._link))
-
-    def handle_data(self, data):
-        if self._in_head:
-            self._text.append(data)
-        self._seen.append(data)
-        if self.total is None and (m := re.search(r"(\d[\d.]*)\s+(?:Treffer|Ergebnisse)", "".join(self._seen[-6:]))):
-            self.total = int(m[1].replace(".", ""))
-
-
-def archive_results(pages: DataFrame) -> DataFrame:
-    """(page_id, total, next, pos, heading, link) of archive pages (page_id, html); a page without results has one row."""
-
-    def run(batches):
-        for frame in batches:
-            out = []
-            for page, text in zip(frame["page_id"], frame["html"]):
-                p = _Archive()
-                p.feed(text or "")
-                p.close()
-                out += [(page, p.total, p.next, i, h, link) for i, (h, link) in enumerate(p.results)] or [(page, p.total, p.next, None, None, None)]
-            yield pd.DataFrame(out, columns=["page_id", "total", "next", "pos", "heading", "link"]).astype({"total": "Int64", "pos": "Int64"})
-
-    return pages.select("page_id", "html").mapInPandas(run, "page_id long, total long, next string, pos long, heading string, link string")
+# The archive's markup, and how it cites a law.
+RESULT_SECTION = r"""(?is)<section\b[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?searchresult(?:\s[^"']*)?["'][^>]*>(.*?)</section\s*>"""
+NEXT_ITEM = r"""(?is)<li\b[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?c-nav-index__item--next(?:\s[^"']*)?["'][^>]*>(.*?)</li\s*>"""
+FORWARD = r"""(?is)<a\b(?=[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?forward(?:\s[^"']*)?["'])[^>]*>"""
+HREF = r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
+TOTAL = r"Suchergebnisse:\s*([\d.]+)"
+LAW_PATH = r"^/bgbl/([12])/(\d{4})/(\d+[a-z]?)/VO\.html$"
+CITATION = r"^BGBl\. (\d{4}) (II|I) Nr\. (\d+[a-z]?) vom (\d{2}\.\d{2}\.\d{4})$"
+
+ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
+
+
+def _shown(markup: Column) -> Column:
+    """What a reader sees of markup, with single spaces."""
+    text = F.regexp_replace(markup, r"(?s)<!--.*?-->|<[^>]*>", "")
+    for entity, sign in ENTITIES.items():
+        text = F.replace(text, F.lit(entity), F.lit(sign))
+    return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
+
+
+def archive_results(pages: DataFrame, hosts: list[str]) -> DataFrame:
+    """(page_id, total, next, pos, law_id, title, url, citation, published_at, problem) of archive pages (page_id, html).
+
+    A law is a link below a result section's heading, which must cite that law; a section may hold several. A page
+    without laws has one row. A page that can't be trusted has one row with a problem and no law.
+    """
+    html = F.coalesce("html", F.lit(""))
+    links = F.concat(F.flatten(F.transform(F.regexp_extract_all(html, F.lit(NEXT_ITEM), F.lit(1)), lambda x: F.regexp_extract_all(x, F.lit(HREF), F.lit(1)))), F.transform(F.regexp_extract_all(html, F.lit(FORWARD), F.lit(0)), lambda x: F.regexp_extract(x, HREF, 1)))
+    total = F.replace(F.nullif(F.regexp_extract(_shown(html), TOTAL, 1), F.lit("")), F.lit("."), F.lit("")).cast("long")
+    # Each section is cut at its headings; the part before the first one has no citation.
+    sections = F.regexp_extract_all(html, F.lit(RESULT_SECTION), F.lit(1))
+    parts = F.flatten(F.transform(sections, lambda s: F.transform(F.split(s, r"(?i)<h3\b[^>]*>"), lambda x, k: F.struct(F.when(k > 0, F.element_at(F.split(x, r"(?i)</h3\s*>", 2), 1)).alias("heading"), F.when(k > 0, F.get(F.split(x, r"(?i)</h3\s*>", 2), F.lit(1))).otherwise(x).alias("body")))))
+    anchors = lambda p: F.transform(F.regexp_extract_all(p["body"], F.lit(r"(?is)<a\b[^>]*>.*?</a\s*>"), F.lit(0)), lambda a: F.struct(p["heading"].alias("heading"), F.regexp_extract(a, HREF, 1).alias("href"), a.alias("anchor")))
+    laws = F.filter(F.flatten(F.transform(parts, anchors)), lambda a: F.coalesce(F.try_parse_url(a["href"], F.lit("PATH")), a["href"]).rlike(LAW_PATH))
+    each = pages.select("page_id", total.alias("total"), F.array_distinct(links).alias("links"), F.posexplode_outer(laws).alias("pos", "law"))
+    path, heading = F.try_parse_url("law.href", F.lit("PATH")), _shown(F.col("law.heading"))
+    part, year, number = (F.regexp_extract(path, LAW_PATH, i) for i in (1, 2, 3))
+    cited_year, roman, cited, day = (F.regexp_extract(heading, CITATION, i) for i in (1, 2, 3, 4))
+    title, found = _shown(F.col("law.anchor")), F.col("law").isNotNull()
+    official = (F.try_parse_url("law.href", F.lit("PROTOCOL")) == "https") & F.try_parse_url("law.href", F.lit("HOST")).isin(hosts) & heading.rlike(CITATION)
+    same = (year == cited_year) & (number == cited) & (part == F.when(roman == "I", "1").otherwise("2"))
+    problem = F.when(F.col("total").isNull(), "no result count").when(F.size("links") > 1, "conflicting next links").when(found & ~F.coalesce(official, F.lit(False)), "no official law or citation").when(found & ~same, "citation of another law").when(found & (title == ""), "no title")
+    each = each.select(
+        "page_id", "total", F.get("links", F.lit(0)).alias("next"), F.col("pos").cast("long").alias("pos"), F.when(found, F.concat_ws("-", F.lit("bgbl"), part, year, number)).alias("law_id"), title.alias("title"),
+        F.when(found, F.concat(F.lit("https://www.recht.bund.de/eli/bund/bgbl-"), F.concat_ws("/", part, year, number))).alias("url"), F.when(found, F.concat(F.lit("BGBl. "), year, F.lit(" "), roman, F.lit(" Nr. "), number)).alias("citation"),
+        F.try_to_date(day, "dd.MM.yyyy").alias("published_at"), problem.alias("problem"),
+    )
+    first = F.min(F.when(F.col("problem").isNotNull(), F.coalesce("pos", F.lit(0)))).over(Window.partitionBy("page_id"))
+    each = each.withColumn("fault", first).where("fault is null or fault = coalesce(pos, 0)")
+    ofsound = lambda c: F.when(F.col("fault").isNull(), F.col(c)).alias(c)
+    return each.select("page_id", *[ofsound(c) for c in ("total", "next", "pos", "law_id", "title", "url", "citation", "published_at")], "problem")
 
 
 def archive_problems(results: DataFrame) -> DataFrame:
@@ -112,7 +108,7 @@ def archive_problems(results: DataFrame) -> DataFrame:
     rows = results.where("pos is not null")
     total = results.agg(F.count_distinct("total").alias("n"), F.max("total").alias("total"))
     drift = total.where("n > 1").select(F.lit("total drifts").alias("rule"), F.col("total").cast("string").alias("entity_id"))
-    twice = rows.groupBy("link").agg(F.count("*").alias("n")).where("n > 1").select(F.lit("entry twice"), "link")
+    twice = rows.groupBy("law_id").agg(F.count("*").alias("n")).where("n > 1").select(F.lit("entry twice"), "law_id")
     loop = results.select("page_id", "next").distinct().groupBy("next").agg(F.count("*").alias("n")).where("n > 1 and next is not null").select(F.lit("page loop"), "next")
     short = total.join(rows.agg(F.count("*").alias("found")), F.lit(True)).where("found <> total").select(F.lit("total differs"), F.col("found").cast("string"))
     return drift.union(twice).union(loop).union(short)

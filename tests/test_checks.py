@@ -56,7 +56,9 @@ def test_polls(spark):
     intro = '<p>Der <a href="https://x.de">x</a> <a href="https://dserver.bundestag.de/btd/20/001/2000123.pdf">Gesetzentwurf</a></p>'
     schema = "poll_id int, date string, adopted boolean, legislature string, url string, intro string"
     ok = (1, "2025-01-01", True, "Bundestag 2021", "https://www.example.org/bundestag/20/abstimmungen/x", intro)
-    data = [ok, (2, "2025-01-02", *ok[2:]), (3, "2025-01-01", False, *ok[3:]), (4, *ok[1:5], "<p>ohne</p>"), (5, *ok[1:4], "https://evil.org/bundestag/20/abstimmungen/x", intro)]
+    late = intro.replace("</p>", "").replace("<a href=\"https://dserver", "</p><p><a href=\"https://dserver") + "</p>"
+    other = intro.replace('<a href="https://x.de">x</a>', '<a href="https://dserver.bundestag.de/btd/20/001/2000124.pdf">Gesetzentwurf</a>')
+    data = [(6, *ok[1:5], late), (7, *ok[1:5], other), (8, *ok[1:5], None), ok, (2, "2025-01-02", *ok[2:]), (3, "2025-01-01", False, *ok[3:]), (4, *ok[1:5], "<p>ohne</p>"), (5, *ok[1:4], "https://evil.org/bundestag/20/abstimmungen/x", intro)]
     found = P.poll_matches(spark.createDataFrame(data, schema), F.lit("20"), F.lit("2025-01-01"), F.array(F.lit("20/123")), F.lit(True), "www.example.org")
     assert [r.poll_id for r in found.collect()] == [1]
 

@@ -1,5 +1,6 @@
 """Readers, writers and incremental forms on small fixtures."""
 
+import datetime
 import io
 import json
 import zipfile
@@ -37,13 +38,34 @@ def test_feed(spark, tmp_path):
     assert sorted((r.law_id, r.status) for r in feeds.new_entries(entries, known, 2).collect()) == [("a", "deferred"), ("b", "imported"), ("c", "imported")]
 
 
+def archive_page(rows, total, following="", section="searchresult"):
+    found = "".join(f'<h3>BGBl. 2025 {"I" if part == 1 else "II"} Nr. <b>{number}</b> vom {day}</h3><p>x</p><a class="t" href="https://{host}/bgbl/{part}/2025/{number}/VO.html">Gesetz&nbsp;{number} &amp; mehr</a>' for part, number, day, host in rows)
+    return f'<p>Suchergebnisse: {total}</p><a href="/bgbl/1/2025/9/VO.html">außerhalb</a><section class="a {section}">{found}</section>{following}'
+
+
 def test_archive(spark):
-    page = '<p>2 Treffer</p><section class="searchresult"><h3>Gesetz <b>A</b></h3><a href="/a">x</a></section><section class="searchresult"><h3>Gesetz B</h3><a href="/b">x</a></section><a rel="next" href="?p=2">w</a>'
-    pages = spark.createDataFrame([(1, page), (2, "<p>nichts</p>")], "page_id long, html string")
-    got = feeds.archive_results(pages)
-    assert sorted(rows(got), key=repr) == [(1, 2, "?p=2", 0, "Gesetz A", "/a"), (1, 2, "?p=2", 1, "Gesetz B", "/b"), (2, None, None, None, None, None)]
-    assert rows(feeds.archive_problems(got)) == []
-    again = got.unionByName(got.where("pos = 0"))
+    """Several headings and links in one section, both layouts of the next link, and what is refused."""
+    own = "www.recht.bund.de"
+    modern, plain = '<li class="x c-nav-index__item--next"><a href="?p=2">2</a></li>', '<a class="forward button" href="?p=2">weiter</a>'
+    pages = [
+        archive_page([(1, "100", "30.05.2025", own), (2, "10a", "01.06.2025", own)], "1.002", modern), archive_page([(2, "11", "02.06.2025", own)], "1.002", plain), archive_page([], 0),
+        archive_page([(1, "5", "30.05.2025", own)], 2, plain + plain.replace("p=2", "p=3")), archive_page([(1, "5", "30.05.2025", "example.org")], 2), archive_page([(1, "5", "30.05.2025", own)], 2).replace("/2025/5/", "/2025/6/"), "<p>nichts</p>", None,
+    ]
+    got = feeds.archive_results(spark.createDataFrame(list(enumerate(pages)), "page_id long, html string"), [own])
+    want = [
+        (0, 1002, "?p=2", 0, "bgbl-1-2025-100", "Gesetz 100 & mehr", "https://www.recht.bund.de/eli/bund/bgbl-1/2025/100", "BGBl. 2025 I Nr. 100", datetime.date(2025, 5, 30), None),
+        (0, 1002, "?p=2", 1, "bgbl-2-2025-10a", "Gesetz 10a & mehr", "https://www.recht.bund.de/eli/bund/bgbl-2/2025/10a", "BGBl. 2025 II Nr. 10a", datetime.date(2025, 6, 1), None),
+        (1, 1002, "?p=2", 0, "bgbl-2-2025-11", "Gesetz 11 & mehr", "https://www.recht.bund.de/eli/bund/bgbl-2/2025/11", "BGBl. 2025 II Nr. 11", datetime.date(2025, 6, 2), None),
+        (2, 0, None, None, None, None, None, None, None, None),
+    ]
+    each = sorted(rows(got), key=lambda r: (r[0], r[3] or 0))
+    assert each[:4] == want
+    assert [(r[0], r[-1]) for r in each[4:]] == [(3, "conflicting next links"), (4, "no official law or citation"), (5, "citation of another law"), (6, "no result count"), (7, "no result count")]
+    sound = got.where("problem is null")
+    assert {r[0] for r in rows(feeds.archive_problems(sound))} == {"total drifts", "total differs", "page loop"}
+    one = sound.where("page_id = 0").withColumn("total", F.lit(2).cast("long"))
+    assert rows(feeds.archive_problems(one)) == []
+    again = one.unionByName(one.where("pos = 0"))
     assert {r[0] for r in rows(feeds.archive_problems(again))} == {"entry twice", "total differs"}
 
 
@@ -75,10 +97,13 @@ def test_transcripts(spark):
         ("Wer stimmt dafür? – Einige Abgeordnete der SPD. Gegenprobe! – Die AfD. Damit ist der Gesetzentwurf angenommen.", {"afd": "no"}),
         ("Wer stimmt dafür? – Die Koalition. Damit ist der Gesetzentwurf angenommen.", {}),
         ("Der Gesetzentwurf ist angenommen. Der Gesetzentwurf ist abgelehnt.", {}), ("Nichts.", {}),
+        ("Wer zustimmen möchte, möge sich bitte erheben. – Es stimmen dafür die SPDFraktion und  BÜNDNIS 90/DIE GRÜNEN. Sie dürfen sich wieder setzen. Nun diejenigen, die sich enthalten. – Es enthält sich die AfDFraktion. Damit ist der Gesetzentwurf angenommen.", {"spd": "yes", "gruene": "yes", "afd": "abstain"}),
+        ("Jetzt bitte ich diejenigen, die zustimmen wollen, sich zu erheben. – Dagegen stimmen die SPD. Damit ist der Gesetzentwurf angenommen.", {}),
     ],
 )
-def test_positions(quote, want):
-    assert transcripts.positions_in(quote) == want
+def test_positions(spark, quote, want):
+    df = spark.createDataFrame([(1, quote, None)], "quote_id long, text string, comments array<struct<start:int,end:int>>")
+    assert {r.party_id: r.position for r in transcripts.group_positions(df).collect()} == want
 
 
 def test_positions_in_spark(spark):
@@ -212,15 +237,23 @@ SECOND = "Der Ausschuss empfiehlt, den Gesetzentwurf auf Drucksache 20/7 anzuneh
 THIRD = "Wir kommen zur Schlussabstimmung. Ich bitte diejenigen, die zustimmen wollen, sich zu erheben. Der Gesetzentwurf ist angenommen."
 
 
-def test_decision_passage(spark):
-    text = SECOND + THIRD
-    at = transcripts.decision_passage(text, {"20/7"}, "final_passage")
-    assert at and text[slice(*at)].startswith("Schlussabstimmung") and transcripts.decision_passage(text, {"20/7"}, "second_reading")
-    assert transcripts.decision_passage(text, {"20/8"}, "final_passage") is None and transcripts.decision_passage(text, set(), "final_passage") is None
-    other = SECOND + "Tagesordnungspunkt 9. " + THIRD
-    assert transcripts.decision_passage(other, {"20/7"}, "final_passage") is None
-    df = spark.createDataFrame([(1, text, ["20/7"], "final_passage"), (2, None, None, "x")], "block_id long, text string, numbers array<string>, stage string")
-    assert [r.quote for r in transcripts.decision_passages(df).collect()] == [text[slice(*at)]]
+PARTIAL = "Der Ausschuss empfiehlt, den Gesetzentwurf auf Drucksache 20/7 anzunehmen. Zweite und dritte Beratung. Wer stimmt für die übrigen Teile des Gesetzentwurfs? – Die SPD. Die übrigen Teile des Gesetzentwurfs sind angenommen. Alle Teile des Gesetzentwurfs sind damit in zweiter Beratung angenommen. "
+
+
+def test_decision_passages(spark):
+    """One decision of the stage on all numbers; its final vote takes the second reading's references, but no other motion's."""
+    cases = [
+        (SECOND + THIRD, ["20/7"], "final_passage", "Schlussabstimmung"), (SECOND + THIRD, ["20/7"], "second_reading", "Ich bitte"), (SECOND + THIRD, ["20/8"], "final_passage", None), (SECOND + THIRD, [], "final_passage", None),
+        (SECOND + "Tagesordnungspunkt 9. " + THIRD, ["20/7"], "final_passage", None), (SECOND + THIRD + SECOND + THIRD, ["20/7"], "final_passage", None), (PARTIAL + THIRD, ["20/7"], "final_passage", "Schlussabstimmung"),
+        ((SECOND + THIRD).replace(" ", "\n "), ["20/7"], "final_passage", "Schlussabstimmung"), (None, ["20/7"], "final_passage", None), ("", None, None, None),
+    ]
+    df = spark.createDataFrame([(i, t, n, s) for i, (t, n, s, _) in enumerate(cases)], "block_id long, text string, numbers array<string>, stage string")
+    got = {r.block_id: r for r in transcripts.decision_passages(df).collect()}
+    assert set(got) == {i for i, c in enumerate(cases) if c[3]}
+    for i, r in got.items():
+        text, _, _, begin = cases[i]
+        assert r.quote == text[r.start : r.end] and r.quote.startswith(begin) and r.quote.endswith("angenommen.")
+    assert [(r.stage, r.carried) for r in sorted(transcripts.decisions(df.where("block_id = 6")).collect(), key=lambda r: r.i)] == [(None, False), ("second_reading", True), ("final_passage", True)]
 
 
 class Answer(io.BytesIO):
