@@ -30,7 +30,7 @@ def task_state(attempts: DataFrame, now, *, limit: int = 3) -> DataFrame:
     """
     last = F.max_by("outcome", F.struct("at", "outcome"))
     out = attempts.groupBy("task").agg(F.count("*").alias("attempts"), last.alias("last"), F.max("at").alias("last_at"), F.bool_or(F.col("outcome") == "done").alias("done"))
-    retry = F.col("last_at") + 60 * F.pow(F.lit(2), F.col("attempts")).cast("long")
+    retry = F.col("last_at") + 60 * F.pow(F.lit(2), F.least("attempts", F.lit(40))).cast("long")
     out = out.withColumn("next_retry_at", F.when(~F.col("done"), retry))
     return out.withColumn("available", ~F.col("done") & (F.col("last") != "fatal") & (F.col("attempts") < limit) & (F.col("next_retry_at") <= now))
 

@@ -162,3 +162,19 @@ def budget_context(passages: DataFrame, ranked: DataFrame, *, budget: int, reach
             yield pd.DataFrame(out, columns=["doc_id", "ordinal"])
 
     return lists.join(order, "doc_id", "left").mapInPandas(choose, "doc_id long, ordinal int")
+
+
+def anchored(quotes: DataFrame, keys: list[str], docs: DataFrame, doc_id: str) -> DataFrame:
+    """(keys, doc_id, quote, source, status) of quotes (keys, quote) and docs (doc_id, source) that hold them, white space aside.
+
+    A quote's inner words stand in such a document as words of their own, so the rarest of them, by postings of quoted
+    words, leads to all candidates; only these are searched. Quotes of fewer than three words have no inner word.
+    """
+    words = lambda c: F.split(T.collapsed(F.col(c)), " ")
+    inner = quotes.select(*keys, "quote", words("quote").alias("words")).where(F.size("words") >= 3)
+    inner = inner.select(*keys, "quote", F.explode(F.array_distinct(F.slice("words", 2, F.size("words") - 2))).alias("term"))
+    postings = docs.select(doc_id, F.explode(F.array_distinct(words("source"))).alias("term")).join(inner.select("term").distinct(), "term")
+    counts = postings.groupBy("term").agg(F.count("*").alias("n"))
+    rarest = inner.join(counts, "term", "left").groupBy(*keys, "quote").agg(F.min(F.struct(F.coalesce("n", F.lit(0)), "term")).getField("term").alias("term"))
+    found = postings.join(rarest, "term").join(docs, doc_id).where(F.contains(T.collapsed(F.col("source")), T.collapsed(F.col("quote"))))
+    return found.select(*keys, doc_id, "quote", "source", T.quote_status(F.col("quote"), F.col("source")).alias("status"))

@@ -77,14 +77,14 @@ def cost_ledger(spark, sf_dir):
     return L.cost_ledger(e.select("user_id", request.alias("request_id"), kind.alias("kind"), F.round("value", 2).cast(L.MONEY).alias("amount")), "user_id")
 
 
-@query("""WITH a AS (SELECT user_id AS task, epoch(date_trunc('second', ts))::BIGINT AS moment, CASE WHEN event_type = 'purchase' THEN 'done' WHEN event_type = 'signup' THEN 'fatal' ELSE 'failed' END AS outcome FROM events WHERE ts < TIMESTAMP '2024-01-01 12:00:00'),
+@query("""WITH a AS (SELECT user_id AS task, epoch(date_trunc('second', ts))::BIGINT AS moment, CASE WHEN event_type = 'purchase' THEN 'done' WHEN event_type = 'signup' THEN 'fatal' ELSE 'failed' END AS outcome FROM events),
   t AS (SELECT task, count(*) AS attempts, arg_max(outcome, moment * 10 + CASE outcome WHEN 'failed' THEN 2 WHEN 'fatal' THEN 3 ELSE 1 END) AS last, max(moment) AS last_at, bool_or(outcome = 'done') AS done FROM a GROUP BY task)
-  SELECT task, attempts, last, last_at, done, CASE WHEN NOT done THEN last_at + 60 * (2 ** attempts)::BIGINT END AS next_retry_at, NOT done AND last <> 'fatal' AND attempts < 3 AND last_at + 60 * (2 ** attempts)::BIGINT <= 1704110400 AS available FROM t""")
+  SELECT task, attempts, last, last_at, done, CASE WHEN NOT done THEN last_at + 60 * (2 ** least(attempts, 40))::BIGINT END AS next_retry_at, NOT done AND last <> 'fatal' AND attempts < 3 AND last_at + 60 * (2 ** least(attempts, 40))::BIGINT <= 1720000000 AS available FROM t""")
 def queue_state(spark, sf_dir):
-    """FIL-17, INC-04: attempts, backoff and availability of each task at noon of the first day."""
-    e = load(spark, sf_dir, "events").where("ts < timestamp '2024-01-01 12:00:00'")
+    """FIL-17, INC-04: attempts, backoff and availability of each task after all events."""
+    e = load(spark, sf_dir, "events")
     outcome = F.when(F.col("event_type") == "purchase", "done").when(F.col("event_type") == "signup", "fatal").otherwise("failed")
-    return L.task_state(e.select(F.col("user_id").alias("task"), F.unix_timestamp(F.date_trunc("second", "ts")).alias("at"), outcome.alias("outcome")), 1704110400)
+    return L.task_state(e.select(F.col("user_id").alias("task"), F.unix_timestamp(F.date_trunc("second", "ts")).alias("at"), outcome.alias("outcome")), 1720000000)
 
 
 @query("""WITH a AS (SELECT o_custkey AS task, epoch(o_orderdate)::BIGINT AS moment, CASE o_orderstatus WHEN 'F' THEN 'done' WHEN 'P' THEN 'fatal' ELSE 'failed' END AS outcome FROM orders),

@@ -102,17 +102,19 @@ def complete_link_groups(spark, sf_dir):
 WS = r"trim(regexp_replace({c}, '[\s\x{{85}}\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200A}}\x{{2028}}\x{{2029}}\x{{202F}}\x{{205F}}\x{{3000}}]+', ' ', 'g'))"
 
 
-@query("""WITH q AS (SELECT item_id, doc_id, b.text AS quote, d.text AS source FROM benchmark b JOIN documents d ON contains(d.text, substr(b.text, 1, 24)))
-  , n AS (SELECT *, """ + WS.format(c="quote") + " AS q, " + WS.format(c="source").replace("trim(", "(") + """ AS s FROM q)
-  SELECT item_id, doc_id, CASE WHEN length(q) < 10 THEN 'short' WHEN contains(source, quote) THEN 'exact' WHEN NOT contains(s, q) THEN 'absent'
-    WHEN contains(substr(s, CAST(strpos(s, q) AS INT) + 1), q) THEN 'ambiguous' ELSE 'restored' END AS status FROM n""")
+FOLDED = WS.format(c="text")
+
+
+@query(f"""WITH b AS (SELECT item_id, spaced, text AS quote, {FOLDED} AS q FROM (SELECT item_id, false AS spaced, text FROM benchmark UNION ALL SELECT item_id, true, replace(text, ' ', chr(10) || ' ') FROM benchmark)),
+  d AS (SELECT doc_id, text AS source, {FOLDED} AS s FROM documents)
+  SELECT item_id, spaced, doc_id, CASE WHEN length(q) < 10 THEN 'short' WHEN contains(source, quote) THEN 'exact' WHEN contains(substr(s, CAST(strpos(s, q) AS INT) + 1), q) THEN 'ambiguous' ELSE 'restored' END AS status
+  FROM b JOIN d ON contains(s, q) WHERE len(string_split(q, ' ')) >= 3""")
 def quote_anchor(spark, sf_dir):
-    """TXT-01: how benchmark passages anchor in the documents that hold their first 24 characters."""
-    head = load(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("quote"), F.substring("text", 1, 24).alias("head"))
+    """TXT-01: how benchmark passages of three words and more, as they are and with other white space, anchor in documents."""
+    b = load(spark, sf_dir, "benchmark")
+    quotes = b.select("item_id", F.lit(False).alias("spaced"), F.col("text").alias("quote")).unionByName(b.select("item_id", F.lit(True).alias("spaced"), F.replace("text", F.lit(" "), F.lit("\n ")).alias("quote")))
     docs = load(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("source"))
-    # Passages are a stated query set; each document is scanned once against all of them.
-    pairs = docs.join(F.broadcast(head), F.contains("source", "head"))
-    return pairs.select("item_id", "doc_id", T.quote_status(F.col("quote"), F.col("source")).alias("status"))
+    return R.anchored(quotes, ["item_id", "spaced"], docs, "doc_id").select("item_id", "spaced", "doc_id", "status")
 
 
 LONG = r"list_distinct(regexp_extract_all(replace(lower(regexp_replace({c}, '([\p{{L}}\p{{N}}_])[-\x{{AD}}]\s*\n\s*([\p{{L}}\p{{N}}_])', '\1\2', 'g')), 'ß', 'ss'), '\p{{L}}{{4,}}'))"
