@@ -2,6 +2,11 @@
 
 import datetime
 import decimal
+import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -48,3 +53,13 @@ def test_entry():
 
     assert set(QUERIES) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_entry_without_optional_parts(tmp_path):
+    """Without the optional subpackage, its tests and the pipeline, the entry imports and has all other queries."""
+    root = Path(__file__).resolve().parent.parent
+    shutil.copytree(root / "evidentia", tmp_path / "evidentia", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, check=True)
+    assert done.stdout.split() == [str(len(QUERIES)), str(len(SQL))]
