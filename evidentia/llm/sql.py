@@ -66,4 +66,24 @@ SUBSTRINGS = f"""WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, '')
   kept AS (SELECT doc_id, string_agg(w[at_], ' ' ORDER BY at_) AS kept FROM each ANTI JOIN (SELECT doc_id, unnest(gone) AS at_ FROM gone) USING (doc_id, at_) GROUP BY doc_id)
   SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
-ORACLE_SQL = {"op1_decontaminate": DECONTAMINATE, "op4_quality": QUALITY, "op6_warc": WARC, "op8_substrings": SUBSTRINGS}
+CRC_TABLE = """crc_table AS (SELECT list(list_reduce(list_prepend(i::BIGINT, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END) ORDER BY i) AS crc_of FROM range(256) r(i))"""
+
+
+def _crc(bytes_: str) -> str:
+    """CRC-32 of a list of bytes, with the table of CRC_TABLE in scope."""
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bytes_}), lambda c, b: xor(c >> 8, crc_of[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)"
+
+
+INTERVALS = f"""WITH {CRC_TABLE},
+  click AS (SELECT client_id, epoch_us(ts) AS us, kind FROM clicks WHERE client_id IS NOT NULL AND ts IS NOT NULL),
+  marked AS (SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY client_id ORDER BY us) <= 300000000 THEN 0 ELSE 1 END AS begins FROM click),
+  numbered AS (SELECT *, sum(begins) OVER (PARTITION BY client_id ORDER BY us) AS n FROM marked),
+  ended AS (SELECT *, max(us) OVER (PARTITION BY client_id, n) AS last_us FROM numbered),
+  session_ AS (SELECT client_id, min(us) AS first_us, last_us, coalesce(bool_or(kind = 'click') FILTER (us = last_us), false) AS open FROM ended GROUP BY client_id, n, last_us),
+  b AS (SELECT client_id, first_us // 86400000000 AS t, CASE WHEN open THEN 'inf'::DOUBLE ELSE last_us // 86400000000 END AS u, {_crc("list_transform(string_split(first_us::VARCHAR, ''), lambda c: ascii(c)::BIGINT)")} AS crc FROM session_, crc_table),
+  shipped AS (SELECT sale_id, max(shipped_at) AS shipped_at FROM sale_lines GROUP BY sale_id),
+  a AS (SELECT s.sale_id, client_id, epoch_us(sold_at) // 86400000000 AS s, CASE WHEN status = 'held' THEN 'inf'::DOUBLE ELSE epoch_us(greatest(sold_at, coalesce(shipped_at, sold_at))) // 86400000000 END AS e FROM sales s LEFT JOIN shipped l ON s.sale_id = l.sale_id WHERE client_id IS NOT NULL AND sold_at IS NOT NULL),
+  p AS (SELECT sale_id, crc, CASE WHEN isinf(least(e, u)) THEN NULL ELSE (least(e, u) - greatest(s, t) + 1)::BIGINT END AS shared, CASE WHEN s < t THEN 0 WHEN s = t THEN 3 ELSE 6 END + CASE WHEN e < u THEN 1 WHEN e = u THEN 2 ELSE 3 END AS r FROM a JOIN b USING (client_id) WHERE s <= u AND t <= e)
+  SELECT sale_id, ['overlaps', 'finished_by', 'contains', 'starts', 'equals', 'started_by', 'during', 'finishes', 'overlapped_by'][r] AS relation, count(*) AS n_pairs, sum(shared)::BIGINT AS overlap_slots, sum(crc)::BIGINT AS sessions_crc FROM p GROUP BY ALL"""
+
+ORACLE_SQL = {"op1_decontaminate": DECONTAMINATE, "op4_quality": QUALITY, "op6_warc": WARC, "op8_substrings": SUBSTRINGS, "op13_intervals": INTERVALS}
