@@ -86,4 +86,17 @@ INTERVALS = f"""WITH {CRC_TABLE},
   p AS (SELECT sale_id, crc, CASE WHEN isinf(least(e, u)) THEN NULL ELSE (least(e, u) - greatest(s, t) + 1)::BIGINT END AS shared, CASE WHEN s < t THEN 0 WHEN s = t THEN 3 ELSE 6 END + CASE WHEN e < u THEN 1 WHEN e = u THEN 2 ELSE 3 END AS r FROM a JOIN b USING (client_id) WHERE s <= u AND t <= e)
   SELECT sale_id, ['overlaps', 'finished_by', 'contains', 'starts', 'equals', 'started_by', 'during', 'finishes', 'overlapped_by'][r] AS relation, count(*) AS n_pairs, sum(shared)::BIGINT AS overlap_slots, sum(crc)::BIGINT AS sessions_crc FROM p GROUP BY ALL"""
 
-ORACLE_SQL = {"op1_decontaminate": DECONTAMINATE, "op4_quality": QUALITY, "op6_warc": WARC, "op8_substrings": SUBSTRINGS, "op13_intervals": INTERVALS}
+_bytes = "list_transform(range(1, len(hexes), 2), lambda k: ('0x' || hexes[k:k + 1])::BIGINT)"
+SPELLING = f"""WITH RECURSIVE {CRC_TABLE},
+  run AS (SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL),
+  hashed AS (SELECT run, n, coalesce({_crc(_bytes)}, 1) AS h FROM (SELECT run, n, hex(encode(doc_id || ':' || run)) AS hexes FROM run), crc_table),
+  word AS (SELECT word, sum(n)::BIGINT AS n FROM (SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed) WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+  cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS key FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM word)),
+  near AS (SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.key = b.key AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM cut a JOIN word b ON a.key = b.word UNION SELECT b.word, a.word, a.n FROM cut a JOIN word b ON a.key = b.word),
+  best AS (SELECT word, count(*) AS n_near, arg_max(other, (other_n, other_rank)) AS other, max(other_n) AS other_n FROM (SELECT *, -row_number() OVER (ORDER BY other) AS other_rank FROM near) GROUP BY word),
+  formed AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * n THEN other END AS form, CASE WHEN other_n >= 2 * n THEN other_n END AS form_n FROM word LEFT JOIN best USING (word)),
+  up AS (SELECT word, word AS at, form AS next FROM formed UNION ALL SELECT up.word, f.word, f.form FROM up JOIN formed f ON f.word = up.next)
+  SELECT word, form, at AS root, n, n_near, form_n FROM formed JOIN up USING (word) WHERE next IS NULL"""
+
+ORACLE_SQL = {"op1_decontaminate": DECONTAMINATE, "op4_quality": QUALITY, "op6_warc": WARC, "op8_substrings": SUBSTRINGS, "op11_spelling": SPELLING, "op13_intervals": INTERVALS}
