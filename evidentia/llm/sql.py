@@ -96,7 +96,7 @@ SPELLING = f"""WITH RECURSIVE {CRC_TABLE},
     UNION SELECT a.word, b.word, b.n FROM cut a JOIN word b ON a.key = b.word UNION SELECT b.word, a.word, a.n FROM cut a JOIN word b ON a.key = b.word),
   best AS (SELECT word, count(*) AS n_near, arg_max(other, (other_n, other_rank)) AS other, max(other_n) AS other_n FROM (SELECT *, -row_number() OVER (ORDER BY other) AS other_rank FROM near) GROUP BY word),
   formed AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * n THEN other END AS form, CASE WHEN other_n >= 2 * n THEN other_n END AS form_n FROM word LEFT JOIN best USING (word)),
-  up AS (SELECT word, word AS at, form AS next FROM formed UNION ALL SELECT up.word, f.word, f.form FROM up JOIN formed f ON f.word = up.next)
-  SELECT word, form, at AS root, n, n_near, form_n FROM formed JOIN up USING (word) WHERE next IS NULL"""
+  up AS (SELECT word, word AS reached, form AS further FROM formed UNION ALL SELECT up.word, f.word, f.form FROM up JOIN formed f ON f.word = up.further)
+  SELECT word, form, reached AS root, n, n_near, form_n FROM formed JOIN up USING (word) WHERE further IS NULL"""
 
 ORACLE_SQL = {"op1_decontaminate": DECONTAMINATE, "op4_quality": QUALITY, "op6_warc": WARC, "op8_substrings": SUBSTRINGS, "op11_spelling": SPELLING, "op13_intervals": INTERVALS}
