@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, intervals, language, pii, quality, shards, simhash, spelling, substrings, toxicity, warc
+from . import bpe, decontaminate, intervals, jaccard, language, pii, quality, shards, simhash, spelling, substrings, toxicity, warc
 from .common import table
 from .sql import ORACLE_SQL
 
@@ -57,6 +57,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op12_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op13_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intervals.relate(table(spark, sf_dir, "sales"), table(spark, sf_dir, "sale_lines"), table(spark, sf_dir, "clicks"))
 
@@ -67,6 +71,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_bpe, op3_simhash, op4_quality, op5_toxicity, op6_warc, op7_shards, op8_substrings, op9_pii, op10_language, op11_spelling, op13_intervals, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_bpe, op3_simhash, op4_quality, op5_toxicity, op6_warc, op7_shards, op8_substrings, op9_pii, op10_language, op11_spelling, op12_jaccard, op13_intervals, pipeline)}
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

@@ -99,4 +99,17 @@ SPELLING = f"""WITH RECURSIVE {CRC_TABLE},
   up AS (SELECT word, word AS reached, form AS further FROM formed UNION ALL SELECT up.word, f.word, f.form FROM up JOIN formed f ON f.word = up.further)
   SELECT word, form, reached AS root, n, n_near, form_n FROM formed JOIN up USING (word) WHERE further IS NULL"""
 
-ORACLE_SQL = {"op1_decontaminate": DECONTAMINATE, "op4_quality": QUALITY, "op6_warc": WARC, "op8_substrings": SUBSTRINGS, "op11_spelling": SPELLING, "op13_intervals": INTERVALS}
+JACCARD = f"""WITH RECURSIVE t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{GAPS}') AS w FROM documents),
+  shingle AS (SELECT DISTINCT r, array_to_string(w[i:i + 3], ' ') AS key FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM t WHERE len(w) > 0)),
+  size_ AS (SELECT r, count(*) AS n, md5(string_agg(key, chr(10) ORDER BY key)) AS digest FROM shingle GROUP BY r),
+  first_ AS (SELECT digest, min(r) AS r, any_value(n) AS n FROM size_ GROUP BY digest),
+  one AS (SELECT r, key FROM shingle SEMI JOIN first_ USING (r)),
+  overlap_ AS (SELECT a.r AS a, b.r AS b, count(*) AS shared FROM one a JOIN one b ON a.key = b.key AND a.r < b.r GROUP BY ALL),
+  link AS (SELECT a, b FROM overlap_ JOIN first_ x ON x.r = a JOIN first_ y ON y.r = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+  edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+  reach AS (SELECT r AS a, r AS b FROM first_ UNION SELECT reach.a, edge.b FROM reach JOIN edge ON edge.a = reach.b),
+  least_ AS (SELECT digest, min(doc_id) AS doc_id FROM size_ JOIN t USING (r) GROUP BY digest),
+  component AS (SELECT f.digest, min(l.doc_id) AS component_id FROM first_ f JOIN reach ON reach.a = f.r JOIN first_ g ON g.r = reach.b JOIN least_ l ON l.digest = g.digest GROUP BY f.digest)
+  SELECT doc_id, coalesce(n, 0) AS n_shingles, CASE WHEN n IS NULL THEN doc_id ELSE component_id END AS component_id FROM t LEFT JOIN size_ USING (r) LEFT JOIN component USING (digest)"""
+
+ORACLE_SQL = {"op1_decontaminate": DECONTAMINATE, "op4_quality": QUALITY, "op6_warc": WARC, "op8_substrings": SUBSTRINGS, "op11_spelling": SPELLING, "op12_jaccard": JACCARD, "op13_intervals": INTERVALS}
