@@ -104,35 +104,6 @@ def equal_pairs(items: DataFrame, id_col: str, text: Column, by: list[str], inde
     return both.select("left_id", "right_id", F.round(jaccard, 6).alias("jaccard")).where(F.col("jaccard") >= share)
 
 
-def complete_link_groups(items: DataFrame, pairs: DataFrame, id_col: str, group_by: str) -> DataFrame:
-    """(group_by, id, group_id): ids in ascending order join the first group all of whose members they pair with.
-
-    The order of ids decides, so each group_by (a programme) is one sequential task; transitive closure would be wrong.
-    """
-    own = items.select(group_by, F.col(id_col).alias("id"))
-    linked = pairs.select(F.col("right_id").alias("id"), F.col("left_id").alias("earlier")).groupBy("id").agg(F.collect_set("earlier").alias("earlier"))
-    rows = own.join(linked, "id", "left")
-    schema = f"{group_by} {dict(own.dtypes)[group_by]}, id {dict(own.dtypes)['id']}, group_id {dict(own.dtypes)['id']}"
-
-    def assign(frame):
-        import pandas as pd
-
-        groups: list[list] = []
-        of: dict = {}
-        frame = frame.sort_values("id")
-        for i, earlier in zip(frame["id"], frame["earlier"]):
-            partners = set(earlier if earlier is not None else ())
-            fit = min((of[p] for p in partners if p in of and all(m in partners for m in groups[of[p]])), default=None)
-            if fit is None:
-                groups.append([])
-                fit = len(groups) - 1
-            groups[fit].append(i)
-            of[i] = fit
-        return pd.DataFrame({group_by: frame[group_by].to_numpy(), "id": frame["id"].to_numpy(), "group_id": [groups[of[i]][0] for i in frame["id"]]})
-
-    return rows.groupBy(group_by).applyInPandas(assign, schema)
-
-
 def budget_context(passages: DataFrame, ranked: DataFrame, *, budget: int, reach: int) -> DataFrame:
     """(doc_id, ordinal): passages of a document within a budget of characters, best-ranked first, with neighbours.
 

@@ -80,25 +80,21 @@ def token_stats(spark, sf_dir):
 SELF = "WITH " + bm25_sql(ITEMS, "SELECT item_id AS query_id, text FROM benchmark")
 
 
-@query(SELF + f""", near AS (SELECT query_id, id FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) <= 7),
+SQL_PAIRS = SELF + f""", near AS (SELECT query_id, id FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) <= 7),
   p AS (SELECT DISTINCT least(query_id, id) AS left_id, greatest(query_id, id) AS right_id FROM near WHERE query_id <> id),
   t AS (SELECT item_id, list_distinct({ITEM_TERMS}) AS terms, list_sort(list_distinct(regexp_extract_all(text, '\\d+(?:[.,]\\d+)?'))) AS numbers FROM benchmark),
   j AS (SELECT left_id, right_id, round(len(list_intersect(a.terms, b.terms)) * 1.0 / greatest(1, len(list_distinct(list_concat(a.terms, b.terms)))), 6) AS jaccard
     FROM p JOIN t a ON a.item_id = left_id JOIN t b ON b.item_id = right_id WHERE a.numbers = b.numbers)
-  SELECT * FROM j WHERE jaccard >= 0.02""")
+  SELECT * FROM j WHERE jaccard >= 0.02"""
+
+
+@query(SQL_PAIRS)
 def jaccard_pairs(spark, sf_dir):
     """AGG-15, JOIN-06, FIL-16: pairs of passages among each other's neighbours, equal in numbers, by term overlap."""
     items = load(spark, sf_dir, "benchmark")
     return R.equal_pairs(items, "item_id", F.col("text"), [], R.rank(items, "item_id", items, "item_id"), share=0.02)
 
 
-@query()
-def complete_link_groups(spark, sf_dir):
-    """WIN-12: passages in groups all of whose members pair with each other."""
-    items = load(spark, sf_dir, "benchmark").withColumn("program_id", F.lit(0))
-    return R.complete_link_groups(items, jaccard_pairs(spark, sf_dir), "item_id", "program_id")
-
-
 WS = r"trim(regexp_replace({c}, '[\s\x{{85}}\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200A}}\x{{2028}}\x{{2029}}\x{{202F}}\x{{205F}}\x{{3000}}]+', ' ', 'g'))"
 
 

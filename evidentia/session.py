@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
 import os
+import shutil
 import tempfile
+import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
 
@@ -45,3 +48,27 @@ def shipped(f):
         return f(spark, sf_dir)
 
     return run
+
+
+_OWN_FOLDERS: dict[str, str] = {}
+
+
+def work_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which driver and executors share; a temporary one in local mode without it."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _OWN_FOLDERS:
+        _OWN_FOLDERS[app] = tempfile.mkdtemp(prefix="evidentia-")
+        atexit.register(shutil.rmtree, _OWN_FOLDERS[app], ignore_errors=True)
+    return _OWN_FOLDERS[app]
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """df as a table of the work folder, read again: what is used twice is made once, and a lost executor costs its tasks."""
+    path = f"{work_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
