@@ -1,11 +1,12 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 Counts of hashed 1- to 3-grams by language are learned from rows with text and lang that are not held out, of which
-about `max_train` of each language are taken by the hash of their id: all rows of a language that has fewer. The matrix of log probabilities (buckets x languages) goes to all
-workers; a batch's n-grams look up their rows there and sum up by text, as a sparse matrix times that matrix.
+about `max_train` of each language are taken by the hash of their id: all rows of a language that has fewer. The matrix of
+log probabilities (buckets x languages) goes to all workers; a batch's n-grams look up their rows there and sum up by
+text, as a sparse matrix times that matrix. No gram reaches beyond its text.
 
-A text that is null or has no letter (Unicode category L) is `und` with score 0. Without training rows every text is `und`. Rows of one id
-are judged apart. lang, source and doc_id never enter a prediction. Further columns are not read.
+A text that is null or has no letter (Unicode category L) is `und` with score 0. Without training rows every text is
+`und`. Rows of one id are judged apart. lang, source and doc_id never enter a prediction. Further columns are not read.
 """
 
 from __future__ import annotations
@@ -16,11 +17,15 @@ from pyspark.sql import functions as F
 from .common import held_out, saved, small_batches, text_batches
 
 BUCKET_BITS = 15
+NO_GRAM = (1 << BUCKET_BITS) + 1  # the row after those of buckets and priors, which is zero
 LETTER = r"\p{L}"
 
 
 def _grams(texts: list[str]):
-    """Buckets of the 1- to 3-grams of the texts, in runs by text, and where each text's run starts."""
+    """Buckets of the 1- to 3-grams of the texts, in runs by text, and where each text's run starts.
+
+    A gram that would go on into the next text is NO_GRAM, so a text's grams don't depend on its neighbours.
+    """
     import numpy as np
 
     parts = [f" {t.lower()} ".encode("utf-32-le") for t in texts]
@@ -32,12 +37,15 @@ def _grams(texts: list[str]):
     for n in range(3):
         shifted = np.r_[c[n:], np.zeros(n, np.uint32)]
         key = key * np.uint32(0x01000193) + shifted
-        hashed.append((key + np.uint32(n)) * np.uint32(2654435761) >> np.uint32(32 - BUCKET_BITS))
+        bucket = (key + np.uint32(n)) * np.uint32(2654435761) >> np.uint32(32 - BUCKET_BITS)
+        for k in range(1, n + 1):
+            bucket[bounds[1:] - k] = NO_GRAM
+        hashed.append(bucket)
     return hashed, bounds
 
 
 def train(docs: DataFrame, *, max_train: int = 5_000) -> tuple[list[str], object]:
-    """The languages, sorted, and the matrix of log probabilities with the log priors as last row."""
+    """The languages, sorted, and the matrix of log probabilities, then a row of log priors and one of zeros."""
     import numpy as np
 
     rows = docs.select("text", "lang", "doc_id").where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out())
@@ -55,7 +63,7 @@ def train(docs: DataFrame, *, max_train: int = 5_000) -> tuple[list[str], object
                 own = [t for t, x in zip(texts, langs) if x == lang]
                 total = totals.setdefault(lang, np.zeros((1 << BUCKET_BITS) + 1, np.int64))
                 for part in _grams(own)[0]:
-                    total[:-1] += np.bincount(part, minlength=1 << BUCKET_BITS)
+                    total[:-1] += np.bincount(part, minlength=NO_GRAM + 1)[: 1 << BUCKET_BITS]
                 total[-1] += len(own)
         for lang, total in totals.items():
             at = np.flatnonzero(total)
@@ -68,7 +76,7 @@ def train(docs: DataFrame, *, max_train: int = 5_000) -> tuple[list[str], object
         n[r.bucket, langs.index(r.lang)] = r.n
     grams = n[:-1] + 0.5
     prior = n[-1] / max(1, n[-1].sum())
-    return langs, np.vstack([np.log(grams / grams.sum(axis=0)), np.log(np.maximum(prior, 1e-9))]).astype(np.float32)
+    return langs, np.vstack([np.log(grams / grams.sum(axis=0)), np.log(np.maximum(prior, 1e-9)), np.zeros(len(langs))]).astype(np.float32)
 
 
 def identify(docs: DataFrame, **settings) -> DataFrame:
@@ -88,7 +96,7 @@ def identify(docs: DataFrame, **settings) -> DataFrame:
             sums = np.zeros((len(texts), len(langs)))
             for part in hashed:
                 sums += np.add.reduceat(log[part], bounds[:-1], axis=0, dtype=np.float64)
-            sums += log[-1]
+            sums += log[-2]
             best = sums.argmax(axis=1) if langs else np.zeros(len(texts), int)
             score = 1 / np.exp(np.clip(sums - sums.max(axis=1, keepdims=True), -700, 0)).sum(axis=1) if langs else np.zeros(len(texts))
             names = [langs[b] if t is not None and langs else "und" for t, b in zip(texts, best)]
