@@ -33,6 +33,7 @@ SUBSTITUTE, MARK, DROP = 1.0, 0.4, 7.0  # costs in nats: a look-alike, a mark or
 BREAK = {" ": 2.5}  # a space as a word's end; any other mark costs 3 there
 REPEAT, TWICE = 0.4, 3.0  # a letter said again in a run of three or more, or of two
 CLASSES = 28  # boundary, a to z, other letters
+EDGE = 200  # a text's beginning and end, while trigrams are counted
 
 _SIGN = "0-9@$!|+€£аеіорсухѕ"
 _UNIT, _APART, _INSIDE = f"[A-Za-z{_SIGN}]", r"[ ._*\-/~:]{1,2}", r"_*.\-/~:"
@@ -67,12 +68,17 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
         total, of = np.zeros(CLASSES**3, np.int64), _classes()
         for batch in text_batches(batches, "text", limit=1 << 20):
             data, bounds = text_bytes(batch.column(0))
-            marked = np.insert(of[data], bounds, 0)
+            marked = np.insert(of[data], bounds, EDGE)
             c = marked[marked != 255].astype(np.int32)
-            c = c[np.r_[True, (c[1:] != 0) | (c[:-1] != 0)]]  # one boundary between words
+            gap = (c == 0) | (c == EDGE)
+            first = np.flatnonzero(~gap | np.r_[True, ~gap[:-1]])  # one boundary between words
+            edge = np.logical_or.reduceat(c == EDGE, first)
+            c = np.where(edge, 0, c[first])
             same = np.r_[False, c[1:] == c[:-1], False]
-            c = c[~(same[:-1] & (np.r_[False, same[:-2]] | same[1:]))]  # a letter said three times and more is a disguise, not a language's
-            total += np.bincount((c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:], minlength=CLASSES**3)
+            kept = ~(same[:-1] & (np.r_[False, same[:-2]] | same[1:]))  # a letter said three times and more is a disguise, not a language's
+            c, edge = c[kept], edge[kept]
+            code = (c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:]
+            total += np.bincount(code[~edge[1:-1]], minlength=CLASSES**3)  # none reaches from one text into the next
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["code", "n"])
 
