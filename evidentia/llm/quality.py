@@ -1,12 +1,18 @@
 """Quality rules with thresholds that adapt to each language and source, in DataFrame operations only.
 
-Beside the fixed base rule, five measures of a row are held against fences of its (lang, source) group; no cutoff of
-theirs is fixed. The fences come from a mergeable quantile sketch: a measure falls into the bucket of its logarithm, and
-buckets are counted; counts of parts add up, so partial sketches merge exactly, in any order, and quantiles err by at
-most `error` of their value. Fences lie `spread` interquartile ranges beyond the quartiles, for lengths on both sides.
-The fences of a group and of its language are averaged by their rows, the language's counting as `prior` rows, so that
-small groups lean on their language. Shares are taken at the lower bound of a count's confidence interval, so that a
-single occurrence in a group that has none does not count as beyond. Rows beyond a fence go.
+Beside the fixed base rule, five measures of a row are held against limits of its (lang, source) group, which come from a
+mergeable sketch: a measure falls into the bucket of its logarithm, and a bucket keeps its rows and sums. Sketches of
+parts add up exactly, in any order, and quantiles err by at most `error` of their value. No cutoff of theirs is fixed.
+
+Shares (symbols, repeated lines, repeated words) are counts over a length. The group's rate is that of its rows up to the
+`bulk` quantile of the share, its language's counting as `prior` rows. A row goes if its count is beyond what that rate
+gives in its length: the Poisson deviance n ln(n / m) - n + m from the expected m, which bounds the logarithm of the
+chance of such a count, exceeds ln(1 / `chance`) times the dispersion. Counts that come in runs, as the words of a repeated
+line do, have a greater dispersion: the mean squared deviation over m of rows up to the `calm` quantile, as the median of
+the language's groups, as one group may be full of junk. So limits differ by group, by language and by a row's length.
+
+Lengths (of words and lines) have fences at `spread` interquartile ranges beyond the quartiles on both sides, averaged
+with the language's by rows, the language's counting as `prior` rows.
 
 A null text has no words and fails the base rule. Null lang and null source are groups of their own. Equal rows have
 equal results. An empty table gives no rows. Further columns are not read.
@@ -14,6 +20,8 @@ equal results. An empty table gives no rows. Further columns are not read.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,16 +29,10 @@ from .common import saved, small_or_shuffled
 
 WORD, GAP = r"[^\x20\x09-\x0D]+", r"[\x20\x09-\x0D]+"
 
-#: Measures with a fence: one count over another. A share's count n is taken as (sqrt(n) - z)^2, which bounds the expected
-#: count from below by 2 z standard deviations; lengths have no z. Occurrences that come in runs, as words of
-#: a repeated line do, have a larger z.
-MEASURES = {
-    "symbol_share": ("n_symbols", "word_chars", 3.0),
-    "dup_line_share": ("n_dup_lines", "n_lines", 2.0),
-    "repeat_share": ("n_repeat_words", "n_words", 10.0),
-    "word_length": ("word_chars", "n_words", None),
-    "line_length": ("n_words", "n_lines", None),
-}
+#: Counts over a length, and means: what the rules measure.
+SHARES = {"symbol_share": ("n_symbols", "word_chars"), "dup_line_share": ("n_dup_lines", "n_lines"), "repeat_share": ("n_repeat_words", "n_words")}
+LENGTHS = {"word_length": ("word_chars", "n_words"), "line_length": ("n_words", "n_lines")}
+MEASURES = SHARES | LENGTHS
 
 #: The interquartile range is taken to be at least this share of the upper quartile, as the sketch rounds values.
 LEAST_WIDTH = 0.05
@@ -67,48 +69,77 @@ def measured(docs: DataFrame) -> DataFrame:
     )
 
 
-def _value(a: str, b: str, z: float | None) -> Column:
-    n = F.col(a).cast("double")
-    if z is not None:
-        above = F.greatest(F.sqrt(n) - z, F.lit(0.0))
-        n = above * above
-    return F.try_divide(n, F.col(b).cast("double"))
+def sketch(rows: DataFrame, *, error: float) -> DataFrame:
+    """(lang, source, measure, bucket, rows, n, d, squares): bucket k holds values n / d up to gamma^k, and is null for zero."""
+    pairs = F.array(*[F.struct(F.lit(k).alias("measure"), F.col(a).cast("double").alias("n"), F.col(b).cast("double").alias("d")) for k, (a, b) in MEASURES.items()])
+    each = rows.select("lang", "source", F.explode(pairs).alias("p")).select("lang", "source", "p.*").where("d > 0")
+    bucket = F.when(F.col("n") > 0, F.ceil(F.log(F.col("n") / F.col("d")) / F.log(F.lit((1 + error) / (1 - error)))).cast("int"))
+    sums = [F.count("*").alias("rows"), F.sum("n").alias("n"), F.sum("d").alias("d"), F.sum(F.col("n") * F.col("n") / F.col("d")).alias("squares")]
+    return each.groupBy("lang", "source", "measure", bucket.alias("bucket")).agg(*sums)
+
 
+def _ranked(counts: DataFrame, by: list[str]) -> DataFrame:
+    """counts with `before`, the rows in smaller buckets of the same `by` and measure, and `whole`, all of them."""
+    group = Window.partitionBy(*by, "measure")
+    upto = F.sum("rows").over(group.orderBy(F.col("bucket").asc_nulls_first()))
+    return counts.withColumn("before", upto - F.col("rows")).withColumn("whole", F.sum("rows").over(group))
 
-def _fences(sketch: DataFrame, by: list[str], error: float, spread: float) -> DataFrame:
-    """(by, measure, rows, low, high) from counts n by bucket: bucket k holds values up to gamma^k, and is null for zero."""
+
+def _fences(counts: DataFrame, by: list[str], error: float, spread: float) -> DataFrame:
+    """(by, measure, whole, low, high): fences beyond the quartiles."""
     gamma = (1 + error) / (1 - error)
     value = F.when(F.col("bucket").isNull(), 0.0).otherwise(F.pow(F.lit(gamma), F.col("bucket")) * (2 / (gamma + 1)))
-    upto = F.sum("n").over(Window.partitionBy(*by, "measure").orderBy(F.col("bucket").asc_nulls_first()))
-    whole = F.sum("n").over(Window.partitionBy(*by, "measure"))
-    ranked = sketch.withColumn("value", value).withColumn("upto", upto).withColumn("rows", whole)
-    quartile = lambda q: F.min(F.when(F.col("upto") >= F.ceil(F.col("rows") * q), F.col("value")))
-    q = ranked.groupBy(*by, "measure").agg(F.max("rows").cast("double").alias("rows"), quartile(0.25).alias("q1"), quartile(0.75).alias("q3"))
+    ranked = _ranked(counts, by).withColumn("value", value)
+    quartile = lambda q: F.min(F.when(F.col("before") + F.col("rows") >= F.ceil(F.col("whole") * q), F.col("value")))
+    q = ranked.groupBy(*by, "measure").agg(F.max("whole").cast("double").alias("whole"), quartile(0.25).alias("q1"), quartile(0.75).alias("q3"))
     width = spread * F.greatest(F.col("q3") - F.col("q1"), LEAST_WIDTH * F.col("q3"))
-    return q.select(*by, "measure", "rows", (F.col("q1") - width).alias("low"), (F.col("q3") + width).alias("high"))
+    return q.select(*by, "measure", "whole", (F.col("q1") - width).alias("low"), (F.col("q3") + width).alias("high"))
 
 
-def fences(values: DataFrame, *, error: float, spread: float, prior: float) -> DataFrame:
-    """(lang, source, measure, low, high) from values (lang, source, measure, value)."""
-    bucket = F.when(F.col("value") > 0, F.ceil(F.log("value") / F.log(F.lit((1 + error) / (1 - error)))).cast("int"))
-    values = values.where(F.col("value").isNotNull()).withColumn("bucket", bucket)
-    own = saved(values.groupBy("lang", "source", "measure", "bucket").agg(F.count("*").alias("n")), "sketch")
-    common = _fences(own.groupBy("lang", "measure", "bucket").agg(F.sum("n").alias("n")), ["lang"], error, spread)
+def fences(counts: DataFrame, *, error: float, spread: float, prior: float) -> DataFrame:
+    """(lang, source, measure, first, second): low and high fence of lengths, from a sketch."""
+    counts = counts.where(F.col("measure").isin(list(LENGTHS)))
+    common = _fences(counts.groupBy("lang", "measure", "bucket").agg(F.sum("rows").alias("rows")), ["lang"], error, spread)
     common = common.select(F.col("lang").alias("lang_"), F.col("measure").alias("measure_"), F.col("low").alias("low_"), F.col("high").alias("high_"))
-    both = _fences(own, ["lang", "source"], error, spread).join(common, F.col("lang").eqNullSafe(F.col("lang_")) & (F.col("measure") == F.col("measure_")))
-    mean = lambda side: (F.col("rows") * F.col(side) + prior * F.col(f"{side}_")) / (F.col("rows") + prior)
-    return both.select("lang", "source", "measure", mean("low").alias("low"), mean("high").alias("high"))
-
-
-def judge(docs: DataFrame, *, error: float = 0.01, spread: float = 6.0, prior: float = 100.0) -> DataFrame:
-    """Per row: doc_id, the counts, base_failed, kept, and failed, the measures beyond their fences."""
+    both = _fences(counts, ["lang", "source"], error, spread).join(common, F.col("lang").eqNullSafe(F.col("lang_")) & (F.col("measure") == F.col("measure_")))
+    mean = lambda side: (F.col("whole") * F.col(side) + prior * F.col(f"{side}_")) / (F.col("whole") + prior)
+    return both.select("lang", "source", "measure", mean("low").alias("first"), mean("high").alias("second"))
+
+
+def rates(counts: DataFrame, *, bulk: float, calm: float, prior: float) -> DataFrame:
+    """(lang, source, measure, first, second): rate and dispersion of shares, from a sketch."""
+    ranked = _ranked(counts.where(F.col("measure").isin(list(SHARES))), ["lang", "source"])
+    within = lambda q, c: F.sum(F.when(F.col("before") < F.ceil(F.col("whole") * q), F.col(c)))
+    own = ranked.groupBy("lang", "source", "measure").agg(*[within(bulk, c).alias(c) for c in ("rows", "n", "d")], *[within(calm, c).alias(f"calm_{c}") for c in ("rows", "n", "d", "squares")])
+    rate = (F.col("calm_n") + 0.5) / F.col("calm_d")
+    own = own.withColumn("dispersion", (F.col("calm_squares") / rate - 2 * F.col("calm_n") + rate * F.col("calm_d")) / F.col("calm_rows"))
+    common = own.groupBy("lang", "measure").agg(((F.sum("n") + 0.5) / F.sum("d")).alias("rate"), F.greatest(F.median("dispersion"), F.lit(1.0)).alias("second"))
+    common = common.select(F.col("lang").alias("lang_"), F.col("measure").alias("measure_"), "rate", "second")
+    both = own.join(common, F.col("lang").eqNullSafe(F.col("lang_")) & (F.col("measure") == F.col("measure_")))
+    more = prior * F.col("d") / F.col("rows")  # the length of `prior` more rows
+    return both.select("lang", "source", "measure", ((F.col("n") + more * F.col("rate")) / (F.col("d") + more)).alias("first"), "second")
+
+
+def _beyond(measure: str, chance: float) -> Column:
+    """Whether a row is beyond its group's limit of the measure, which the row has as a struct (first, second)."""
+    limit = F.col(measure)
+    a, b = (F.col(c).cast("double") for c in MEASURES[measure])
+    if measure in LENGTHS:
+        value = F.try_divide(a, b)
+        return (value < limit["first"]) | (value > limit["second"])
+    expected = limit["first"] * b
+    deviance = a * F.log(a / expected) - a + expected
+    return (a > expected) & (deviance > -math.log(chance) * limit["second"])
+
+
+def judge(docs: DataFrame, *, error: float = 0.01, spread: float = 6.0, prior: float = 100.0, bulk: float = 0.95, calm: float = 0.9, chance: float = 1e-9) -> DataFrame:
+    """Per row: doc_id, the counts, base_failed, kept, and failed, the measures beyond their limits."""
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     rows = saved(measured(docs).withColumn("base_failed", base), "measured")
-    pairs = F.array(*[F.struct(F.lit(k).alias("measure"), _value(a, b, z).alias("value")) for k, (a, b, z) in MEASURES.items()])
-    values = rows.where(~F.col("base_failed")).select("lang", "source", F.explode(pairs).alias("p")).select("lang", "source", "p.*")
-    limits = fences(values, error=error, spread=spread, prior=prior).groupBy(F.col("lang").alias("lang_"), F.col("source").alias("source_"))
-    limits = saved(limits.pivot("measure", list(MEASURES)).agg(F.first(F.struct("low", "high"))), "fences")
-    held = rows.join(small_or_shuffled(limits), F.col("lang").eqNullSafe(F.col("lang_")) & F.col("source").eqNullSafe(F.col("source_")), "left")
-    beyond = F.array_compact(F.array(*[F.when((_value(a, b, z) > F.col(f"{k}.high")) | (_value(a, b, z) < F.col(f"{k}.low")), F.lit(k)) for k, (a, b, z) in MEASURES.items()]))
+    counts = saved(sketch(rows.where(~F.col("base_failed")), error=error), "sketch")
+    limits = fences(counts, error=error, spread=spread, prior=prior).unionByName(rates(counts, bulk=bulk, calm=calm, prior=prior))
+    limits = limits.groupBy(F.col("lang").alias("lang_"), F.col("source").alias("source_")).pivot("measure", list(MEASURES)).agg(F.first(F.struct("first", "second")))
+    held = rows.join(small_or_shuffled(saved(limits, "limits")), F.col("lang").eqNullSafe(F.col("lang_")) & F.col("source").eqNullSafe(F.col("source_")), "left")
+    beyond = F.array_compact(F.array(*[F.when(_beyond(k, chance), F.lit(k)) for k in MEASURES]))
     held = held.withColumn("failed", F.when(F.col("base_failed"), F.array().cast("array<string>")).otherwise(beyond))
     return held.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & (F.size("failed") == 0)).alias("kept"), F.array_join("failed", ",").alias("failed"))

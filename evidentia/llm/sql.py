@@ -7,7 +7,6 @@ hold their queries against brute force instead.
 from __future__ import annotations
 
 from .decontaminate import LOWER, UPPER
-from .quality import LEAST_WIDTH, MEASURES
 
 GAPS = r"[^\x20\x09-\x0D]+"
 ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -25,21 +24,22 @@ DECONTAMINATE = f"""WITH item AS (SELECT item_id, {_words('text')} AS w FROM ben
   ids AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
   SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)"""
 
-ERROR, SPREAD, PRIOR = 0.01, 6.0, 100.0
-GAMMA = (1 + ERROR) / (1 - ERROR)
-_count = {k: f"{a}::DOUBLE" if z is None else f"greatest(sqrt({a}::DOUBLE) - {z}, 0) * greatest(sqrt({a}::DOUBLE) - {z}, 0)" for k, (a, _, z) in MEASURES.items()}
-_value = {k: f"({_count[k]}) / nullif({b}, 0)::DOUBLE" for k, (_, b, _) in MEASURES.items()}
-_values = " UNION ALL ".join(f"SELECT lang, source, '{k}' AS measure, {value} AS value FROM base WHERE NOT base_failed" for k, value in _value.items())
-_own = lambda k, side: f"(SELECT {side} FROM fence f WHERE f.measure = '{k}' AND f.lang IS NOT DISTINCT FROM base.lang AND f.source IS NOT DISTINCT FROM base.source)"
-_beyond = ", ".join(f"CASE WHEN {value} > {_own(k, 'high')} OR {value} < {_own(k, 'low')} THEN '{k}' END" for k, value in _value.items())
+GAMMA, SPREAD, PRIOR, SURPRISE = 1.01 / 0.99, 6.0, 100.0, 20.72326583694641
+_shares = {"symbol_share": ("n_symbols", "word_chars"), "dup_line_share": ("n_dup_lines", "n_lines"), "repeat_share": ("n_repeat_words", "n_words")}
+_lengths = {"word_length": ("word_chars", "n_words"), "line_length": ("n_words", "n_lines")}
+_values = " UNION ALL ".join(f"SELECT lang, source, '{k}' AS measure, {a}::DOUBLE AS n, {b}::DOUBLE AS d FROM base WHERE NOT base_failed AND {b} > 0" for k, (a, b) in (_shares | _lengths).items())
+_of = lambda table, k, c: f"(SELECT {c} FROM {table} f WHERE f.measure = '{k}' AND f.lang IS NOT DISTINCT FROM base.lang AND f.source IS NOT DISTINCT FROM base.source)"
+_beyond = [f"CASE WHEN {a} > {_of('rate', k, 'rate')} * {b} AND {a} * ln({a} / ({_of('rate', k, 'rate')} * {b})) - {a} + {_of('rate', k, 'rate')} * {b} > {SURPRISE} * {_of('rate', k, 'dispersion')} THEN '{k}' END" for k, (a, b) in _shares.items()]
+_beyond += [f"CASE WHEN {a}::DOUBLE / nullif({b}, 0) > {_of('fence', k, 'high')} OR {a}::DOUBLE / nullif({b}, 0) < {_of('fence', k, 'low')} THEN '{k}' END" for k, (a, b) in _lengths.items()]
+_beyond = ", ".join(_beyond)
 
 
 def _fences(by: str) -> str:
-    width = f"{SPREAD}::DOUBLE * greatest(q3 - q1, {LEAST_WIDTH}::DOUBLE * q3)"
+    width = f"{SPREAD}::DOUBLE * greatest(q3 - q1, 0.05::DOUBLE * q3)"
     return f"""SELECT {by}, measure, n_rows, q1 - {width} AS low, q3 + {width} AS high FROM
       (SELECT {by}, measure, max(whole)::DOUBLE AS n_rows, min(value) FILTER (upto >= ceil(whole * 0.25)) AS q1, min(value) FILTER (upto >= ceil(whole * 0.75)) AS q3 FROM
-        (SELECT {by}, measure, CASE WHEN bucket IS NULL THEN 0.0::DOUBLE ELSE pow({GAMMA}::DOUBLE, bucket) * {2 / (GAMMA + 1)}::DOUBLE END AS value, sum(n) OVER (PARTITION BY {by}, measure ORDER BY bucket ASC NULLS FIRST) AS upto, sum(n) OVER (PARTITION BY {by}, measure) AS whole
-          FROM (SELECT {by}, measure, bucket, sum(n) AS n FROM sketch GROUP BY ALL)) GROUP BY {by}, measure)"""
+        (SELECT {by}, measure, CASE WHEN bucket IS NULL THEN 0.0::DOUBLE ELSE pow({GAMMA}::DOUBLE, bucket) * {2 / (GAMMA + 1)}::DOUBLE END AS value, sum(k) OVER (PARTITION BY {by}, measure ORDER BY bucket ASC NULLS FIRST) AS upto, sum(k) OVER (PARTITION BY {by}, measure) AS whole
+          FROM (SELECT {by}, measure, bucket, sum(k) AS k FROM sketch WHERE measure LIKE '%length' GROUP BY ALL)) GROUP BY {by}, measure)"""
 
 
 QUALITY = f"""WITH t AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{GAPS}') AS w, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM documents),
@@ -47,7 +47,13 @@ QUALITY = f"""WITH t AS (SELECT doc_id, lang, source, coalesce(text, '') AS text
   r AS (SELECT doc_id, count(DISTINCT at_) AS n FROM (SELECT doc_id, unnest(range(i, i + 3)) AS at_ FROM (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, key) > 1)) GROUP BY doc_id),
   m AS (SELECT doc_id, lang, source, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines FROM t LEFT JOIN r USING (doc_id)),
   base AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
-  sketch AS (SELECT lang, source, measure, CASE WHEN value > 0 THEN ceil(ln(value) / ln({GAMMA}::DOUBLE))::INT END AS bucket, count(*) AS n FROM ({_values}) WHERE value IS NOT NULL GROUP BY ALL),
+  sketch AS (SELECT lang, source, measure, CASE WHEN n > 0 THEN ceil(ln(n / d) / ln({GAMMA}::DOUBLE))::INT END AS bucket, count(*) AS k, sum(n) AS n, sum(d) AS d, sum(n * n / d) AS squares FROM ({_values}) GROUP BY ALL),
+  ranked AS (SELECT *, sum(k) OVER (w ORDER BY bucket ASC NULLS FIRST) - k AS before, sum(k) OVER w AS whole FROM sketch WHERE measure NOT LIKE '%length' WINDOW w AS (PARTITION BY lang, source, measure)),
+  bulk AS (SELECT lang, source, measure, sum(k) FILTER (before < ceil(whole * 0.95::DOUBLE)) AS k, sum(n) FILTER (before < ceil(whole * 0.95::DOUBLE)) AS n, sum(d) FILTER (before < ceil(whole * 0.95::DOUBLE)) AS d,
+      sum(k) FILTER (before < ceil(whole * 0.9::DOUBLE)) AS ck, sum(n) FILTER (before < ceil(whole * 0.9::DOUBLE)) AS cn, sum(d) FILTER (before < ceil(whole * 0.9::DOUBLE)) AS cd, sum(squares) FILTER (before < ceil(whole * 0.9::DOUBLE)) AS cs FROM ranked GROUP BY ALL),
+  calm AS (SELECT *, (cs / ((cn + 0.5::DOUBLE) / cd) - 2 * cn + (cn + 0.5::DOUBLE) / cd * cd) / ck AS own FROM bulk),
+  spoken AS (SELECT lang, measure, (sum(n) + 0.5::DOUBLE) / sum(d) AS rate, greatest(quantile_cont(own, 0.5), 1) AS dispersion FROM calm GROUP BY ALL),
+  rate AS (SELECT b.lang, b.source, b.measure, (b.n + {PRIOR}::DOUBLE * b.d / b.k * s.rate) / (b.d + {PRIOR}::DOUBLE * b.d / b.k) AS rate, s.dispersion FROM bulk b JOIN spoken s ON s.measure = b.measure AND s.lang IS NOT DISTINCT FROM b.lang),
   own AS ({_fences('lang, source')}), common AS ({_fences('lang')}),
   fence AS (SELECT own.lang, own.source, own.measure, (own.n_rows * own.low + {PRIOR}::DOUBLE * common.low) / (own.n_rows + {PRIOR}::DOUBLE) AS low, (own.n_rows * own.high + {PRIOR}::DOUBLE * common.high) / (own.n_rows + {PRIOR}::DOUBLE) AS high
     FROM own JOIN common ON own.measure = common.measure AND own.lang IS NOT DISTINCT FROM common.lang),

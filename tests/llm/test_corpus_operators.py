@@ -237,6 +237,42 @@ def test_quality_fences_adapt(spark):
     assert sum(not got[k].kept for k in got if k < 2000) <= 4
 
 
+def test_quality_limits_are_no_fixed_counts(spark):
+    """Limits by plain sums over the rows of a group; one count goes in a short row and stays in a long one, and by group."""
+    r = random.Random(8)
+    word = lambda: f"w{r.randrange(10**6)}"
+    rows = []
+    for g, often in enumerate((0.0, 0.01, 0.05)):
+        for k in range(300):
+            rows.append((1000 * g + k, " ".join(word() + (" &" if r.random() < often else "") for _ in range(r.randrange(60, 900)))))
+    for g in range(3):
+        for k, (n, marks) in enumerate(((60, 8), (600, 8), (6_000, 8), (60, 30), (600, 30), (6_000, 30))):
+            rows.append((1000 * g + 900 + k, " ".join(word() for _ in range(n)) + " &" * marks))
+    docs = spark.createDataFrame([(i, t, "en", f"s{i // 1000}") for i, t in rows], "doc_id long, text string, lang string, source string")
+    got = {x.doc_id: "symbol_share" in x.failed for x in quality.judge(docs).collect()}
+
+    count = {i: (t.count("&"), len(t.replace(" ", ""))) for i, t in rows}
+    group = {g: sorted((n / d, n, d) for i, (n, d) in count.items() if i // 1000 == g) for g in range(3)}
+    upto = lambda g, q: group[g][: -(-len(group[g]) * q // 100)]  # noqa: E731  quantiles of the values themselves, not of buckets
+    sums = {g: (len(upto(g, 95)), sum(n for _, n, _ in upto(g, 95)), sum(d for *_, d in upto(g, 95))) for g in range(3)}
+    spoken = (sum(s[1] for s in sums.values()) + 0.5) / sum(s[2] for s in sums.values())
+    spread = []
+    for g in range(3):
+        calm = upto(g, 90)
+        rate = (sum(n for _, n, _ in calm) + 0.5) / sum(d for *_, d in calm)
+        spread.append(sum((n - rate * d) ** 2 / (rate * d) for _, n, d in calm) / len(calm))
+    want, unsure = {}, set()
+    for i, (n, d) in count.items():
+        k, sn, sd = sums[i // 1000]
+        m = d * (sn + 100 * sd / k * spoken) / (sd + 100 * sd / k)
+        surprise = (n * np.log(n / m) - n + m if n > m else 0) / max(1, sorted(spread)[1]) / np.log(1e9)
+        want[i] = surprise > 1
+        unsure |= {i} if 0.8 < surprise < 1.25 else set()
+    assert len(unsure) < 5 and {k: v for k, v in got.items() if k not in unsure} == {k: v for k, v in want.items() if k not in unsure}
+    by_group = [tuple(got[1000 * g + 900 + k] for k in range(6)) for g in range(3)]
+    assert len(set(by_group)) > 1 and by_group[0][3] and not by_group[0][5]
+
+
 def placed_by_sorting(rows, shards, cell_rows, seed=7):
     """Shard and slot of rows (doc_id, text, source) by one sort of all."""
     from struct import pack
