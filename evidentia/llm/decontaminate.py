@@ -55,20 +55,24 @@ def phrase_matches(docs: DataFrame, windows: DataFrame, index: DataFrame | None
     index = build_index(docs, _terms_of(windows)) if index is None else index
     # One row a term of the test set; a common one, which most windows hold, is in no task's way if these are broadcast.
     counts = small_or_shuffled(saved(index.groupBy("term_id").agg(F.count("*").alias("n")), "counts"))
-    places = windows.select("window_id", F.posexplode("terms").alias("offset", "term"))
-    places = places.select("window_id", "offset", F.xxhash64("term").alias("term_id")).join(counts, "term_id")
-    complete = places.groupBy("window_id").agg(F.count("*").alias("known"), F.min("n").alias("least"))
-    rank = F.row_number().over(Window.partitionBy("window_id").orderBy("n", "term_id", "offset"))
-    sizes = windows.select("window_id", F.size("terms").alias("length"))
+    # Windows go by short numbers, as many postings carry them; they are numbered in a written table, so that they stay.
+    windows = saved(windows.select(F.monotonically_increasing_id().alias("window"), "window_id", "terms"), "numbered-windows")
+    places = windows.select("window", F.posexplode("terms").alias("offset", "term"))
+    places = places.select("window", "offset", F.xxhash64("term").alias("term_id")).join(counts, "term_id")
+    complete = places.groupBy("window").agg(F.count("*").alias("known"), F.min("n").alias("least"))
+    rank = F.row_number().over(Window.partitionBy("window").orderBy("n", "term_id", "offset"))
+    sizes = windows.select("window", F.size("terms").alias("length"))
     lookups = places.withColumn("rank", rank).where(F.col("rank") <= anchors)
-    lookups = lookups.join(complete, "window_id").join(sizes, "window_id").where(F.col("known") == F.col("length"))
-    lookups = saved(lookups.select("term_id", "window_id", "offset", F.least("length", F.lit(anchors)).alias("need")), "lookups")
-    starts = index.join(small_or_shuffled(lookups), "term_id").select("doc_id", "row", "window_id", "need", (F.col("pos") - F.col("offset")).alias("start"))
-    starts = starts.where("start >= 0").groupBy("doc_id", "row", "window_id", "start").agg(F.count("*").alias("n"), F.first("need").alias("need"))
-    starts = starts.where("n >= need").join(small_or_shuffled(windows), "window_id")
-    per_row = starts.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", (F.col("start") + F.size("terms")).alias("end"), "window_id", "terms"))).alias("candidates"))
-    per_row = saved(per_row, "candidates")
-    texts = docs.select("doc_id", "text", row_hash("doc_id", "text").alias("row")).join(small_or_shuffled(per_row, 10_000), "row")
+    lookups = lookups.join(complete, "window").join(sizes, "window").where(F.col("known") == F.col("length"))
+    lookups = saved(lookups.select("term_id", "window", "offset", F.least("length", F.lit(anchors)).alias("need")), "lookups")
+    starts = index.join(small_or_shuffled(lookups), "term_id").select("row", "window", "need", (F.col("pos") - F.col("offset")).alias("start"))
+    starts = starts.where("start >= 0").groupBy("row", "window", "start", "need").agg(F.count("*").alias("n")).where("n >= need")
+    starts = saved(starts.select("row", "window", "start"), "starts")
+    # Only texts with a candidate are shuffled to their candidates; which ones have any is a list of numbers.
+    some = small_or_shuffled(saved(starts.select("row").distinct(), "candidate-rows"))
+    held = docs.select("doc_id", "text", row_hash("doc_id", "text").alias("row")).join(some, "row", "left_semi")
+    per_row = starts.join(small_or_shuffled(windows), "window").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", (F.col("start") + F.size("terms")).alias("end"), "window_id", "terms"))).alias("candidates"))
+    texts = held.join(per_row, "row")
     # The words are bound as a lambda's variable, so that they are made once for each row and not once for each candidate.
     confirmed = F.transform(F.array(words(F.col("text"))), lambda w: F.filter("candidates", lambda c: F.slice(w, c["start"] + 1, F.size(c["terms"])) == c["terms"]))[0]
     return texts.select("doc_id", "row", F.transform(confirmed, lambda c: F.struct(c["start"], c["end"], c["window_id"])).alias("found")).where(F.size("found") > 0)
