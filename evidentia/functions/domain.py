@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .vote_wordings import SIDES
+from .vote_wordings import SIDES, phrases
 
 
 def accepted(review: Column, evaluation: Column) -> Column:
@@ -59,8 +59,14 @@ def decision_scope(tenor: Column, remark: Column) -> Column:
 
 
 def prompt_position(prompt: Column) -> Column:
-    """Which side a chair's question asks for: the first whose wording fits."""
-    return F.coalesce(*[F.when(prompt.rlike(f"(?iuU){wording}"), side) for side, wording in SIDES.items()])
+    """Which side a chair's question asks for: the first of which it has a part of a word, a word, or the last word."""
+
+    def named(stems: list[str], whole: list[str], last: list[str]) -> Column:
+        found = prompt.rlike(phrases(stems, whole=False, case=False))
+        found = found | prompt.rlike(phrases(whole, case=False)) if whole else found
+        return found | prompt.rlike(phrases(last, case=False) + r"\W*$") if last else found
+
+    return F.coalesce(*[F.when(named(*words), side) for side, words in SIDES.items()])
 
 
 def crosscheck_status(compared: Column, matched: Column, total: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.domain import accepted
+from ..functions.vote_wordings import ROLL_CALL_ABBREVIATED, ROLL_CALL_NUMBERED, ROLL_CALL_PARTS, ROLL_CALL_WORDS, phrases
 
 
 def experiment_totals(pairs: DataFrame, groups: DataFrame) -> DataFrame:
@@ -90,9 +91,11 @@ def page_annotations(criteria: DataFrame, pages: DataFrame) -> tuple[DataFrame,
 
 def whole_law_roll_call(motion: Column, title: Column, numbers: Column) -> Column:
     """Whether a roll call is on all of a bill: its numbers are named, and no part, amendment or resolution is."""
-    parts = r"(?iU)Entschließungsantrag|Änderungsantrag|Artikel\s+\w|\bArt\.\s*\d|Einzel(?:plan|abstimmung)|\bZiffer\s+\d|\bTeile\b|übrige"
+    both = F.concat_ws(" ", title, motion)
+    part = both.rlike(phrases(ROLL_CALL_PARTS, whole=False, case=False)) | both.rlike(phrases(ROLL_CALL_WORDS, case=False))
+    numbered = both.rlike(phrases(ROLL_CALL_NUMBERED, case=False) + r"\s+\w") | both.rlike(phrases(ROLL_CALL_ABBREVIATED, whole=False, case=False) + r"\s*\d")
     named = (F.size(numbers) > 0) & (F.size(F.array_except(numbers, T.document_numbers(motion))) == 0) & F.contains(motion, F.lit("Gesetzentwurf"))
-    return F.coalesce(named & ~F.concat_ws(" ", title, motion).rlike(parts), F.lit(False))
+    return F.coalesce(named & ~part & ~numbered, F.lit(False))
 
 
 def motion_references(context: Column) -> Column:

@@ -99,6 +99,10 @@ def test_transcripts(spark):
         ("Der Gesetzentwurf ist angenommen. Der Gesetzentwurf ist abgelehnt.", {}), ("Nichts.", {}),
         ("Wer zustimmen möchte, möge sich bitte erheben. – Es stimmen dafür die SPDFraktion und  BÜNDNIS 90/DIE GRÜNEN. Sie dürfen sich wieder setzen. Nun diejenigen, die sich enthalten. – Es enthält sich die AfDFraktion. Damit ist der Gesetzentwurf angenommen.", {"spd": "yes", "gruene": "yes", "afd": "abstain"}),
         ("Jetzt bitte ich diejenigen, die zustimmen wollen, sich zu erheben. – Dagegen stimmen die SPD. Damit ist der Gesetzentwurf angenommen.", {}),
+        ("Wer dagegenstimmen will, möge sich erheben. – Die Grünen. Vielen Dank. Wer enthält sich? – Die Unionsfraktion. Somit ist die Vorlage angenommen.", {"gruene": "no", "cdu-csu": "abstain"}),
+        ("Wer stimmt für den Gesetzentwurf auf Drs. 20/7? – Die FDPFraktion. Der Gesetzentwurf auf Drs. 20/7 ist gegen die AfD und bei Enthaltung der Fraktion Die Linke angenommen.", {"fdp": "yes", "afd": "no", "linke": "abstain"}),
+        ("Gegenstimmen? – BSW; Enthaltung? – SSW. Der Gesetzentwurf ist bei Zustimmung der SPD und Ablehnung der AfD angenommen worden.", {"bsw": "no", "ssw": "abstain", "spd": "yes", "afd": "no"}),
+        ("Wer stimmt dafür? – Alle übrigen Fraktionen. Wer stimmt dagegen? – Bis auf einige die SPD. Der Gesetzentwurf ist einstimmig angenommen.", {}),
     ],
 )
 def test_positions(spark, quote, want):
