@@ -22,9 +22,19 @@ def allowed(url: str, hosts: set[str]) -> str:
     return urllib.parse.urldefrag(url)[0]
 
 
+class SameHosts(urllib.request.HTTPRedirectHandler):
+    """Follows a redirect only if its target is allowed; what isn't is never asked for."""
+
+    def __init__(self, hosts: set[str]):
+        self.hosts = hosts
+
+    def redirect_request(self, req, fp, code, msg, headers, newurl):
+        return super().redirect_request(req, fp, code, msg, headers, allowed(newurl, self.hosts))
+
+
 def download(url: str, hosts: set[str], *, limit: int = 50 << 20, attempts: int = 4, fetch: Callable | None = None, sleep: Callable[[float], None] = time.sleep) -> bytes:
-    """The content at url, at most `limit` bytes; redirects must stay on the hosts; passing faults are tried again later."""
-    fetch = fetch or (lambda u: urllib.request.urlopen(u, timeout=60))
+    """The content at url, at most `limit` bytes; each redirect must stay on the hosts; passing faults are tried again later."""
+    fetch = fetch or (lambda u: urllib.request.build_opener(SameHosts(hosts)).open(u, timeout=60))
     url = allowed(url, hosts)
     for n in range(attempts):
         try:

@@ -125,3 +125,27 @@ def fresh_cache(cache: DataFrame, now: int, ttl: int, negative_ttl: int) -> Data
     age = F.lit(now) - F.col("retrieved_at")
     negative = F.col("content").isNull()
     return cache.where(F.when(negative, age < negative_ttl).otherwise((age < ttl) & (F.sha2("content", 256) == F.col("sha"))))
+
+
+def protocol_index(pages: DataFrame, host: str) -> DataFrame:
+    """(term, place, sitting, url, problem) of pages (term, place, html) of a listing of protocols: one row a table row.
+
+    Only the template of the table counts, as the same rows stand in one for a list too. A row names one XML file on the
+    host, by term and sitting; what doesn't is a problem, as is a sitting on two places, which a listing that stalls gives.
+    A page without that template is one row with a problem; a table without rows ends the listing and gives none.
+    """
+    table = F.regexp_extract("html", r'(?s)<template[^>]*data-js-document-results="table"[^>]*>(.*?)</template>', 1)
+    has = F.coalesce(F.col("html").rlike(r'<template[^>]*data-js-document-results="table"'), F.lit(False))
+    missing = pages.where(~has).select("term", "place", F.lit(None).cast("int").alias("sitting"), F.lit(None).cast("string").alias("url"), F.lit("no table of protocols").alias("problem"))
+    rows = pages.where(has).select("term", "place", F.explode(F.regexp_extract_all(table, F.lit(r"(?s)<tr[ >].*?</tr>"), F.lit(0))).alias("row"))
+    links = rows.select("term", "place", F.regexp_extract_all("row", F.lit(r'href="([^"]*\.xml)"'), F.lit(1)).alias("links"))
+    path = F.get("links", F.lit(0))
+    url = F.when(path.startswith("/"), F.concat(F.lit(f"https://{host}"), path)).otherwise(path)
+    name = F.regexp_extract("url", r"/(\d{2})(\d{3})\.xml$", 0)
+    each = links.withColumn("url", url).withColumn("name", name)
+    number = lambda g: F.regexp_extract("url", r"/(\d{2})(\d{3})\.xml$", g).try_cast("int")
+    problem = F.when(F.size("links") != 1, "not one XML link").when(~F.startswith("url", F.lit(f"https://{host}/")), "link leaves the host").when(F.col("name") == "", "no term and sitting in the name").when(number(1) != F.col("term"), "another term")
+    each = each.select("term", "place", F.when(problem.isNull(), number(2)).alias("sitting"), "url", problem.alias("problem"))
+    again = F.count("*").over(Window.partitionBy("term", "sitting"))
+    each = each.withColumn("again", again).withColumn("problem", F.when(F.col("sitting").isNotNull() & (F.col("again") > 1), "sitting twice").otherwise(F.col("problem")))
+    return each.drop("again").unionByName(missing)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,20 +71,6 @@ def save_new(records: DataFrame, path: str, key: str = "id") -> int:
         fresh.unpersist()
 
 
-def publish(df: DataFrame, folder: str, name: str) -> str:
-    """Write a product under a new version and then point to it, so that readers never see a part of it."""
-    spark = df.sparkSession
-    version = uuid.uuid4().hex
-    df.write.json(f"{folder}/{name}/{version}")
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").json(f"{folder}/{name}-current")
-    return version
-
-
-def current(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    version = spark.read.json(f"{folder}/{name}-current").first().version
-    return spark.read.json(f"{folder}/{name}/{version}")
-
-
 def schemas_json() -> dict[str, str]:
     """Every collection's schema as JSON."""
     return {name: T._parse_datatype_string(ddl).json() for name, ddl in SCHEMAS.items()}

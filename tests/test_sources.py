@@ -152,9 +152,6 @@ def test_records(spark, tmp_path):
         records.load_records(spark, str(folder), "parties").collect()
     table = str(tmp_path / "t")
     assert records.save_new(df.where("id = 'a'"), table) == 1 and records.save_new(df.where("id in ('a', 'b')"), table) == 1 and spark.read.parquet(table).count() == 2
-    records.publish(spark.range(3), str(tmp_path / "api"), "x")
-    records.publish(spark.range(5), str(tmp_path / "api"), "x")
-    assert records.current(spark, str(tmp_path / "api"), "x").count() == 5
     assert set(records.schemas_json()) == set(records.SCHEMAS)
     a, b = spark.createDataFrame([(1, "x"), (2, "x")], "k int, v string"), spark.createDataFrame([(2, "y")], "k int, v string")
     assert sorted(rows(records.later_wins(a, b, key="k"))) == [(1, "x"), (2, "y")]
@@ -180,10 +177,13 @@ def test_cursor(spark, tmp_path):
     spark.dataSource.register(cursor.CursorDataSource)
     read = lambda: sorted((r.id, r.page) for r in spark.read.format("cursor").option("path", str(tmp_path)).load().collect())
     assert read() == [("1", 0), ("2", 0), ("3", 1)]
-    for page in ({"numFound": 4}, {"documents": [{"id": 1}]}, {"cursor": "start"}):
+    for page in ({"numFound": 4}, {"numFound": "3"}, {"documents": [{"id": 1}]}, {"documents": [{}]}, {"documents": [], "cursor": "c2"}, {"cursor": "start"}):
         write("c1", **({"numFound": 3, "documents": [{"id": 3}], "cursor": "c1"} | page))
         with pytest.raises(Exception):
             read()
+    write("c1", numFound=3, documents=[{"id": 3}])
+    with pytest.raises(Exception, match="more than 1 pages"):
+        spark.read.format("cursor").option("path", str(tmp_path)).option("max_pages", 1).load().collect()
 
 
 def test_judge(spark):
@@ -290,6 +290,31 @@ def test_download():
         download.download("https://x.de/", hosts, limit=2, fetch=lambda u: Answer(b"abc", u))
 
 
+def test_redirects():
+    import urllib.request
+
+    handler, request = download.SameHosts({"x.de"}), urllib.request.Request("https://x.de/a")
+    assert handler.redirect_request(request, None, 302, "", {}, "https://x.de/b").full_url == "https://x.de/b"
+    for target in ("https://evil.de/", "http://x.de/b", "https://x.de/b?token=1"):
+        with pytest.raises(download.Refused):
+            handler.redirect_request(request, None, 302, "", {}, target)
+
+
+def test_protocol_index(spark):
+    row = lambda *hrefs: "<tr><td>" + "".join(f'<a href="{h}">XML</a>' for h in hrefs) + "</td></tr>"
+    page = lambda *rows_: f'<template data-js-document-results="table">{"".join(rows_)}</template><template data-js-document-results="list">{row("/x/20999.xml")}</template>'
+    pages = [
+        (20, 0, page(row("/b/20001.xml"), row("https://www.p.de/b/20002.xml"), row("/b/a.pdf"), row("/b/20003.xml", "/b/20004.xml"))),
+        (20, 4, page(row("/b/20002.xml"), row("https://evil.de/20005.xml"), row("/b/19006.xml"), row("/b/20.xml"))),
+        (20, 8, page()), (20, 12, "<html>"), (21, 0, page(row("/b/21001.xml"))), (21, 4, None),
+    ]
+    got = feeds.protocol_index(spark.createDataFrame(pages, "term int, place int, html string"), "www.p.de").collect()
+    assert sorted((r.term, r.sitting, r.url) for r in got if r.problem is None) == [(20, 1, "https://www.p.de/b/20001.xml"), (21, 1, "https://www.p.de/b/21001.xml")]
+    assert sorted((r.term, r.place, r.problem) for r in got if r.problem) == [
+        (20, 0, "not one XML link"), (20, 0, "not one XML link"), (20, 0, "sitting twice"), (20, 4, "another term"), (20, 4, "link leaves the host"), (20, 4, "no term and sitting in the name"), (20, 4, "sitting twice"), (20, 12, "no table of protocols"), (21, 4, "no table of protocols"),
+    ]
+
+
 def test_slice():
     now, work = [0.0], {"a": [3, 2, 0, 0], "b": [1, 0, 0, 0]}
 
