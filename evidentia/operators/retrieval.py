@@ -7,18 +7,22 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.domain import in_window
+from ..session import stored
+
+
+WHOLE = "\x00"  # the term of a document as such, which stands in its postings once; no term has this character
 
 
 def postings(docs: DataFrame, id_col: str, text: Column, terms=T.terms, wanted: DataFrame | None = None) -> DataFrame:
-    """(id, term, tf, length) of each document; documents without terms have no rows.
+    """(id, term, tf, length) of each document, and one row with the term WHOLE, for documents without terms too.
 
     A document's length is taken before its terms are exploded, so no window over documents is needed. With `wanted`
     (term), only postings of those terms are kept; lengths still count all terms.
     """
     listed = docs.select(F.col(id_col).alias("id"), terms(text).alias("terms"))
-    each = listed.select("id", F.size("terms").alias("length"), F.explode("terms").alias("term"))
+    each = listed.select("id", F.size("terms").alias("length"), F.explode(F.array_append("terms", F.lit(WHOLE))).alias("term"))
     if wanted is not None:
-        each = each.join(wanted, "term", "left_semi")
+        each = each.join(wanted.union(wanted.sparkSession.range(1).select(F.lit(WHOLE).alias("term"))), "term", "left_semi")
     return each.groupBy("id", "length", "term").agg(F.count("*").alias("tf")).select("id", "term", "tf", "length")
 
 
@@ -47,9 +51,9 @@ def scores(asked: DataFrame, index: DataFrame) -> DataFrame:
 def rank(queries: DataFrame, query_id: str, docs: DataFrame, doc_id: str, text: str = "text", terms=T.terms) -> DataFrame:
     """(query_id, id, score) of queries against documents; only postings of terms that some query has are made."""
     asked = query_terms(queries, query_id, F.col(text), terms)
-    counted = docs.agg(F.count("*").alias("n"), F.sum(F.size(terms(F.col(text)))).alias("length")).first()
-    index = postings(docs, doc_id, F.col(text), terms, asked.select("term").distinct())
-    return scores(asked, weights(index, counted.n, (counted.length or 0) / max(1, counted.n)))
+    index = stored(postings(docs, doc_id, F.col(text), terms, asked.select("term").distinct()), "index")  # the texts are read once
+    counted = index.where(F.col("term") == WHOLE).agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("n"), F.sum(F.col("length") * F.col("tf")).alias("length")).first()
+    return scores(asked, weights(index.where(F.col("term") != WHOLE), counted.n, (counted.length or 0) / max(1, counted.n)))
 
 
 def top(ranked: DataFrame, k: int, *by: str) -> DataFrame:
