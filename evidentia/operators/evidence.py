@@ -72,9 +72,9 @@ def insight_impacts(impacts: DataFrame, criteria: DataFrame, laws: DataFrame, pr
 
 def law_effects(rows: DataFrame) -> DataFrame:
     """Per party and law: criteria affected by sign, direction, and those it is first to cover, alone or the same day."""
-    first = rows.groupBy("party_id", "criterion_id").agg(F.min("day").alias("first"), F.min_by("law_id", "day").alias("any_law"))
-    at_first = rows.join(first.select("party_id", "criterion_id", "first"), ["party_id", "criterion_id"]).where("day = first").groupBy("party_id", "criterion_id").agg(F.count_distinct("law_id").alias("laws"))
-    marked = rows.join(first.select("party_id", "criterion_id", "first"), ["party_id", "criterion_id"]).join(at_first, ["party_id", "criterion_id"])
+    same = Window.partitionBy("party_id", "criterion_id")
+    marked = rows.withColumn("first", F.min("day").over(same))
+    marked = marked.withColumn("laws", F.size(F.collect_set(F.when(F.col("day") == F.col("first"), F.col("law_id"))).over(same)))
     signed = lambda c: F.count_distinct(F.when(c, F.col("criterion_id")))
     effects = marked.groupBy("party_id", "law_id", "day").agg(
         F.count_distinct("criterion_id").alias("affected"), signed(F.col("score") > 0).alias("supporting"), signed(F.col("score") < 0).alias("opposing"), signed(F.col("score") == 0).alias("neutral"),
