@@ -72,11 +72,12 @@ def _member(read, start: int, size: int) -> tuple[bytes, int]:
 
 def _plain(read, start: int, size: int) -> tuple[bytes, int]:
     """The bytes of the uncompressed record at start, and where it ends."""
-    head = b""
-    while b"\r\n\r\n" not in head:
-        more = read(start + len(head), CHUNK)
+    head, end = b"", -1
+    while end < 0:  # a header of any length, up to where another record begins or the archive ends
+        more, seen = read(start + len(head), CHUNK), max(0, len(head) - 16)
         head += more
-        if not more or len(head) > 4 * CHUNK:
+        end, other = head.find(b"\r\n\r\n", seen), re.compile(rb"\r\nWARC/\d\.\d\r\n").search(head, seen)
+        if (end < 0 and not more) or (other and (end < 0 or other.start() < end)):
             raise Damaged("the header does not end")
     length = re.search(rb"(?im)^content-length: *(\d+)", head.split(b"\r\n\r\n")[0])
     if not length:
@@ -242,5 +243,7 @@ def round_trip(pages: DataFrame, *, revisit_from: int = 1000) -> DataFrame:
 
 
 def report(pages: DataFrame, **settings) -> DataFrame:
-    read = round_trip(pages, **settings).where("problem is null")
-    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    """Per page: page_id, payload_bytes, payload_digest, record_type, refers_to; a gap in the archives is an error, never left out."""
+    read = round_trip(pages, **settings)
+    sound = F.when(F.col("problem").isNull(), F.col("record_type")).otherwise(F.raise_error(F.concat(F.lit("a record was lost: "), "problem")))
+    return read.select("page_id", "payload_bytes", "payload_digest", sound.alias("record_type"), "refers_to")

@@ -618,3 +618,27 @@ def test_salvage(packed):
     assert all(x[3]["payload"] == payloads[x[3]["page_id"]] for x in found if x[3])
     assert [(a, b) for a, b, problem, x in found if problem] == [(starts[2], starts[4]), (starts[7], starts[8]), (starts[11], len(data))]
     assert found[0][0] == 0 and all(a[1] == b[0] for a, b in zip(found, found[1:])) and found[-1][1] == len(data)
+
+
+def test_long_headers():
+    """A sound record with a header of megabytes is read; one whose header doesn't end gives way to the next record."""
+    sha = lambda p: hashlib.sha1(p).hexdigest()
+    long, plain = warc.record(1, "u" * 3_000_000, b"one", sha(b"one")), warc.record(2, "u2", b"two", sha(b"two"))
+    data = long + plain
+    found = list(warc.salvage(lambda at, n: data[at : at + n], len(data)))
+    assert [(x[2], x[3]["payload"]) for x in found] == [(None, b"one"), (None, b"two")]
+    endless = long[: 2_500_000] + b"\r\n" + plain
+    found = list(warc.salvage(lambda at, n: endless[at : at + n], len(endless)))
+    assert [bool(x[2]) for x in found] == [True, False] and found[1][3]["page_id"] == 2 and found[0][1] == 2_500_002
+
+
+def test_lost_records_are_errors(spark, monkeypatch):
+    """A record that can't be read again fails the report, which would else look complete."""
+    from pyspark.sql import functions as F
+
+    pages = spark.createDataFrame([(i, "u", t) for i, t in enumerate(("<p>one</p>", "<p>two</p>", "<p>three</p>"))], "page_id long, url string, html string")
+    assert warc.report(pages).count() == 3
+    gaps = warc.round_trip(pages).withColumn("problem", F.lit("broken"))
+    monkeypatch.setattr(warc, "round_trip", lambda *_, **__: gaps)
+    with pytest.raises(Exception, match="a record was lost"):
+        warc.report(pages).collect()
