@@ -60,6 +60,7 @@ def test_entry_without_optional_parts(tmp_path):
     root = Path(__file__).resolve().parent.parent
     shutil.copytree(root / "evidentia", tmp_path / "evidentia", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     shutil.copy(root / "__spark_entry__.py", tmp_path)
+    (tmp_path / "evidentia" / "llm" / "__pycache__").mkdir(parents=True)  # a folder may be left over
     code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, check=True)
     assert done.stdout.split() == [str(len(QUERIES)), str(len(SQL))]
