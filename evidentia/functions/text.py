@@ -32,6 +32,10 @@ GROUPS = {
     "dielinke": "linke", "bsw": "bsw", "ssw": "ssw", "fraktionslos": "independent", "fraktionslose": "independent",
 }
 
+# Titles that are no part of a name, and what scanned Markdown holds that is no text (image links keep their label).
+TITLES = ["Prof.", "Dr.", "h.c.", "h. c."]
+NO_TEXT = {r"!\[([^\]]*)\]\([^\n)]*\)": "$1", r"(?m)^[ \t]*img-\d+\.(?:jpeg|jpg|png)[ \t]*$": "", r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]": "", "\u00ad\n?": "", r"\n{3,}": "\n\n"}
+
 WORD = r"[\p{L}\p{N}_]+"
 
 
@@ -88,13 +92,14 @@ def group_key(c: Column) -> Column:
 
 def name_key(c: Column) -> Column:
     """A person's name without parentheses, titles, case and punctuation."""
-    plain = F.regexp_replace(F.regexp_replace(c, r"(?U)\s*\([^)]*\)", ""), r"(?iU)\b(?:Prof|Dr|h\.\s*c)\.\s*", "")
-    return F.regexp_replace(folded(plain), r"[^\p{L}\p{N}_]", "")
+    plain = F.regexp_replace(c, r"(?U)\s*\([^)]*\)", "")
+    titles = "|".join(t.replace(".", r"\.").replace(" ", r"\s*") for t in TITLES)
+    return F.regexp_replace(folded(F.regexp_replace(plain, rf"(?iU)\b(?:{titles})\s*", "")), r"[^\p{L}\p{N}_]", "")
 
 
 def clean_markdown(c: Column) -> Column:
     """Without images, image placeholders, control characters, soft hyphens and runs of blank lines."""
-    for pattern, instead in ((r"!\[([^\]]*)\]\([^\n)]*\)", "$1"), (r"(?m)^[ \t]*img-\d+\.(?:jpeg|jpg|png)[ \t]*$", ""), (r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", ""), ("­\n?", ""), (r"\n{3,}", "\n\n")):
+    for pattern, instead in NO_TEXT.items():
         c = F.regexp_replace(c, pattern, instead)
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
