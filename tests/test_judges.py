@@ -157,3 +157,21 @@ def test_revisions(spark):
     assert ("names the one before", "1:2") in faults(log.replace({log.where("document_id = 1 and revision = 1").first().sha256: "0" * 64}, subset=["sha256"]))
     assert ("revisions count up", "1:2") in faults(log.where("not (document_id = 1 and revision = 1)"))
     assert ("leads to the edition", "1:1") in faults(log.where("not (document_id = 1 and revision = 2)"))
+
+
+def test_many_small_batches_in_one_pass(spark):
+    """Thousands of calls take one pass: each task has the digest of its first batch, and rounds are counted over all."""
+    import hashlib
+
+    def judge(frame):
+        if (frame["key"] % 500 == 3).any():
+            raise ValueError("bad")
+        return frame[["key"]]
+
+    tasks = spark.range(6_000).selectExpr("id as key", "id div 3 as law")
+    asked = B.bisected(tasks, judge, "key long", size=4, by=("law",), name=("stage", "7"))
+    ids = {r.key: r.call_id for r in asked.members.collect()}
+    assert ids == {k: hashlib.sha256("\x1f".join(["stage", "7", *sorted(str(x) for x in range(k - k % 3, k - k % 3 + 3))]).encode()).hexdigest() for k in range(6_000)}
+    assert sorted(r.key for r in asked.unanswered.collect()) == list(range(3, 6_000, 500))
+    calls = sorted(map(tuple, asked.calls.collect()))
+    assert calls[0] == (0, 2_000, 12) and calls[1] == (1, 24, 12) and asked.answers.count() == 5_988
