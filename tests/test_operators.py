@@ -109,3 +109,17 @@ def test_chunks(spark):
     pages = spark.createDataFrame([(1, 1, "Text\n\nTEXT\n\nother\nline"), (1, 2, None)], "doc_id long, page int, text string")
     got = chunks.page_leaves(pages, "d").orderBy("ordinal").collect()
     assert [(r.text, r.line_start, r.line_end) for r in got] == [("Text", 1, 1), ("TEXT", 3, 3), ("other\nline", 5, 6)] and len({r.leaf_id for r in got}) == 3
+
+
+def test_decisions_on_orders_with_long_keys(spark, tmp_path):
+    """A document's number has six digits at most, also where an order's key has more."""
+    import duckdb
+
+    from evidentia.plans import QUERIES, SQL
+
+    spark.range(8_999_980, 9_000_040).selectExpr("id as o_orderkey").write.parquet(f"{tmp_path}/orders.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view orders as select * from '{tmp_path}/orders.parquet/*.parquet'")
+    want = con.sql(f"SELECT block_id, start, stop, quote FROM ({SQL['protocol_decisions']})").fetchall()
+    got = QUERIES["protocol_decisions"](spark, str(tmp_path)).select("block_id", "start", "stop", "quote")
+    assert rows(got) == sorted(map(tuple, want), key=repr) and want
