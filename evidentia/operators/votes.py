@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import domain as D
+from ..session import small_or_shuffled, stored
 from .evidence import accepted_impacts
 
 POSITIONS = ["yes", "no", "abstain", "mixed", "unknown"]
@@ -84,7 +85,10 @@ def compare_members(left: DataFrame, right: DataFrame, *by: str) -> DataFrame:
 
 def unique_matches(left: DataFrame, right: DataFrame, on: list[str], id_col: str) -> DataFrame:
     """(left id, right id, status): the right row equal in all of `on`; ambiguous if there are several, missing if none."""
-    found = left.join(right.select(*on, F.col(id_col).alias("other_id")), on, "left").groupBy(id_col).agg(F.count("other_id").alias("n"), F.min("other_id").alias("other_id"))
+    # Right rows are counted before the join: rows that share a key on both sides would meet as pairs.
+    tallies = stored(right.groupBy(*on).agg(F.count(id_col).alias("__met"), F.min(id_col).alias("other_id")), "tallies")
+    met = left.join(small_or_shuffled(tallies), on, "left").select(id_col, F.coalesce("__met", F.lit(0)).alias("n"), "other_id")
+    found = met.groupBy(id_col).agg(F.sum("n").alias("n"), F.min("other_id").alias("other_id"))
     return found.select(id_col, F.when(F.col("n") == 1, F.col("other_id")).alias("other_id"), F.when(F.col("n") == 1, "matched").when(F.col("n") == 0, "missing").otherwise("ambiguous").alias("status"))
 
 

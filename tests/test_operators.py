@@ -123,3 +123,17 @@ def test_decisions_on_orders_with_long_keys(spark, tmp_path):
     want = con.sql(f"SELECT block_id, start, stop, quote FROM ({SQL['protocol_decisions']})").fetchall()
     got = QUERIES["protocol_decisions"](spark, str(tmp_path)).select("block_id", "start", "stop", "quote")
     assert rows(got) == sorted(map(tuple, want), key=repr) and want
+
+
+def test_unique_matches_of_a_hot_key(spark):
+    """Rows that share a key on both sides are counted, not paired: 80,000 of each would be 6.4 billion pairs."""
+    import time
+
+    hot = spark.range(80_000).selectExpr("id", "1 as k")
+    left = hot.unionByName(spark.createDataFrame([(-1, 2), (-2, None), (-3, 3)], "id long, k int"))
+    right = hot.unionByName(spark.createDataFrame([(-7, 2), (-8, None)], "id long, k int"))
+    began = time.monotonic()
+    got = votes.unique_matches(left, right, ["k"], "id")
+    assert rows(got.where("id < 0")) == [(-1, -7, "matched"), (-2, None, "missing"), (-3, None, "missing")]
+    assert rows(got.where("id >= 0").groupBy("status", "other_id").count()) == [("ambiguous", None, 80_000)]
+    assert time.monotonic() - began < 60
