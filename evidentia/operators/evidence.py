@@ -72,13 +72,14 @@ def insight_impacts(impacts: DataFrame, criteria: DataFrame, laws: DataFrame, pr
 
 def law_effects(rows: DataFrame) -> DataFrame:
     """Per party and law: criteria affected by sign, direction, and those it is first to cover, alone or the same day."""
+    each = rows.groupBy("party_id", "criterion_id", "law_id", "day").agg(*[F.max(F.coalesce(c, F.lit(False)).cast("int")).alias(n) for n, c in (("plus", F.col("score") > 0), ("minus", F.col("score") < 0), ("zero", F.col("score") == 0))])
     same = Window.partitionBy("party_id", "criterion_id")
-    marked = rows.withColumn("first", F.min("day").over(same))
-    marked = marked.withColumn("laws", F.size(F.collect_set(F.when(F.col("day") == F.col("first"), F.col("law_id"))).over(same)))
-    signed = lambda c: F.count_distinct(F.when(c, F.col("criterion_id")))
-    effects = marked.groupBy("party_id", "law_id", "day").agg(
-        F.count_distinct("criterion_id").alias("affected"), signed(F.col("score") > 0).alias("supporting"), signed(F.col("score") < 0).alias("opposing"), signed(F.col("score") == 0).alias("neutral"),
-        signed((F.col("day") == F.col("first")) & (F.col("laws") == 1)).alias("newly_covered"), signed((F.col("day") == F.col("first")) & (F.col("laws") > 1)).alias("shared"),
+    first = F.col("day") == F.min("day").over(same)
+    # One row a criterion, law and day: a criterion's rows of its first day are as many as its first laws.
+    each = each.withColumn("first", F.coalesce(first, F.lit(False)).cast("int")).withColumn("laws", F.sum("first").over(same))
+    effects = each.groupBy("party_id", "law_id", "day").agg(
+        F.count("*").alias("affected"), F.sum("plus").alias("supporting"), F.sum("minus").alias("opposing"), F.sum("zero").alias("neutral"),
+        F.sum(F.when(F.col("laws") == 1, F.col("first")).otherwise(0)).alias("newly_covered"), F.sum(F.when(F.col("laws") > 1, F.col("first")).otherwise(0)).alias("shared"),
     )
     return effects.withColumn("direction", law_direction(F.col("supporting"), F.col("opposing"), F.col("neutral")))
 

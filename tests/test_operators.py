@@ -137,3 +137,13 @@ def test_unique_matches_of_a_hot_key(spark):
     assert rows(got.where("id < 0")) == [(-1, -7, "matched"), (-2, None, "missing"), (-3, None, "missing")]
     assert rows(got.where("id >= 0").groupBy("status", "other_id").count()) == [("ambiguous", None, 80_000)]
     assert time.monotonic() - began < 60
+
+
+def test_law_effects_expand_no_rows(spark):
+    """Effects are counted from one row a criterion and law, not from a copy of each row for each distinct count."""
+    day = "date'2020-01-0"
+    given = spark.sql(f"select * from values (1, 1, 7, {day}1', 1), (1, 1, 7, {day}1', -1), (1, 1, 8, {day}1', 0), (1, 2, 8, {day}2', 2), (1, 2, 9, {day}3', cast(null as int)) as t(party_id, criterion_id, law_id, day, score)")
+    got = evidence.law_effects(given)
+    shown = got.select("law_id", "affected", "supporting", "opposing", "neutral", "newly_covered", "shared")
+    assert rows(shown) == [(7, 1, 1, 1, 0, 0, 1), (8, 2, 1, 0, 1, 1, 1), (9, 1, 0, 0, 0, 0, 0)]
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
