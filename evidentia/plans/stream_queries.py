@@ -19,10 +19,10 @@ ENTRIES = f"""e AS (SELECT *, month || '-' || lpad((n // {PAGE})::VARCHAR, 6, '0
 
 
 def _listing(spark, sf_dir) -> str:
-    """Orders as a listing of pages in the work folder."""
+    """Orders as a listing of packed pages in the work folder."""
     path = f"{work_folder(spark)}/listing-{uuid.uuid4().hex}"
     paged.register(spark)
-    paged.write_listing(load(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderdate").cast("date").alias("published_at"), "o_orderstatus"), path, size=PAGE)
+    paged.write_listing(load(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderdate").cast("date").alias("published_at"), "o_orderstatus"), path, size=PAGE, packed=True)
     return path
 
 

@@ -2,7 +2,9 @@
 
 A listing is a folder of pages, `page=<name>/<file>` as Spark's own writers lay them out; a page's JSON text has total,
 next (the following page's name, null on the last) and results with id and published_at. The name of a page begins with
-the month of its entries, so a window leaves pages out by name. Paths may be local ones or URIs of any store that
+the month of its entries, so a window leaves pages out by name. Large listings are kept in packs instead,
+`pages=<first name>+<how many>/<file>`: a file of one page's JSON text a line, each with its name as page, of one month
+and in the order of names; a pack is never added to. Paths may be local ones or URIs of any store that
 pyarrow's file systems open; nothing is read through local files.
 """
 
@@ -12,44 +14,61 @@ import datetime
 import json
 import re
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 
 SCHEMA = "page string, total long, next string, id string, published_at date, document string, problem string"
-NAME = re.compile(r"page=(\d{4})-(\d{2})(-[^/]+)?")
+NAME = re.compile(r"(?:page=(\d{4}-\d{2}(?:-[^/]+)?)|pages=(\d{4}-\d{2}(?:-[^/+]+)?)\+(\d+))/")
+PACK = 200  # pages of a pack
+
+
+class File(NamedTuple):
+    name: str  # of its page, or of the first one
+    path: str
+    pages: int  # how many it may hold
+    packed: bool
 
 
 class Pages(InputPartition):
-    def __init__(self, files: list[tuple[str, str]]):
+    def __init__(self, files: list[File]):
         self.files = files
 
 
-def page_files(path: str) -> list[tuple[str, str]]:
-    """(page name, file) of a listing, by name; other files, and hidden ones, are no pages."""
+def page_files(path: str) -> list[File]:
+    """The files of a listing, by name; other files, and hidden ones, are no pages."""
     from pyarrow import fs
 
     store, base = fs.FileSystem.from_uri(path)
     found = store.get_file_info(fs.FileSelector(base, recursive=True))
     named = ((NAME.search(f.path), f) for f in found if f.type == fs.FileType.File and f.base_name[0] not in "._")
-    return sorted((m.group(0)[5:], f.path) for m, f in named if m)
+    return sorted(File(m[1] or m[2], f.path, int(m[3] or 1), m[2] is not None) for m, f in named if m)
 
 
-def read_page(path: str, name: str, file: str) -> Iterator[tuple]:
-    """The rows of a page: one without id for the page itself, and one for each entry; what is broken is named, not raised."""
+def read_pages(path: str, file: File) -> Iterator[tuple]:
+    """The rows of a file's pages; what is broken is named, not raised."""
     from pyarrow import fs
 
     store, _ = fs.FileSystem.from_uri(path)
-    with store.open_input_stream(file) as f:
+    with store.open_input_stream(file.path) as f:
         content = f.read()
+    for text in content.splitlines() if file.packed else [content]:
+        yield from page_rows(file, text)
+
+
+def page_rows(file: File, text: bytes) -> Iterator[tuple]:
+    """The rows of a page: one without id for the page itself, and one for each entry."""
+    name = file.name
     try:
-        body = json.loads(content)
+        body = json.loads(text)
+        name = body["page"] if file.packed else name
         total, following, results = body["total"], body.get("next"), body["results"]
-        if isinstance(total, bool) or not isinstance(total, int) or not isinstance(results, list):
+        if isinstance(total, bool) or not isinstance(total, int) or not isinstance(results, list) or not isinstance(name, str):
             raise ValueError("no page")
     except (ValueError, KeyError, TypeError, AttributeError):
-        yield name, None, None, None, None, None, "page is malformed"
+        yield name if isinstance(name, str) else file.name, None, None, None, None, None, "page is malformed"
         return
     yield name, total, following, None, None, None, None if results or following is None else "page is empty"
     for r in results:
@@ -80,10 +99,11 @@ class PagedSource(DataSource):
         return PagedStream(self.options)
 
 
-def _listed(options) -> list[tuple[str, str]]:
+def _listed(options) -> list[File]:
     files, most = page_files(options["path"]), int(options.get("max_pages", 0))
-    if most and len(files) > most:
-        raise ValueError(f"the listing has {len(files)} pages, over the limit of {most}")
+    pages = sum(f.pages for f in files)
+    if most and pages > most:
+        raise ValueError(f"the listing has {pages} pages, over the limit of {most}")
     return files
 
 
@@ -104,16 +124,15 @@ class PagedReader(DataSourceReader):
 
     def partitions(self):
         low, high = (self.since.year, self.since.month), (self.until.year, self.until.month)
-        months = ((tuple(map(int, name.split("-")[:2])), name, file) for name, file in _listed(self.options))
-        return [Pages([(name, file)]) for month, name, file in months if low <= month <= high]
+        return [Pages([f]) for f in _listed(self.options) if low <= tuple(map(int, f.name.split("-")[:2])) <= high]
 
     def read(self, partition):
-        for name, file in partition.files:
-            yield from read_page(self.path, name, file)
+        for file in partition.files:
+            yield from read_pages(self.path, file)
 
 
 class PagedStream(DataSourceStreamReader):
-    """Each page once, in the order of names: an offset is the last page taken, so a resumed stream goes on behind it."""
+    """Each page once, in the order of names: an offset is the last page or pack taken, so a resumed stream goes on behind it."""
 
     def __init__(self, options):
         self.options, self.path = options, options["path"]
@@ -122,14 +141,14 @@ class PagedStream(DataSourceStreamReader):
         return {"after": ""}
 
     def latestOffset(self):  # noqa: N802
-        return {"after": max((name for name, _ in _listed(self.options)), default="")}
+        return {"after": max((f.name for f in _listed(self.options)), default="")}
 
     def partitions(self, start, end):
-        return [Pages([x]) for x in page_files(self.path) if start["after"] < x[0] <= end["after"]]
+        return [Pages([f]) for f in page_files(self.path) if start["after"] < f.name <= end["after"]]
 
     def read(self, partition):
-        for name, file in partition.files:
-            yield from read_page(self.path, name, file)
+        for file in partition.files:
+            yield from read_pages(self.path, file)
 
     def commit(self, end):
         pass
@@ -141,18 +160,30 @@ def register(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
-def write_listing(entries: DataFrame, path: str, *, size: int = 500) -> None:
-    """Write entries (id, published_at, ...) as a listing of pages of at most `size` entries of one month."""
+def write_listing(entries: DataFrame, path: str, *, size: int = 500, packed: bool = False) -> None:
+    """Write entries (id, published_at, ...) as a listing of pages of at most `size` entries of one month, or as packs of them."""
     place = F.row_number().over(Window.partitionBy("__month").orderBy("published_at", "id")) - 1
     rows = entries.withColumn("__month", F.date_format("published_at", "yyyy-MM")).withColumn("__n", place)
-    page = F.concat_ws("-", "__month", F.lpad(F.floor(F.col("__n") / size).cast("string"), 6, "0"))
-    result = F.struct(*[F.col(c) for c in entries.columns])
-    pages = rows.groupBy(page.alias("page")).agg(F.transform(F.array_sort(F.collect_list(F.struct("__n", result.alias("r")))), lambda x: x["r"]).alias("results"))
-    whole = entries.count()
-    # Pages are as many as months and blocks; their names alone are ordered in one place.
-    names = pages.select("page").withColumn("next", F.lead("page").over(Window.orderBy("page")))
-    body = F.to_json(F.struct(F.lit(whole).alias("total"), "next", "results"), {"ignoreNullFields": "false"})
-    pages.join(names, "page").select("page", body.alias("value")).write.partitionBy("page").text(path)
+    # Months are few. A page's follower is the next of its month, or the first of the month after.
+    months = rows.groupBy("__month").agg(F.ceil(F.count("*") / size).alias("__pages"), F.count("*").alias("__entries"))
+    months = months.withColumn("__after", F.lead("__month").over(Window.orderBy("__month")))
+    named = lambda month, n: F.concat_ws("-", month, F.lpad(n.cast("string"), 6, "0"))
+    nth = F.floor(F.col("__n") / size)
+    rows = rows.select(F.floor(nth / PACK).alias("__pack"), nth.alias("__nth"), "__n", "__month", F.struct(*[F.col(c) for c in entries.columns]).alias("r"))
+    if packed:
+        rows = rows.repartition("__month", "__pack")  # a pack is one file
+    pages = rows.groupBy("__month", "__pack", "__nth").agg(F.transform(F.array_sort(F.collect_list(F.struct("__n", "r"))), lambda x: x["r"]).alias("results"))
+    pages = pages.join(F.broadcast(months), "__month")
+    follower = F.when(F.col("__nth") + 1 < F.col("__pages"), named(F.col("__month"), F.col("__nth") + 1)).when(F.col("__after").isNotNull(), named(F.col("__after"), F.lit(0)))
+    page = named(F.col("__month"), F.col("__nth"))
+    whole = F.lit(entries.count()).alias("total")
+    body = F.to_json(F.struct(*([page.alias("page")] if packed else []), whole, follower.alias("next"), "results"), {"ignoreNullFields": "false"}).alias("value")
+    if packed:
+        first = F.col("__pack") * PACK
+        pack = F.concat_ws("+", named(F.col("__month"), first), F.least(F.lit(PACK), F.col("__pages") - first).cast("string"))
+        pages.select(pack.alias("pages"), body).write.partitionBy("pages").text(path)
+    else:
+        pages.select(page.alias("page"), body).write.partitionBy("page").text(path)
 
 
 def listing_faults(rows: DataFrame, since=None, until=None) -> DataFrame:

@@ -126,3 +126,21 @@ def test_failed_product_leaves_the_last(spark, tmp_path):
     assert product.current(spark, path, "id long").count() == 0
     with pytest.raises(Exception, match="never overwritten"):
         spark.range(1).write.format("product").mode("overwrite").option("path", path).save()
+
+
+def test_packs_of_pages(spark, tmp_path):
+    """Pages in packs read like pages of their own, in few files, by windows too, and count against max_pages as pages."""
+    from pathlib import Path
+
+    paged.register(spark)
+    rows = spark.range(3_000).selectExpr("cast(id as string) as id", "date_add(date'2023-01-01', cast(id % 100 as int)) as published_at")
+    path = f"{tmp_path}/packs"
+    paged.write_listing(rows, path, size=4, packed=True)
+    pages = sum(-(-n // 4) for n in (930, 840, 930, 300))
+    assert len([*Path(path).glob("pages=*/*.txt")]) == 2 + 2 + 2 + 1
+    df = spark.read.format("paged").option("path", path).option("max_pages", pages).load()
+    assert df.select("page").distinct().count() == pages and df.where("id is not null").count() == 3_000 and faults(spark, path) == []
+    window = df.where((F.col("published_at") >= DAY(2023, 2, 1)) & (F.col("published_at") < DAY(2023, 3, 1)) & F.col("id").isNotNull())
+    assert window.count() == 840 and window.rdd.getNumPartitions() == 4  # the last day may be of the month after
+    with pytest.raises(Exception, match="over the limit"):
+        spark.read.format("paged").option("path", path).option("max_pages", pages - 1).load().count()
