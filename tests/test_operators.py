@@ -147,3 +147,15 @@ def test_law_effects_expand_no_rows(spark):
     shown = got.select("law_id", "affected", "supporting", "opposing", "neutral", "newly_covered", "shared")
     assert rows(shown) == [(7, 1, 1, 1, 0, 0, 1), (8, 2, 1, 0, 1, 1, 1), (9, 1, 0, 0, 0, 0, 0)]
     assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_equal_quotes_are_read_once(spark):
+    """Quotes of equal texts share one reading; a comment's place makes another text."""
+    from evidentia.sources import transcripts
+
+    said = "Ich bitte diejenigen, die dem zustimmen, um das Handzeichen. – SPD. Gegenprobe! – AfD. Damit ist der Gesetzentwurf angenommen."
+    quotes = spark.range(50).selectExpr("id as quote_id", f"'{said}' as text", "cast(null as array<struct<start:int,end:int>>) as comments")
+    quotes = quotes.unionByName(spark.createDataFrame([(99, None, None)], quotes.schema))
+    got = transcripts.group_positions(quotes)
+    assert rows(got) == sorted(((q, p, side) for q in range(50) for p, side in (("spd", "yes"), ("afd", "no"))), key=repr)
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()  # readings are a table by then
