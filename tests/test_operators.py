@@ -145,7 +145,7 @@ def test_law_effects_expand_no_rows(spark):
     given = spark.sql(f"select * from values (1, 1, 7, {day}1', 1), (1, 1, 7, {day}1', -1), (1, 1, 8, {day}1', 0), (1, 2, 8, {day}2', 2), (1, 2, 9, {day}3', cast(null as int)) as t(party_id, criterion_id, law_id, day, score)")
     got = evidence.law_effects(given)
     shown = got.select("law_id", "affected", "supporting", "opposing", "neutral", "newly_covered", "shared")
-    assert rows(shown) == [(7, 1, 1, 1, 0, 0, 1), (8, 2, 1, 0, 1, 1, 1), (9, 1, 0, 0, 0, 0, 0)]
+    assert rows(shown) == [(7, 1, 1, 1, 0, 0, 1), (8, 1, 0, 0, 1, 0, 1), (8, 1, 1, 0, 0, 1, 0), (9, 1, 0, 0, 0, 0, 0)]
     assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
 
 
@@ -155,7 +155,7 @@ def test_equal_quotes_are_read_once(spark):
 
     said = "Ich bitte diejenigen, die dem zustimmen, um das Handzeichen. – SPD. Gegenprobe! – AfD. Damit ist der Gesetzentwurf angenommen."
     quotes = spark.range(50).selectExpr("id as quote_id", f"'{said}' as text", "cast(null as array<struct<start:int,end:int>>) as comments")
-    quotes = quotes.unionByName(spark.createDataFrame([(99, None, None)], quotes.schema))
+    quotes = quotes.unionByName(spark.sql("select 99L as quote_id, cast(null as string) as text, cast(null as array<struct<start:int,end:int>>) as comments"))
     got = transcripts.group_positions(quotes)
     assert rows(got) == sorted(((q, p, side) for q in range(50) for p, side in (("spd", "yes"), ("afd", "no"))), key=repr)
     assert "Window" not in got._jdf.queryExecution().executedPlan().toString()  # readings are a table by then
