@@ -159,3 +159,13 @@ def test_equal_quotes_are_read_once(spark):
     got = transcripts.group_positions(quotes)
     assert rows(got) == sorted(((q, p, side) for q in range(50) for p, side in (("spd", "yes"), ("afd", "no"))), key=repr)
     assert "Window" not in got._jdf.queryExecution().executedPlan().toString()  # readings are a table by then
+
+
+def test_few_query_terms_are_broadcast(spark):
+    """Postings, hot on some terms, are not shuffled by them to meet a few queries' terms."""
+    docs = spark.range(500).selectExpr("id", "concat('klima haushalt wort', id % 7) as text")
+    got = retrieval.rank(spark.createDataFrame([("q", "klima wort3")], "q string, text string"), "q", docs, "id")
+    assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.count() == 500
+    plan = retrieval.telling_terms(docs.selectExpr("id", "text as term").limit(3), 3)._jdf.queryExecution().logical().toString()
+    assert "ResolvedHint" in plan or "UnresolvedHint" in plan or "broadcast" in plan.lower()
