@@ -144,3 +144,22 @@ def test_packs_of_pages(spark, tmp_path):
     assert window.count() == 840 and window.rdd.getNumPartitions() == 4  # the last day may be of the month after
     with pytest.raises(Exception, match="over the limit"):
         spark.read.format("paged").option("path", path).option("max_pages", pages - 1).load().count()
+
+
+def test_pages_come_as_record_batches(tmp_path):
+    """A pack is read in batches of columns, not row by row, broken pages and entries included."""
+    import pyarrow as pa
+
+    entries = [{"id": f"ä{i}", "published_at": "2023-01-05"} for i in range(paged.BATCH)] + [{"id": 1, "published_at": "soon"}]
+    lines = [json.dumps({"page": f"2023-01-00000{k}", "total": 9, "next": None, "results": entries}) for k in range(2)] + ["{", '{"page": "2023-01-000003"}']
+    file = tmp_path / "pages=2023-01-000000+4" / "part.txt"
+    file.parent.mkdir()
+    file.write_text("\n".join(lines))
+    (found,) = paged.page_files(str(tmp_path))
+    batches = [*paged.read_pages(str(tmp_path), found)]
+    assert all(isinstance(b, pa.RecordBatch) and b.num_rows <= paged.BATCH for b in batches) and len(batches) == 3
+    rows = pa.Table.from_batches(batches).to_pylist()
+    assert len(rows) == 2 * (1 + len(entries)) + 2 and rows[1]["id"] == "ä0" and rows[1]["published_at"] == DAY(2023, 1, 5)
+    assert [(r["page"], r["problem"]) for r in rows if r["problem"]] == [
+        ("2023-01-000000", "entry is malformed"), ("2023-01-000001", "entry is malformed"), ("2023-01-000000", "page is malformed"), ("2023-01-000003", "page is malformed"),
+    ]
