@@ -4,8 +4,9 @@ Every window of `length` words has a Rabin-Karp hash. Two equal windows hold the
 `run` words, at the same place; so only windows whose least run occurs more than once in the corpus can repeat. Those
 runs are counted first and the windows that hold one are then counted in Spark; no window that repeats is passed over,
 and most others never enter a shuffle. Overlapping and adjoining repeated windows of a text merge to maximal intervals.
-Texts that occur more than once repeat all their windows; they are counted first and only one of each goes on, for the
-sake of what it shares with others, so a large group of copies adds no windows.
+Texts that occur more than once repeat all their windows. Runs are told apart by text and place, and only one text of
+equal ones goes on to windows, for the sake of what it shares with others, so a large group of copies adds none.
+Joins with sides that grow with the corpus are shuffle joins at every size, so that a larger corpus has the same plan.
 
 Null and empty texts, and texts shorter than a window, lose nothing. Rows of equal texts have equal results, whatever
 their ids; ids may be null or repeat. Further columns are not read. Texts, runs and windows are known by 64-bit hashes.
@@ -16,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, small_batches, small_or_shuffled, text_batches
+from .common import saved, small_batches, text_batches
+from .tokens import mixed
 
 
 def _least(values, width: int):
@@ -37,7 +39,7 @@ def _windows(column, length: int, run: int):
     """Of a text column, for each window: hash, least run, where that run is, word position in its row, row."""
     import numpy as np
 
-    from .tokens import Rolling, mixed, text_bytes, word_hashes, word_spans
+    from .tokens import Rolling, text_bytes, word_hashes, word_spans
 
     data, bounds = text_bytes(column)
     starts, ends, before = word_spans(data, bounds)
@@ -63,14 +65,11 @@ def copied_texts(docs: DataFrame) -> DataFrame:
     return saved(groups.where("n > 1").select("row", "first"), "copies")
 
 
-def distinct_texts(docs: DataFrame, copies: DataFrame) -> DataFrame:
-    """(text, row): all texts that occur once, and those rows of the others that have the least id."""
-    rows = docs.select("text", F.xxhash64("text").alias("row"), "doc_id").join(small_or_shuffled(copies.withColumn("copied", F.lit(True))), "row", "left")
-    return rows.where(F.col("copied").isNull() | F.col("doc_id").eqNullSafe(F.col("first"))).select("text", "row")
+def repeated_runs(docs: DataFrame, length: int, run: int) -> DataFrame:
+    """(row, runs): for each text the runs, least of some window, that are so at more than one place of all texts.
 
-
-def repeated_runs(texts: DataFrame, length: int, run: int) -> DataFrame:
-    """(row, runs): for each text the runs, least of some window, that are so more than once in all texts."""
+    Copies of a text have the places of one, so they make no run a repeated one.
+    """
 
     def emit(batches):
         import numpy as np
@@ -78,20 +77,21 @@ def repeated_runs(texts: DataFrame, length: int, run: int) -> DataFrame:
 
         for batch in text_batches(batches, "text", limit=1 << 20):
             key = batch.column(1).to_numpy()
-            _, least, found, _, row = _windows(batch.column(0), length, run)
+            _, least, found, at, row = _windows(batch.column(0), length, run)
             new = np.flatnonzero(np.diff(found, prepend=-1))  # each place once
-            yield pa.RecordBatch.from_arrays([pa.array(key[row[new]]), pa.array(least[new].view(np.int64))], names=["row", "run"])
+            place = mixed(key[row[new]].view(np.uint64) + mixed(at[new].astype(np.uint64)))
+            yield pa.RecordBatch.from_arrays([pa.array(key[row[new]]), pa.array(least[new].view(np.int64)), pa.array(place.view(np.int64))], names=["row", "run", "place"])
 
-    each = saved(texts.mapInArrow(emit, "row long, run long"), "runs")
-    often = saved(each.groupBy("run").agg(F.count("*").alias("n")).where("n > 1").select("run"), "repeated-runs")
+    each = saved(docs.select("text", F.xxhash64("text").alias("row")).mapInArrow(emit, "row long, run long, place long"), "runs")
+    ends = each.groupBy("run").agg(F.min("place").alias("low"), F.max("place").alias("high"))
+    often = saved(ends.where("low <> high").select("run"), "repeated-runs")
     # A run that is often repeated meets the side of distinct runs, so only a join of one row with many.
-    return saved(each.join(small_or_shuffled(often, 20_000), "run").groupBy("row").agg(F.collect_set("run").alias("runs")), "runs-by-row")
+    return each.select("row", "run").join(often.hint("merge"), "run").groupBy("row").agg(F.collect_set("run").alias("runs"))
 
 
 def removal_intervals(docs: DataFrame, copies: DataFrame, *, length: int = 35, run: int = 16) -> DataFrame:
     """(row, cuts): maximal intervals array<struct<start, end>> of word positions to remove, by start, of the distinct texts."""
-    distinct = distinct_texts(docs, copies)
-    runs = repeated_runs(distinct, length, run)
+    runs = saved(repeated_runs(docs, length, run).join(copies.withColumn("copied", F.lit(True)).hint("merge"), "row", "left"), "runs-by-row")
 
     def emit(batches):
         import numpy as np
@@ -106,11 +106,12 @@ def removal_intervals(docs: DataFrame, copies: DataFrame, *, length: int = 35, r
             value, at, row = value[keep], at[keep], row[keep]
             yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(key[row]), pa.array(at.astype(np.int32))], names=["window", "row", "at"])
 
-    texts = distinct.join(small_or_shuffled(runs, 100_000), "row").select("text", "row", "runs")
+    rows = docs.select("text", F.xxhash64("text").alias("row"), "doc_id")
+    texts = rows.join(runs.hint("merge"), "row").where(F.col("copied").isNull() | F.col("doc_id").eqNullSafe(F.col("first"))).select("text", "row", "runs")
     each = saved(texts.mapInArrow(emit, "window long, row long, at int"), "windows")
     # As a table of its own, the distinct side meets the others in a join whose large partitions Spark can split.
     often = saved(each.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window"), "repeated-windows")
-    places = each.join(often, "window").groupBy("row").agg(F.array_sort(F.collect_set("at")).alias("at"))
+    places = each.join(often.hint("merge"), "window").groupBy("row").agg(F.array_sort(F.collect_set("at")).alias("at"))
 
     def merge(batches):
         import numpy as np
@@ -135,7 +136,7 @@ def deduplicate(docs: DataFrame, *, length: int = 35, run: int = 16) -> DataFram
     copies = copied_texts(small_batches(docs))
     cuts = removal_intervals(docs, copies, length=length, run=run)
     whole = copies.select("row", F.lit(True).alias("copied"))
-    cuts = saved(cuts.join(small_or_shuffled(whole), "row", "left_anti").withColumn("copied", F.lit(False)).unionByName(whole, allowMissingColumns=True), "cuts-and-copies")
+    cuts = saved(cuts.join(whole.hint("merge"), "row", "left_anti").withColumn("copied", F.lit(False)).unionByName(whole, allowMissingColumns=True), "cuts-and-copies")
 
     def apply(batches):
         import pyarrow as pa
@@ -154,7 +155,7 @@ def deduplicate(docs: DataFrame, *, length: int = 35, run: int = 16) -> DataFram
                 kept.append(b" ".join(words))
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary())], names=["doc_id", "n_words", "n_removed", "kept"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("row")).join(small_or_shuffled(cuts, 200_000), "row", "left")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("row")).join(cuts.hint("merge"), "row", "left")
     return texts.select("text", "doc_id", "cuts", "copied").mapInArrow(apply, "doc_id long, n_words long, n_removed long, kept binary")
 
 

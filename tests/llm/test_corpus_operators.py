@@ -347,6 +347,16 @@ def test_substrings(docs, empty, texts):
     assert substrings.deduplicate(empty).count() == 0
 
 
+def test_substrings_have_one_plan_at_every_size(spark):
+    """No side that grows with the corpus is broadcast while small; copies of a text don't repeat its runs."""
+    texts = [" ".join(f"a{i}" for i in range(60))] * 5 + [" ".join(f"b{i}" for i in range(60))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert substrings.repeated_runs(docs, 35, 16).count() == 0
+    out = substrings.deduplicate(docs)
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {r.doc_id: r.n_removed for r in out.collect()} == {i: 60 if i < 5 else 0 for i in range(6)}
+
+
 PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
