@@ -1,8 +1,11 @@
 """Context within a budget, islands, anchors and recovered outlines, against plain sequential rules."""
 
+import datetime
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from evidentia.operators import context as X
 
 
@@ -82,3 +85,18 @@ def test_recovered_outline(spark):
     cached = spark.createDataFrame([(1, 0, 0, 1, "a"), (1, 0, 2, 3, "b"), (1, 1, 4, 5, "c"), (1, 1, 7, 7, "gap"), (1, 2, 8, 11, None), (2, 0, 0, 3, "other")], "doc_id long, page long, start long, stop long, section string")
     got = sorted((r.start, r.stop, r.section, r.recovered) for r in X.recovered_outline(blocks, cached).collect())
     assert got == [(0, 1, "a", False), (2, 3, "b", False), (4, 7, "page 1", True), (8, 11, "page 2", True)]
+
+
+def test_more_rows_are_more_tasks(spark, monkeypatch, tmp_path):
+    """Tables are dealt by rows: tasks don't grow with the input, and what is ordered by the key isn't shuffled again."""
+    from evidentia import session
+    from evidentia.plans import QUERIES
+
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    dealt = session.spread(spark.range(1_000).selectExpr("id", "id % 300 as k"), "k")
+    sizes = dealt.select(F.spark_partition_id().alias("task")).groupBy("task").count().collect()
+    assert len(sizes) > 5 and max(r["count"] for r in sizes) < 400
+    orders = [(i, i % 90, "PO"[i % 2], "1-URGENT", datetime.datetime(1995, 1, 1 + i % 28)) for i in range(1_000)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, o_orderdate timestamp").write.parquet(f"{tmp_path}/orders.parquet")
+    plan = QUERIES["page_anchors"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(o_custkey" in plan and ", 10), REPARTITION_BY_NUM" in plan and "ENSURE_REQUIREMENTS" not in plan
