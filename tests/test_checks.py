@@ -85,3 +85,27 @@ def test_totals(spark):
     assert rows(d) == [(1, "preserved_link", "unchanged", False), (2, "proposed_link", "renewed", True), (3, "no_supported_link", "superseded", True), (4, "proposed_link", "created", True), (5, "missing_context", None, True)]
     one_row = spark.range(1).selectExpr("1 fulfilled", "2 partial", "3 contradicted", "4 mixed", "5 unassessed").select(P.progress_label().alias("x")).first().x
     assert one_row.startswith("1 gesetzlich umgesetzt, 2 teilweise")
+
+
+def test_impacts_are_joined_once(spark):
+    """Both rules come of one pass over the joined impacts; null keys and open windows included."""
+    import datetime
+
+    day = datetime.date
+    impacts = spark.createDataFrame([(1, 1, 1), (2, 1, 2), (3, 9, 1), (4, 1, 9), (5, None, 1), (6, 2, 2)], "impact_id long, criterion_id long, law_id long")
+    criteria = spark.createDataFrame([(1, 1), (2, 2)], "criterion_id long, program_id long")
+    laws = spark.createDataFrame([(1, day(2000, 1, 1)), (2, day(2001, 1, 1))], "law_id long, published_at date")
+    programs = spark.createDataFrame([(1, day(2000, 1, 1), day(2001, 1, 1)), (2, day(2000, 1, 1), None)], "program_id long, period_start date, period_end date")
+    found = K.impacts_in_window(impacts, criteria, laws, programs)
+    assert sorted(map(tuple, found.collect())) == [("impact dangles", "3"), ("impact dangles", "4"), ("impact dangles", "5"), ("law in window", "2")]
+    assert "Union" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_line_items_are_dealt_by_rows(spark, monkeypatch):
+    """The evidence model's groups of line items need no shuffle but that of some TASK_ROWS rows a partition."""
+    from evidentia import session
+    from evidentia.tables import model
+
+    monkeypatch.setattr(session, "TASK_ROWS", 500)
+    votes = model(spark, "/root/testdata/sf0.001", "impact")
+    assert votes.rdd.getNumPartitions() > 10
