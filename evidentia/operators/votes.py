@@ -6,18 +6,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import domain as D
-from ..session import small_or_shuffled, stored
+from ..session import dealt, small_or_shuffled, stored
 from .evidence import accepted_impacts
 
 POSITIONS = ["yes", "no", "abstain", "mixed", "unknown"]
 OUTCOMES = ["consistent", "tension", "mixed", "contextual", "neutral", "unknown"]
 
 
-def totals(groups: DataFrame, *by: str) -> DataFrame:
-    """Sums of the counts; all null if any group's count is unknown."""
+def totals(groups: DataFrame, *by: str, tasks: int | None = None) -> DataFrame:
+    """Sums of the counts; all null if any group's count is unknown. With `tasks`, groups are dealt to as many before they are summed."""
     counts = ["yes", "no", "abstain", "absent"]
     unknown = F.bool_or(F.expr(" or ".join(f"{c} is null" for c in counts)))
-    out = groups.groupBy(*by).agg(unknown.alias("unknown"), *[F.sum(c).alias(c) for c in counts])
+    out = dealt(groups, tasks, *by).groupBy(*by).agg(unknown.alias("unknown"), *[F.sum(c).alias(c) for c in counts])
     shown = out.select(*by, *[F.when(~F.col("unknown"), F.col(c)).alias(c) for c in counts])
     return shown.withColumn("cast_votes", F.col("yes") + F.col("no") + F.col("abstain")).withColumn("total", F.col("cast_votes") + F.col("absent"))
 

@@ -8,7 +8,8 @@ from ..functions import domain as D
 from ..operators import evidence as E
 from ..operators import retrieval as R
 from ..operators import votes as V
-from ..tables import model
+from ..session import task_count
+from ..tables import load, model
 from .registry import query
 
 OK = "review <> 'rejected' AND (review = 'reviewed' OR evaluation = 'accepted')"
@@ -179,7 +180,7 @@ def voting_coverage(spark, sf_dir):
 
 def vote_totals(spark, sf_dir):
     """AGG-03, AGG-12."""
-    return V.totals(model(spark, sf_dir, "vote_group"), "vote_id")
+    return V.totals(model(spark, sf_dir, "vote_group"), "vote_id", tasks=task_count(load(spark, sf_dir, "lineitem")))
 
 
 def cards_final_else_all(spark, sf_dir):

@@ -109,3 +109,18 @@ def test_line_items_are_dealt_by_rows(spark, monkeypatch):
     monkeypatch.setattr(session, "TASK_ROWS", 500)
     votes = model(spark, "/root/testdata/sf0.001", "impact")
     assert votes.rdd.getNumPartitions() > 10
+
+
+def test_votes_are_dealt_by_rows(spark, monkeypatch):
+    """Groups are dealt by their vote by rows, whatever number of partitions Spark's own shuffles have; the sums are the same."""
+    from evidentia import session
+    from evidentia.operators import votes
+    from evidentia.plans import QUERIES
+    from evidentia.tables import model
+
+    want = votes.totals(model(spark, "/root/testdata/sf0.001", "vote_group"), "vote_id").collect()
+    monkeypatch.setattr(session, "TASK_ROWS", 500)
+    got = QUERIES["vote_totals"](spark, "/root/testdata/sf0.001")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") >= 2 and "ENSURE_REQUIREMENTS" not in plan and got.rdd.getNumPartitions() > 10
