@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.domain import accepted, in_window, law_direction
 from ..functions.text import percentage
+from ..session import dealt
 
 STATUSES = ["fulfilled", "partial", "contradicted", "mixed", "unassessed"]
 
@@ -60,38 +61,47 @@ def topic_progress(rows: DataFrame, tags: DataFrame, *by: str) -> DataFrame:
     return out.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("covered"), F.desc("total"), "tag")))
 
 
-def insight_impacts(impacts: DataFrame, criteria: DataFrame, laws: DataFrame, programs: DataFrame) -> DataFrame:
-    """Accepted impacts of active criteria by laws in their programme's window, published after it; one row per id."""
+def insight_impacts(impacts: DataFrame, criteria: DataFrame, laws: DataFrame, programs: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Accepted impacts of active criteria by laws in their programme's window, published after it; one row per id.
+
+    With `tasks`, impacts are dealt to as many by their criterion, and what is grouped by criteria next stays so dealt. Laws
+    are joined first, as impacts that come dealt by their law are not shuffled for it.
+    """
     p = programs.where("review <> 'rejected'").select("program_id", "published_at", "period_start", "period_end", F.col("review").alias("p_review")).withColumnRenamed("published_at", "p_published")
     c = criteria.where("review <> 'rejected'").select("criterion_id", "program_id", "party_id", F.col("review").alias("c_review")).join(F.broadcast(p), "program_id")
     v = laws.where("review <> 'rejected'").select("law_id", F.col("published_at").alias("day"))
-    rows = accepted_impacts(impacts).join(c, "criterion_id").join(v, "law_id").where(in_window(F.col("day"), F.col("period_start"), F.col("period_end"), F.col("p_published")))
+    rows = dealt(accepted_impacts(impacts).join(v, "law_id"), tasks, "criterion_id").join(c, "criterion_id").where(in_window(F.col("day"), F.col("period_start"), F.col("period_end"), F.col("p_published")))
     sure = (F.col("evaluation") == "accepted") | ((F.col("c_review") == "reviewed") & (F.col("p_review") == "reviewed"))
     return rows.where(sure).select("impact_id", "party_id", "program_id", "criterion_id", "law_id", "day", "score", "period_start")
 
 
-def law_effects(rows: DataFrame) -> DataFrame:
-    """Per party and law: criteria affected by sign, direction, and those it is first to cover, alone or the same day."""
+def law_effects(rows: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Per party and law: criteria affected by sign, direction, and those it is first to cover, alone or the same day.
+
+    With `tasks`, the effects are dealt to as many by their law.
+    """
     each = rows.groupBy("party_id", "criterion_id", "law_id", "day").agg(*[F.max(F.coalesce(c, F.lit(False)).cast("int")).alias(n) for n, c in (("plus", F.col("score") > 0), ("minus", F.col("score") < 0), ("zero", F.col("score") == 0))])
     same = Window.partitionBy("party_id", "criterion_id")
     first = F.col("day") == F.min("day").over(same)
     # One row a criterion, law and day: a criterion's rows of its first day are as many as its first laws.
     each = each.withColumn("first", F.coalesce(first, F.lit(False)).cast("int")).withColumn("laws", F.sum("first").over(same))
-    effects = each.groupBy("party_id", "law_id", "day").agg(
+    effects = dealt(each, tasks, "law_id").groupBy("party_id", "law_id", "day").agg(
         F.count("*").alias("affected"), F.sum("plus").alias("supporting"), F.sum("minus").alias("opposing"), F.sum("zero").alias("neutral"),
         F.sum(F.when(F.col("laws") == 1, F.col("first")).otherwise(0)).alias("newly_covered"), F.sum(F.when(F.col("laws") > 1, F.col("first")).otherwise(0)).alias("shared"),
     )
     return effects.withColumn("direction", law_direction(F.col("supporting"), F.col("opposing"), F.col("neutral")))
 
 
-def timeline(rows: DataFrame) -> DataFrame:
+def timeline(rows: DataFrame, tasks: int | None = None) -> DataFrame:
     """Per party: a baseline the day before its earliest period, then a row per day with evidence, all counts cumulative.
 
-    Days are summed up first, so the running sums order days and not impacts.
+    Laws and then days are summed up first, so the running sums order days and not impacts. With `tasks`, rows are dealt to
+    as many by their law for it.
     """
     first = rows.groupBy("party_id", "criterion_id").agg(F.min("day").alias("day")).groupBy("party_id", "day").agg(F.count("*").alias("new_covered"))
     against = rows.where("score < 0").groupBy("party_id", "criterion_id").agg(F.min("day").alias("day")).groupBy("party_id", "day").agg(F.count("*").alias("new_opposed"))
-    days = rows.groupBy("party_id", "day").agg(F.count("*").alias("new_impacts"), *[F.count_if(F.col("score") == s).alias(f"s{s + 2}") for s in range(-2, 3)], F.count_distinct("law_id").alias("laws"))
+    by_law = dealt(rows, tasks, "law_id").groupBy("party_id", "law_id", "day").agg(F.count("*").alias("new_impacts"), *[F.count_if(F.col("score") == s).alias(f"s{s + 2}") for s in range(-2, 3)])
+    days = by_law.groupBy("party_id", "day").agg(*[F.sum(c).alias(c) for c in ("new_impacts", *[f"s{s}" for s in range(5)])], F.count("law_id").alias("laws"))
     days = days.join(first, ["party_id", "day"], "left").join(against, ["party_id", "day"], "left").na.fill(0).withColumn("baseline", F.lit(False))
     base = rows.groupBy("party_id").agg(F.date_sub(F.min("period_start"), 1).alias("day"))
     zero = [c for c in days.columns if c not in ("party_id", "day", "baseline")]
@@ -101,9 +111,9 @@ def timeline(rows: DataFrame) -> DataFrame:
     return days.select("party_id", "day", "baseline", "laws", "new_covered", "new_opposed", *[F.sum(c).over(upto).alias(n) for n, c in totals.items()])
 
 
-def timeline_jumps(rows: DataFrame, k: int = 3) -> DataFrame:
-    """The k laws with the most evidence of each party; ties by day, then id."""
-    counts = rows.groupBy("party_id", "law_id", "day").agg(F.count("*").alias("n"))
+def timeline_jumps(rows: DataFrame, k: int = 3, tasks: int | None = None) -> DataFrame:
+    """The k laws with the most evidence of each party; ties by day, then id. With `tasks`, rows are dealt to as many by law."""
+    counts = dealt(rows, tasks, "law_id").groupBy("party_id", "law_id", "day").agg(F.count("*").alias("n"))
     return counts.withColumn("rank", F.row_number().over(Window.partitionBy("party_id").orderBy(F.desc("n"), "day", "law_id"))).where(F.col("rank") <= k)
 
 

@@ -94,29 +94,37 @@ INS = f"""ins AS (SELECT i.impact_id, c.party_id, c.program_id, i.criterion_id,
   AND (i.evaluation = 'accepted' OR (c.review = 'reviewed' AND p.review = 'reviewed')))"""
 
 
+def _tasks(spark, sf_dir):
+    """Tasks of what has at most a row for each line item."""
+    return task_count(load(spark, sf_dir, "lineitem"))
+
+
 def _insights(spark, sf_dir):
+    """The impacts, and how many tasks they are worth."""
     impacts, criteria, laws, programs = m(spark, sf_dir, "impact", "criterion", "law", "program")
-    return E.insight_impacts(impacts, criteria, laws, programs)
+    tasks = _tasks(spark, sf_dir)
+    return E.insight_impacts(impacts, criteria, laws, programs, tasks), tasks
 
 
 def law_effects(spark, sf_dir):
     """AGG-04, AGG-05, DOM-04."""
-    return E.law_effects(_insights(spark, sf_dir))
+    return E.law_effects(*_insights(spark, sf_dir))
 
 
 def timeline_cumulative(spark, sf_dir):
     """WIN-03."""
-    return E.timeline(_insights(spark, sf_dir))
+    return E.timeline(*_insights(spark, sf_dir))
 
 
 def timeline_jumps(spark, sf_dir):
     """WIN-04."""
-    return E.timeline_jumps(_insights(spark, sf_dir))
+    rows, tasks = _insights(spark, sf_dir)
+    return E.timeline_jumps(rows, tasks=tasks)
 
 
 def first_evidence_exclusive(spark, sf_dir):
     """AGG-05, AGG-06: laws of each party that were first for some criterion, alone or shared, and all its laws."""
-    e = E.law_effects(_insights(spark, sf_dir))
+    e = E.law_effects(*_insights(spark, sf_dir))
     return e.groupBy("party_id").agg(F.count("*").alias("laws"), F.count_if(F.col("newly_covered") > 0).alias("exclusive"), F.count_if(F.col("shared") > 0).alias("sharing"), *[F.count_if(F.col("direction") == d).alias(d) for d in ("supporting", "opposing", "mixed")])
 
 
@@ -180,7 +188,7 @@ def voting_coverage(spark, sf_dir):
 
 def vote_totals(spark, sf_dir):
     """AGG-03, AGG-12."""
-    return V.totals(model(spark, sf_dir, "vote_group"), "vote_id", tasks=task_count(load(spark, sf_dir, "lineitem")))
+    return V.totals(model(spark, sf_dir, "vote_group"), "vote_id", tasks=_tasks(spark, sf_dir))
 
 
 def cards_final_else_all(spark, sf_dir):

@@ -124,3 +124,26 @@ def test_votes_are_dealt_by_rows(spark, monkeypatch):
     assert sorted(map(str, got.collect())) == sorted(map(str, want))
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.count("REPARTITION_BY_NUM") >= 2 and "ENSURE_REQUIREMENTS" not in plan and got.rdd.getNumPartitions() > 10
+
+
+def test_insights_are_dealt_by_rows(spark, monkeypatch):
+    """Impacts are dealt by criterion and their sums by law, by rows; the results are those of Spark's own shuffles."""
+    import re
+
+    from evidentia import session
+    from evidentia.operators import evidence as E
+    from evidentia.plans import QUERIES
+    from evidentia.tables import model
+
+    data = "/root/testdata/sf0.001"
+    given = E.insight_impacts(*[model(spark, data, n) for n in ("impact", "criterion", "law", "program")])
+    want = {"law_effects": E.law_effects(given), "timeline_cumulative": E.timeline(given), "timeline_jumps": E.timeline_jumps(given)}
+    want = {n: sorted(map(str, w.collect())) for n, w in want.items()}
+    monkeypatch.setattr(session, "TASK_ROWS", 500)
+    for name, rows in want.items():
+        assert sorted(map(str, QUERIES[name](spark, data).collect())) == rows
+    plan = QUERIES["first_evidence_exclusive"](spark, data)._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"hashpartitioning\((.*?), (\d+)\), (\w+)", plan)
+    ours = [re.sub(r"#\d+L?", "", keys) for keys, n, how in dealt if how == "REPARTITION_BY_NUM" and int(n) > 10]
+    rest = [re.sub(r"#\d+L?", "", keys) for keys, n, how in dealt if how != "REPARTITION_BY_NUM"]
+    assert ours == ["law_id", "criterion_id", "l_orderkey"] and rest == ["party_id"]
