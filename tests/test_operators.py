@@ -169,3 +169,29 @@ def test_few_query_terms_are_broadcast(spark):
     assert got.count() == 500
     plan = retrieval.telling_terms(docs.selectExpr("id", "text as term").limit(3), 3)._jdf.queryExecution().logical().toString()
     assert "ResolvedHint" in plan or "UnresolvedHint" in plan or "broadcast" in plan.lower()
+
+
+def test_budget_holds_one_document_in_python(spark):
+    """What Python holds doesn't grow with a batch's documents; unranked, sparse and null rankings are read as before."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from evidentia.functions import arrow
+
+    n, lines = 3_000, 40
+    parts = pa.array([[{"ordinal": o, "length": 100 + o} for o in range(lines)]] * n)
+    order = pa.array([[{"position": p, "ordinal": lines - p} for p in range(1, lines + 1)]] * n)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), parts, order], ["doc_id", "parts", "order"])
+    sizes = []
+    tracemalloc.start()
+    for out in arrow.packed(retrieval.chosen([batch], 2_000, 1), ["doc_id", "ordinal"], [pa.int64(), pa.int32()]):
+        sizes.append(out.num_rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 6 << 20 and sum(sizes) == n * 15 and max(sizes) <= arrow.OUT_ROWS
+    passages = spark.createDataFrame([(1, i, 10) for i in (0, 2, 3, 7)] + [(2, 0, 50), (2, 1, 5), (3, 0, 4)], "doc_id long, ordinal int, length int")
+    ranked = spark.createDataFrame([(1, 1, 1), (1, 7, 2), (1, 3, 3), (9, 0, 1)], "doc_id long, ordinal int, position int")
+    got = retrieval.budget_context(passages, ranked, budget=30, reach=1)
+    assert rows(got) == [(1, 0), (1, 2), (1, 7), (3, 0)]
+    assert "MapInArrow" in got._jdf.queryExecution().executedPlan().toString()
