@@ -260,6 +260,16 @@ def test_decision_passages(spark):
     assert [(r.stage, r.carried) for r in sorted(transcripts.decisions(df.where("block_id = 6")).collect(), key=lambda r: r.i)] == [(None, False), ("second_reading", True), ("final_passage", True)]
 
 
+def test_decisions_stay_in_their_blocks_rows(spark):
+    """No text is cut into rows that are joined and ordered again; of a block that comes twice one is kept."""
+    df = spark.createDataFrame([(n, SECOND + "😀 " + THIRD, ["20/7"], "final_passage") for n in (1, 2, 2)], "block_id long, text string, numbers array<string>, stage string")
+    for found in (transcripts.decisions(df), transcripts.decision_passages(df)):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Window" not in plan
+    assert sorted((r.block_id, r.stage, r.refs, r.carried) for r in transcripts.decisions(df).collect()) == [(n, *d) for n in (1, 2) for d in (("final_passage", ["20/7"], True), ("second_reading", ["20/7"], False))]
+    assert sorted(r.block_id for r in transcripts.decision_passages(df).collect()) == [1, 2]
+
+
 class Answer(io.BytesIO):
     def __init__(self, content, url):
         super().__init__(content)
