@@ -195,3 +195,14 @@ def test_budget_holds_one_document_in_python(spark):
     got = retrieval.budget_context(passages, ranked, budget=30, reach=1)
     assert rows(got) == [(1, 0), (1, 2), (1, 7), (3, 0)]
     assert "MapInArrow" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_orders_texts_name_whole_keys(spark):
+    """Orders whose keys agree in their last six digits have texts, and document numbers, of their own."""
+    from evidentia.functions import text as T
+    from evidentia.plans.protocol_queries import BLOCK
+
+    keys = [7, 1_000_007, 2_000_007, 54_000_007, 216_000_007]
+    got = spark.createDataFrame([(k,) for k in keys], "k long").select("k", F.expr(BLOCK).alias("text")).select("k", "text", T.document_numbers(F.col("text")).alias("refs")).collect()
+    assert len({r.text for r in got}) == len(keys)
+    assert {r.k: r.refs for r in got} == {7: ["20/7"], **{k: ["20/7", f"21/{k // 1_000_000}"] for k in keys[1:]}}
