@@ -184,3 +184,20 @@ def test_batches_are_dealt_by_rows(spark, monkeypatch):
     tasks = spark.range(6_000).selectExpr("id as key", "if(id % 60 = 0, null, 'hot') as part")
     placed = B.in_batches(tasks, 4, "part").withColumn("task", F.spark_partition_id()).select("batch", "task").distinct().collect()
     assert len({r.task for r in placed}) > 8 and len({r.batch for r in placed}) == len(placed)
+
+
+def test_cascade_shuffles_no_terms(spark, tmp_path, monkeypatch):
+    """Pairs are written and shuffled with their line's text only; few passages are added to the judges' batches, many are carried."""
+    import shutil
+
+    from evidentia.plans import judge_queries
+
+    kept, stored = [], judge_queries.C.stored
+    monkeypatch.setattr(judge_queries.C, "stored", lambda df, label: kept.append((label, df.columns)) or stored(df, label))
+    for name in ("documents", "benchmark"):
+        shutil.copy(f"/root/testdata/sf0.001/{name}.parquet", tmp_path)
+    few = sorted(judge_queries.judgment_cascade(spark, str(tmp_path)).collect(), key=repr)
+    assert dict(kept)["pairs"] == ["key", "law_id", "law_text", "item_id"]
+    monkeypatch.setattr(judge_queries, "small_or_shuffled", lambda df, *_: df)
+    assert sorted(judge_queries.judgment_cascade(spark, str(tmp_path)).collect(), key=repr) == few and few
+    assert [c for label, c in kept if label == "pairs"][1] == ["item_id", "key", "law_id", "law_text", "criterion_text"]
