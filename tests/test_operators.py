@@ -206,3 +206,17 @@ def test_orders_texts_name_whole_keys(spark):
     got = spark.createDataFrame([(k,) for k in keys], "k long").select("k", F.expr(BLOCK).alias("text")).select("k", "text", T.document_numbers(F.col("text")).alias("refs")).collect()
     assert len({r.text for r in got}) == len(keys)
     assert {r.k: r.refs for r in got} == {7: ["20/7"], **{k: ["20/7", f"21/{k // 1_000_000}"] for k in keys[1:]}}
+
+
+def test_rank_writes_common_terms_only(spark, monkeypatch):
+    """Many queries' terms are written only if one of the few documents has them, and scored pairs are not shuffled."""
+    from evidentia.operators import retrieval
+
+    kept, stored = {}, retrieval.stored
+    monkeypatch.setattr(retrieval, "stored", lambda df, label: kept.setdefault(label, stored(df, label)))
+    queries = spark.createDataFrame([(n, f"apples other{n} words{n}") for n in range(9)], "q long, text string")
+    docs = spark.createDataFrame([(1, "apples pears"), (2, "pears plums")], "d long, text string")
+    got = retrieval.rank(queries, "q", docs, "d")
+    assert "hashpartitioning(query_id" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.query_id, r.id) for r in got.collect()) == [(n, 1) for n in range(9)]
+    assert {r.term for r in kept["asked"].collect()} == {"apples"}
